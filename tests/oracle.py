@@ -1,0 +1,40 @@
+"""Compare a query with its SQL twin: rows, column names, types and values."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+import duckdb
+import pyarrow as pa
+
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+
+
+def connect(folder: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    for name in TABLES.split():
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{folder}/{name}.parquet')")
+    return connection
+
+
+def _rows(table: pa.Table) -> Counter:
+    names = sorted(table.column_names)
+    return Counter(zip(*[table.column(name).to_pylist() for name in names], strict=True))
+
+
+def _types(table: pa.Table) -> dict[str, str]:
+    return {field.name: str(field.type).replace("large_", "") for field in table.schema}
+
+
+def differences(spark_table: pa.Table, sql_table: pa.Table) -> list[str]:
+    found = []
+    if _types(spark_table) != _types(sql_table):
+        found.append(f"types: {_types(spark_table)} != {_types(sql_table)}")
+    if spark_table.num_rows != sql_table.num_rows:
+        found.append(f"row counts: {spark_table.num_rows} != {sql_table.num_rows}")
+    if sorted(spark_table.column_names) == sorted(sql_table.column_names):
+        left, right = _rows(spark_table), _rows(sql_table)
+        if left != right:
+            found.append(f"only Spark: {str(list((left - right).items())[:2])[:600]}")
+            found.append(f"only SQL: {str(list((right - left).items())[:2])[:600]}")
+    return found
