@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import math
 
 from pyspark.ml.feature import Word2Vec, Word2VecModel
@@ -14,6 +15,13 @@ from opine.functions import text as tx
 # as few partitions as let each stay this small, and never more than the cluster's cores.
 BYTES_PER_TRAINING_PARTITION = 128 * 1024 * 1024
 
+# Word2Vec holds the vocabulary and its vectors on the driver: about 2.4 GB at this
+# many words of 300 dimensions.
+MAX_VOCABULARY = 1_000_000
+DOUBLINGS = 40
+
+log = logging.getLogger(__name__)
+
 
 def sentence_rows(reviews: DataFrame, raw: str = "text", abbreviations: tuple[str, ...] = ()) -> DataFrame:
     """One row per sentence of the raw text: sent_pos, sentence, and the other columns."""
@@ -39,13 +47,26 @@ def training_partitions(corpus_bytes: int, cores: int) -> int:
     return max(1, min(cores, math.ceil(corpus_bytes / BYTES_PER_TRAINING_PARTITION)))
 
 
+def min_count_that_fits(corpus: DataFrame, min_count: int = 40, max_vocabulary: int = MAX_VOCABULARY) -> int:
+    """`min_count`, doubled until the driver can hold the words that reach it.
+
+    The vocabulary sizes of all candidates come from one pass and one row.
+    """
+    candidates = [min_count << step for step in range(DOUBLINGS)]
+    counts = corpus.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    sizes = counts.agg(*[F.count_if(F.col("n") >= F.lit(c)).alias(str(c)) for c in candidates]).first()
+    fits = next(c for c in candidates if sizes[str(c)] <= max_vocabulary)
+    if fits > min_count:
+        log.warning("min_count raised from %d to %d: %d words would not fit", min_count, fits, sizes[str(min_count)])
+    return fits
+
+
 def fit_word2vec(
     corpus: DataFrame, partitions: int = 1, vector_size: int = 300, min_count: int = 40, seed: int = 42
 ) -> Word2VecModel:
     """Fit on the `words` of a sentence corpus.
 
-    The vocabulary and its vectors are held by the driver, so `min_count` has to grow
-    with the corpus; Spark refuses a vocabulary too large for one array.
+    The vocabulary and its vectors are held by the driver; see `min_count_that_fits`.
     """
     return Word2Vec(
         vectorSize=vector_size,

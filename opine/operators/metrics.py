@@ -7,6 +7,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from opine.session import stage
+
+# Score ranges per shuffle partition: more ranges than tasks even out the work.
+RANGES_PER_PARTITION = 4
+
 
 def _correct() -> Column:
     return F.col("label") == F.col("prediction")
@@ -66,19 +71,21 @@ def curve_counts(scored: DataFrame, ranges: int | None = None) -> DataFrame:
     Running counts over all scores would put every row in one task. So the distinct
     scores are cut into ranges at approximate quantiles; each range is counted up by
     itself and starts from the total of the ranges above it. The cuts only balance the
-    work: the counts are exact wherever they fall.
+    work: the counts are exact wherever they fall. The table of distinct scores is
+    written once, so the rows are scored once and not once for each of its three uses.
     """
     if ranges is None:
-        ranges = int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ranges = RANGES_PER_PARTITION * int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     is_positive = (F.col("label") == 1.0).cast("bigint")
-    by_score = scored.groupBy("score").agg(
+    counted = scored.groupBy("score").agg(
         F.sum(is_positive).alias("tp"), F.sum(F.lit(1).cast("bigint") - is_positive).alias("fp")
     )
+    by_score = stage(counted, "score-counts")
     probabilities = [i / ranges for i in range(1, ranges)] or [0.5]
-    cuts = by_score.agg(F.percentile_approx("score", probabilities, F.lit(10000)).alias("cuts")).scalar()
-    ranged = by_score.withColumn("cuts", cuts).withColumn(
-        "range", F.size(F.filter("cuts", lambda cut: cut <= F.col("score")))
-    ).drop("cuts")
+    cuts = by_score.agg(F.percentile_approx("score", probabilities, F.lit(10000)).alias("cuts")).first().cuts or []
+    fixed_cuts = F.array(*[F.lit(cut) for cut in cuts]).cast("array<double>")
+    below = F.filter(fixed_cuts, lambda cut: cut <= F.col("score"))
+    ranged = by_score.withColumn("range", F.coalesce(F.size(below), F.lit(0)))
 
     # at most `ranges` rows from here on
     totals = ranged.groupBy("range").agg(F.sum("tp").alias("range_tp"), F.sum("fp").alias("range_fp"))

@@ -35,7 +35,7 @@ def grid(pipeline: Pipeline) -> list[dict[Param, float]]:
     return ParamGridBuilder().addGrid(counts, FEATURE_COUNTS).addGrid(_strength(stages[-1]), STRENGTHS).build()
 
 
-def cross_validator(classifier: LogisticRegression | NaiveBayes, parallelism: int = 4) -> CrossValidator:
+def cross_validator(classifier: LogisticRegression | NaiveBayes, parallelism: int = len(FEATURE_COUNTS) * len(STRENGTHS)) -> CrossValidator:
     pipeline = text_pipeline(classifier)
     return CrossValidator(
         estimator=pipeline,
@@ -48,7 +48,7 @@ def cross_validator(classifier: LogisticRegression | NaiveBayes, parallelism: in
 
 
 def fit_cross_validated(
-    train: DataFrame, classifier: LogisticRegression | NaiveBayes, key: str = "doc_id", parallelism: int = 4
+    train: DataFrame, classifier: LogisticRegression | NaiveBayes, key: str = "doc_id", parallelism: int = len(FEATURE_COUNTS) * len(STRENGTHS)
 ) -> CrossValidatorModel:
     """Fit on cleaned reviews; folds come from the key, so they do not depend on partitioning.
 

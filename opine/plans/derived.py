@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opine.operators import clusters, embeddings, features, models, splits
-from opine.session import path_bytes, stage
+from opine.session import gather, path_bytes, stage
 from opine.sources import tables
 
 _made: dict[tuple[str, str, str], Any] = {}
@@ -53,10 +53,11 @@ def word2vec(spark: SparkSession, folder: str) -> Word2VecModel:
     """Fitted on the sentences of the unlabelled reviews."""
 
     def make() -> Word2VecModel:
-        corpus = embeddings.sentence_corpus(tables.unlabelled_reviews(spark, folder))
+        sentences = embeddings.sentence_corpus(tables.unlabelled_reviews(spark, folder))
+        corpus = stage(sentences.select("words"), "sentence-corpus")
         size = path_bytes(spark, tables.table_path(folder, "documents"))
         partitions = embeddings.training_partitions(size, spark.sparkContext.defaultParallelism)
-        return embeddings.fit_word2vec(corpus, partitions)
+        return embeddings.fit_word2vec(corpus, partitions, min_count=embeddings.min_count_that_fits(corpus))
 
     return once(spark, folder, "word2vec", make)
 
@@ -87,6 +88,7 @@ def kmeans_on_vectors(spark: SparkSession, folder: str) -> KMeansModel:
 
     def make() -> KMeansModel:
         train, _ = splits.hash_split(document_vectors(spark, folder), "doc_id", 60)
-        return clusters.fit_kmeans_best(train)
+        size = path_bytes(spark, tables.table_path(folder, "documents"))
+        return clusters.fit_kmeans_best(gather(train, size))
 
     return once(spark, folder, "kmeans_on_vectors", make)

@@ -14,7 +14,7 @@ from opine.functions import text as tx
 from opine.functions.hashing import md5_bucket
 from opine.operators import bayes, clusters, embeddings, explore, features, metrics, models, splits, tuning
 from opine.plans import derived
-from opine.session import new_folder, path_bytes, spread
+from opine.session import gather, new_folder, path_bytes, spread
 from opine.sources import tables, tsv
 from opine.streaming import jobs, lines
 
@@ -187,8 +187,7 @@ def hashing_tf(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _whole_corpus_weights(spark: SparkSession, folder: str) -> DataFrame:
-    reviews = tables.labelled_reviews(spark, folder).select("doc_id")
-    return features.idf_weights(derived.review_terms(spark, folder), reviews)
+    return features.idf_weights(derived.review_terms(spark, folder), derived.cleaned_reviews(spark, folder))
 
 
 @query
@@ -282,11 +281,10 @@ def nb_ml_predictions(spark: SparkSession, folder: str) -> DataFrame:
 def _nb_training(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """All TF-IDF terms, weighted by the training rows' IDF, and the naive Bayes model of the training rows."""
     terms = derived.review_terms(spark, folder)
-    keys = tables.labelled_reviews(spark, folder).select("doc_id", "label")
-    train_keys, _ = splits.hash_split(keys, "doc_id", TRAIN_PERCENT)
-    weights = features.idf_weights(terms.where(F.col("part") == "train"), train_keys)
+    train, _ = _split_reviews(spark, folder, TRAIN_PERCENT)
+    weights = features.idf_weights(terms.where(F.col("part") == "train"), train)
     weighted = features.tfidf(terms, weights)
-    return weighted, bayes.fit(weighted.where(F.col("part") == "train"), train_keys)
+    return weighted, bayes.fit(weighted.where(F.col("part") == "train"), train)
 
 
 @query
@@ -421,7 +419,8 @@ def _cross_validated(spark: SparkSession, folder: str, kind: str) -> tuning.Cros
     def make() -> tuning.CrossValidatorModel:
         train, _ = _split_reviews(spark, folder, 60)
         classifier = models.logistic_regression() if kind == "lr" else models.naive_bayes()
-        return tuning.fit_cross_validated(train, classifier)
+        size = path_bytes(spark, tables.table_path(folder, "documents"))
+        return tuning.fit_cross_validated(gather(train, size), classifier)
 
     return derived.once(spark, folder, f"cross_validated_{kind}", make)
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 # so only such a table is ever spread by hand.
 SPREAD_LIMIT_BYTES = 128 * 1024 * 1024
 SPREAD_PARTITION_BYTES = 256 * 1024
+GATHER_PARTITION_BYTES = 16 * 1024 * 1024
 
 _local_root: str | None = None
 
@@ -80,6 +81,15 @@ def spread(df: DataFrame, size_bytes: int) -> DataFrame:
     return df.repartition(parts) if parts > 1 else df
 
 
+def gather(df: DataFrame, size_bytes: int) -> DataFrame:
+    """Put few rows into few partitions, without a shuffle.
+
+    For fits that run hundreds of short jobs over the same small rows. Rows of a large
+    table keep their partitions: `coalesce` never makes more of them.
+    """
+    return df.coalesce(max(1, math.ceil(size_bytes / GATHER_PARTITION_BYTES)))
+
+
 def stage(df: DataFrame, purpose: str) -> DataFrame:
     """Write a result once to the shared folder and read it back.
 

@@ -45,8 +45,9 @@ def _first_file_header(spark: SparkSession, path: str, fields: tuple[str, ...])
 
 
 def _with_fields(df: DataFrame, fields: tuple[str, ...], short_lines: str) -> DataFrame:
-    # Spark reads an empty field as NULL; only a line that is really short has too few tabs.
-    is_short = F.size(F.split(F.coalesce(_WHOLE_LINE, F.lit("\t" * len(fields))), "\t")) < len(fields)
+    # Spark reads an empty field as NULL too; only a line that is really short has too few tabs.
+    is_short = F.col(fields[-1]).isNull() & (F.size(F.split(_WHOLE_LINE, "\t")) < len(fields))
+    is_short = F.coalesce(is_short, F.lit(False))
     values = {name: F.coalesce(name, F.lit("")) for name in fields}
     if short_lines == "fail":
         fail = F.raise_error(F.concat(F.lit("short line: "), F.col(_WHOLE_LINE))).cast("string")

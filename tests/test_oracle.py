@@ -1,0 +1,37 @@
+"""Every exact query against its SQL twin, and every other query for rows."""
+
+from __future__ import annotations
+
+import pytest
+
+from __spark_entry__ import entry, oracle_sql, queries
+from oracle import connect, differences
+
+ROWS_ONLY = sorted(set(queries()) - set(oracle_sql()))
+
+
+@pytest.fixture(scope="module")
+def connection(small):
+    with connect(small) as opened:
+        yield opened
+
+
+@pytest.mark.parametrize("name", list(oracle_sql()))
+def test_query_equals_sql(spark, small, connection, name):
+    expected = connection.sql(oracle_sql()[name]).to_arrow_table()
+    assert differences(queries()[name](spark, small).toArrow(), expected) == []
+
+
+@pytest.mark.parametrize("name", ROWS_ONLY)
+def test_query_gives_rows(spark, tiny, name):
+    assert not queries()[name](spark, tiny).isEmpty()
+
+
+def test_every_oracle_has_a_query():
+    assert set(oracle_sql()) <= set(queries())
+
+
+def test_entry_is_the_top_hundred(spark):
+    result = entry(spark)
+    assert result.columns == ["word", "n"]
+    assert result.count() == 100
