@@ -37,9 +37,12 @@ def test_short_line_fails_or_is_diverted(spark, folder):
     path = folder(a=HEADER + "a\t1\tx\nb\t0\n")
     with pytest.raises(PySparkException, match="short line"):
         tsv.read_labelled(spark, path).collect()
+    with pytest.raises(PySparkException, match="short line"):
+        tsv.read_labelled(spark, path).count()
     assert rows(tsv.read_labelled(spark, path, short_lines="drop")) == [("a", 1.0, "x")]
     assert tsv.read_labelled(spark, path, short_lines="drop").count() == 1
     assert rows(tsv.read_labelled(spark, path, short_lines="only")) == [("b\t0",)]
+    assert tsv.read_labelled(spark, path, short_lines="only").count() == 1
 
 
 def test_bad_label_fails(spark, folder):
