@@ -9,8 +9,10 @@ from pyspark.sql.window import Window
 
 from opine.session import stage
 
-# Score ranges per shuffle partition: more ranges than tasks even out the work.
+# Score ranges per shuffle partition: more ranges than tasks even out the work. Each
+# distinct score is compared with every cut, so their number is kept moderate.
 RANGES_PER_PARTITION = 4
+MAX_RANGES = 1024
 
 
 def _correct() -> Column:
@@ -75,14 +77,15 @@ def curve_counts(scored: DataFrame, ranges: int | None = None) -> DataFrame:
     written once, so the rows are scored once and not once for each of its three uses.
     """
     if ranges is None:
-        ranges = RANGES_PER_PARTITION * int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        partitions = int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ranges = min(RANGES_PER_PARTITION * partitions, MAX_RANGES)
     is_positive = (F.col("label") == 1.0).cast("bigint")
     counted = scored.groupBy("score").agg(
         F.sum(is_positive).alias("tp"), F.sum(F.lit(1).cast("bigint") - is_positive).alias("fp")
     )
     by_score = stage(counted, "score-counts")
     probabilities = [i / ranges for i in range(1, ranges)] or [0.5]
-    cuts = by_score.agg(F.percentile_approx("score", probabilities, F.lit(10000)).alias("cuts")).first().cuts or []
+    cuts = by_score.agg(F.percentile_approx("score", probabilities, F.lit(100 * ranges)).alias("cuts")).first().cuts or []
     fixed_cuts = F.array(*[F.lit(cut) for cut in cuts]).cast("array<double>")
     below = F.filter(fixed_cuts, lambda cut: cut <= F.col("score"))
     ranged = by_score.withColumn("range", F.coalesce(F.size(below), F.lit(0)))

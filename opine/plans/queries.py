@@ -8,7 +8,6 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from opine.functions import text as tx
 from opine.functions.hashing import md5_bucket
@@ -443,9 +442,6 @@ def cv_best_predictions(spark: SparkSession, folder: str) -> DataFrame:
 
 # --- streaming ---------------------------------------------------------------------
 
-STREAM_FILES_PER_BATCH = 3
-
-
 def line_folder(spark: SparkSession, folder: str) -> str:
     """Conversation turns as a folder of text files."""
 
@@ -457,6 +453,12 @@ def line_folder(spark: SparkSession, folder: str) -> str:
     return derived.once(spark, folder, "line_folder", make)
 
 
+def _lines_in_halves(spark: SparkSession, folder: str) -> DataFrame:
+    """The lines as a stream that takes about half of the folder per batch, whatever its size."""
+    path = line_folder(spark, folder)
+    return lines.read_lines(spark, path, max_bytes=path_bytes(spark, path) // 2 + 1)
+
+
 def _appended(stream: DataFrame, name: str) -> DataFrame:
     """Run a stream over all that is there, into files, and read the files back."""
     spark = stream.sparkSession
@@ -465,26 +467,21 @@ def _appended(stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(out)
 
 
-WORD_COUNTS = "word string, n bigint"
-
-
-def _batched_word_counts(spark: SparkSession, folder: str, files_per_batch: int | None) -> DataFrame:
-    stream = lines.read_lines(spark, line_folder(spark, folder), files_per_batch)
+def _batched_word_counts(stream: DataFrame) -> DataFrame:
+    spark = stream.sparkSession
     out = new_folder(spark, "stream-word-count")
     jobs.finish(jobs.start_word_count(stream, out, new_folder(spark, "stream-word-count-checkpoint"), interval=None))
-    return jobs.read_batches(spark, out, StructType.fromDDL(WORD_COUNTS))
+    return jobs.read_batches(spark, out, jobs.WORD_COUNTS)
 
 
 def _scored_lines(spark: SparkSession, folder: str, model: PipelineModel, prediction: str = "prediction") -> DataFrame:
     """Save the model, load it as a separate streaming program would, and score every line."""
     saved = new_folder(spark, "model")
     model.save(saved)
-    stream = lines.read_lines(spark, line_folder(spark, folder), STREAM_FILES_PER_BATCH)
-    scored = jobs.score_lines(stream, PipelineModel.load(saved), prediction)
+    scored = jobs.score_lines(_lines_in_halves(spark, folder), PipelineModel.load(saved), prediction)
     out = new_folder(spark, "stream-scores")
     jobs.finish(jobs.start_batches(scored, out, new_folder(spark, "stream-scores-checkpoint"), interval=None))
-    schema = StructType([StructField("text", StringType()), StructField("prediction", DoubleType())])
-    return jobs.read_batches(spark, out, schema)
+    return jobs.read_batches(spark, out, jobs.SCORES)
 
 
 @query
@@ -495,13 +492,13 @@ def stream_source_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def stream_word_count(spark: SparkSession, folder: str) -> DataFrame:
-    counts = _batched_word_counts(spark, folder, None)
+    counts = _batched_word_counts(lines.read_lines(spark, line_folder(spark, folder)))
     return counts.groupBy("word").agg(F.sum("n").alias("n"))
 
 
 @query
 def stream_word_count_per_batch(spark: SparkSession, folder: str) -> DataFrame:
-    return _batched_word_counts(spark, folder, STREAM_FILES_PER_BATCH).select("batch_id", "word", "n")
+    return _batched_word_counts(_lines_in_halves(spark, folder)).select("batch_id", "word", "n")
 
 
 @query

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 # A table no bigger than one default input split may sit in a single row group,
 # so only such a table is ever spread by hand.
 SPREAD_LIMIT_BYTES = 128 * 1024 * 1024
-SPREAD_PARTITION_BYTES = 256 * 1024
+SPREAD_PARTITION_BYTES = 64 * 1024
 GATHER_PARTITION_BYTES = 16 * 1024 * 1024
 
 _local_root: str | None = None

@@ -12,7 +12,7 @@ from pyspark.ml import Transformer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructType
 
 from opine.functions import text as tx
 from opine.session import path_exists
@@ -20,6 +20,9 @@ from opine.streaming.lines import BATCH_INTERVAL
 
 CONSOLE_ROWS = 10
 
+WORD_COUNTS = StructType().add("word", StringType()).add("n", LongType())
+SCORES = StructType().add("text", StringType()).add("prediction", DoubleType())
+
 
 def split_words(lines: DataFrame) -> DataFrame:
     """Words of raw lines, cut at single spaces and not cleaned; a blank line gives one empty word."""
@@ -107,5 +110,5 @@ def finish(query: StreamingQuery, timeout: float | None = None) -> None:
 
 def read_batches(spark: SparkSession, out: str, schema: StructType) -> DataFrame:
     """All batches written so far, with their batch_id."""
-    whole = StructType(schema.fields).add("batch_id", LongType())
+    whole = StructType([*schema.fields]).add("batch_id", LongType())
     return spark.read.schema(whole).parquet(out) if path_exists(spark, out) else spark.createDataFrame([], whole)

@@ -1,0 +1,122 @@
+from __future__ import annotations
+
+import math
+
+import pytest
+from pyspark.ml import PipelineModel
+from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
+
+from opine.operators import clusters, models, tuning
+from opine.plans import queries
+
+POSITIVE = ("great superb film", "superb acting great fun", "great great fun", "fun superb")
+NEGATIVE = ("awful boring film", "boring dreadful plot", "awful dreadful", "boring boring awful")
+
+
+@pytest.fixture(scope="module")
+def toy(spark):
+    rows = [(i, float(i % 2), (POSITIVE if i % 2 else NEGATIVE)[i // 2 % 4]) for i in range(48)]
+    return spark.createDataFrame(rows, "doc_id bigint, label double, review string").persist()
+
+
+@pytest.fixture(scope="module")
+def points(spark):
+    rows = [(i, float(i % 3 > 0), Vectors.dense([i % 3, (i * 7 % 5) / 10])) for i in range(60)]
+    return spark.createDataFrame(rows, ["doc_id", "label", "features"])
+
+
+@pytest.mark.parametrize(
+    "classifier", [models.logistic_regression, models.lbfgs_logistic_regression, models.naive_bayes]
+)
+def test_separable_reviews_are_separated(toy, classifier):
+    scored = models.score(tuning.fit_pipeline(toy, classifier()), toy).collect()
+    assert len(scored) == 48
+    assert all(r.prediction == r.label for r in scored)
+    assert all(0.0 <= r.score <= 1.0 for r in scored)
+
+
+def test_settings():
+    lr, lbfgs, nb, forest = (
+        models.logistic_regression(),
+        models.lbfgs_logistic_regression(),
+        models.naive_bayes(),
+        models.random_forest(),
+    )
+    assert (lr.getMaxIter(), lr.getRegParam()) == (5, 0.01)
+    assert (lbfgs.getMaxIter(), lbfgs.getRegParam(), lbfgs.getFitIntercept()) == (10, 0.0, False)
+    assert (nb.getSmoothing(), nb.getModelType()) == (1.0, "multinomial")
+    assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getSeed()) == (2, 2, 42)
+
+
+def test_forest_predicts_labels_though_indexes_are_inverted(points):
+    model = models.fit_random_forest(points)
+    assert list(model.stages[0].labels) == ["1.0", "0.0"]
+    scored = models.score_forest(model, points).collect()
+    assert all(r.indexed == 1.0 - r.label for r in scored)
+    assert all(r.prediction == r.label for r in scored)
+    assert all((r.score > 0.5) == (r.label == 1.0) for r in scored)
+
+
+def test_saved_pipeline_scores_alike(toy, tmp_path):
+    model = tuning.fit_pipeline(toy, models.logistic_regression())
+    model.save(str(tmp_path / "model"))
+    loaded = PipelineModel.load(str(tmp_path / "model"))
+    assert models.score(loaded, toy).exceptAll(models.score(model, toy)).isEmpty()
+
+
+def test_best_of_starts_is_no_worse_than_any(points):
+    seeds = range(1, 11)
+    best = clusters.fit_kmeans_best(points, seeds, parallelism=3)
+    features = points.select("features")
+    assert best.summary.trainingCost <= min(clusters.fit_kmeans(features, s).summary.trainingCost for s in seeds) + 1e-9
+
+
+def test_model_assignment_equals_transform_and_sums_by_hand(points):
+    model = clusters.fit_kmeans_best(points)
+    assigned = clusters.assign_by_model(points, model)
+    expected = {r.doc_id: r.prediction for r in model.transform(points).collect()}
+    assert {r.doc_id: r.cluster for r in assigned.collect()} == expected
+    centres = clusters.centres_of(model)
+    squares = [
+        min(sum((a - b) ** 2 for a, b in zip(r.features, c, strict=True)) for c in centres) for r in points.collect()
+    ]
+    sums = clusters.distance_sums(assigned).first()
+    assert sums.wssse == pytest.approx(sum(squares))
+    assert sums.sum_dist == pytest.approx(sum(math.sqrt(s) for s in squares))
+
+
+def test_equal_distances_go_to_the_lower_cluster(spark):
+    points = spark.createDataFrame([([0.0, 0.0],)], "point array<double>")
+    row = clusters.assign(points, [[1.0, 0.0], [-1.0, 0.0], [0.0, 1.0]]).first()
+    assert (row.cluster, row.dist2) == (0, 1.0)
+
+
+def test_cross_validation_gives_one_row_per_grid_point(spark, toy):
+    model = tuning.fit_cross_validated(toy, models.naive_bayes())
+    results = tuning.grid_results_frame(spark, model).collect()
+    assert {(r.num_features, r.strength) for r in results} == {(n, s) for n in (300, 400) for s in (0.01, 0.1, 1.0)}
+    assert all(0.0 <= r.avg_metric <= 1.0 for r in results)
+    best = model.transform(toy)
+    assert best.where(F.col("label") != F.col("prediction")).isEmpty()
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "lr_tfidf_predictions",
+        "lr_w2v_predictions",
+        "lr_lbfgs_tfidf_predictions",
+        "lr_lbfgs_w2v_predictions",
+        "nb_ml_predictions",
+        "rf_w2v_predictions",
+        "rf_tfidf_predictions",
+    ],
+)
+def test_predictions_cover_the_test_rows_and_repeat(spark, tiny, name):
+    percent = 90 if "lbfgs" in name else 60
+    first, again = ({tuple(r) for r in queries.REGISTRY[name](spark, tiny).collect()} for _ in range(2))
+    assert first == again
+    _, test = queries._split_reviews(spark, tiny, percent)
+    assert {r[0] for r in first} == {r.doc_id for r in test.select("doc_id").collect()}
+    assert all(row[-2] in (0.0, 1.0) and 0.0 <= row[-1] <= 1.0 for row in first)

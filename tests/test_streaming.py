@@ -1,0 +1,109 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.ml import PipelineModel
+
+from opine.operators import embeddings
+from opine.plans import derived, queries
+from opine.sources import tables
+from opine.streaming import jobs, lines
+
+
+@pytest.fixture
+def folders(tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    return source, str(tmp_path / "out"), str(tmp_path / "checkpoint")
+
+
+def run_counts(spark, folders, files=1):
+    source, out, checkpoint = folders
+    jobs.finish(jobs.start_word_count(lines.read_lines(spark, str(source), files), out, checkpoint, interval=None), 120)
+    return sorted((r.batch_id, r.word, r.n) for r in jobs.read_batches(spark, out, jobs.WORD_COUNTS).collect())
+
+
+def test_counts_start_anew_in_each_batch_and_survive_restarts(spark, folders):
+    source = folders[0]
+    (source / "f1.txt").write_text("a b a\n\n")
+    first = run_counts(spark, folders)
+    # a blank line counts as one empty word; nothing is cleaned
+    assert first == [(0, "", 1), (0, "a", 2), (0, "b", 1)]
+    # a restart without new files adds nothing
+    assert run_counts(spark, folders) == first
+    # a rewritten file is not read again, a new one is, and its counts start from nothing
+    (source / "f1.txt").write_text("z z z\n")
+    (source / "f2.txt").write_text("a  B\n")
+    assert run_counts(spark, folders) == [*first, (1, "", 1), (1, "B", 1), (1, "a", 1)]
+
+
+def test_no_files_give_no_batches(spark, folders):
+    assert run_counts(spark, folders) == []
+
+
+def test_replayed_batch_replaces_its_output(spark, folders):
+    source, out, checkpoint = folders
+    (source / "f1.txt").write_text("a\n")
+    first = run_counts(spark, folders)
+    # a lost commit makes Spark run the batch again
+    for name in ("0", ".0.crc"):
+        (source.parent / "checkpoint" / "commits" / name).unlink(missing_ok=True)
+    assert run_counts(spark, folders) == first
+
+
+def test_running_totals_keep_state_across_batches(spark, folders):
+    source, _, checkpoint = folders
+    (source / "f1.txt").write_text("a b a\n")
+    (source / "f2.txt").write_text("a c\n")
+    query = jobs.start_running_word_count(lines.read_lines(spark, str(source), 1), checkpoint, interval=None)
+    jobs.finish(query, 120)
+    progress = query.recentProgress
+    assert "ConsoleTable" in progress[-1].sink.description
+    # complete mode gives all totals again: two words after the first file, three after the second
+    assert [p.sink.numOutputRows for p in progress if p.numInputRows] == [2, 3]
+
+
+def test_batches_can_be_shown(spark, folders, capfd):
+    source, out, checkpoint = folders
+    (source / "f1.txt").write_text("shown\n")
+    stream = lines.read_lines(spark, str(source))
+    jobs.finish(jobs.start_word_count(stream, out, checkpoint, interval=None, show=True), 120)
+    assert "shown" in capfd.readouterr().out
+
+
+def test_interval_stream_runs_until_stopped(spark, folders):
+    source, out, checkpoint = folders
+    (source / "f1.txt").write_text("a\n")
+    query = jobs.start_word_count(lines.read_lines(spark, str(source)), out, checkpoint, interval="1 second")
+    query.processAllAvailable()
+    assert query.isActive
+    with pytest.raises(TimeoutError):
+        jobs.finish(query, 1)
+    assert not query.isActive
+    assert lines.BATCH_INTERVAL == "10 seconds"
+
+
+def test_per_batch_counts_add_up_to_the_whole(spark, small):
+    per_batch = queries.REGISTRY["stream_word_count_per_batch"](spark, small)
+    whole = {r.word: r.n for r in queries.REGISTRY["stream_word_count"](spark, small).collect()}
+    assert per_batch.select("batch_id").distinct().count() > 1
+    assert {r.word: r.n for r in per_batch.groupBy("word").agg({"n": "sum"}).toDF("word", "n").collect()} == whole
+
+
+def test_stream_scores_equal_batch_scores(spark, tiny):
+    streamed = {r.doc_id: r.prediction for r in queries.REGISTRY["stream_score_lr"](spark, tiny).collect()}
+    words = embeddings.word_lists(tables.all_reviews(spark, tiny))
+    batch = derived.lr_on_vectors(spark, tiny).transform(words).select("doc_id", "prediction").collect()
+    assert streamed == {r.doc_id: r.prediction for r in batch}
+
+
+@pytest.mark.parametrize("name", ["stream_score_kmeans", "stream_score_sink"])
+def test_every_line_is_scored_and_written_once(spark, small, name):
+    static = spark.read.text(queries.line_folder(spark, small))
+    if name == "stream_score_kmeans":
+        model = PipelineModel([derived.word2vec(spark, small), derived.kmeans_on_vectors(spark, small)])
+    else:
+        model = derived.lr_on_vectors(spark, small)
+    expected = sorted((r.text, r.prediction) for r in jobs.score_lines(static, model).collect())
+    rows = queries.REGISTRY[name](spark, small).collect()
+    assert sorted((r.text, r.prediction) for r in rows) == expected
+    assert len({r.batch_id for r in rows}) > 1
