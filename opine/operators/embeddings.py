@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from opine.functions import text as tx
 
 # Word2Vec trains one copy of the vectors per partition and averages them, so it gets
-# as few partitions as let each stay this small, and never more than the cluster's cores.
-BYTES_PER_TRAINING_PARTITION = 128 * 1024 * 1024
+# as few partitions as let each stay this small (a minute or two of training), and never
+# more than the cluster's cores.
+BYTES_PER_TRAINING_PARTITION = 16 * 1024 * 1024
 
 # Word2Vec holds the vocabulary and its vectors on the driver: about 2.4 GB at this
 # many words of 300 dimensions.
@@ -50,14 +51,16 @@ def training_partitions(corpus_bytes: int, cores: int) -> int:
 def min_count_that_fits(corpus: DataFrame, min_count: int = 40, max_vocabulary: int = MAX_VOCABULARY) -> int:
     """`min_count`, doubled until the driver can hold the words that reach it.
 
-    The vocabulary sizes of all candidates come from one pass and one row.
+    Only a vocabulary that does not fit costs a second pass, which sizes all candidates.
     """
-    candidates = [min_count << step for step in range(DOUBLINGS)]
     counts = corpus.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    reached = counts.where(F.col("n") >= min_count).count()
+    if reached <= max_vocabulary:
+        return min_count
+    candidates = [min_count << step for step in range(1, DOUBLINGS)]
     sizes = counts.agg(*[F.count_if(F.col("n") >= F.lit(c)).alias(str(c)) for c in candidates]).first()
     fits = next(c for c in candidates if sizes[str(c)] <= max_vocabulary)
-    if fits > min_count:
-        log.warning("min_count raised from %d to %d: %d words would not fit", min_count, fits, sizes[str(min_count)])
+    log.warning("min_count raised from %d to %d: %d words would not fit", min_count, fits, reached)
     return fits
 
 
