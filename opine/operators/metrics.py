@@ -85,7 +85,7 @@ def curve_counts(scored: DataFrame, ranges: int | None = None) -> DataFrame:
     )
     by_score = stage(counted, "score-counts")
     probabilities = [i / ranges for i in range(1, ranges)] or [0.5]
-    cuts = by_score.agg(F.percentile_approx("score", probabilities, F.lit(100 * ranges)).alias("cuts")).first().cuts or []
+    cuts = by_score.agg(F.percentile_approx("score", probabilities, F.lit(max(10_000, 10 * ranges))).alias("cuts")).first().cuts or []
     fixed_cuts = F.array(*[F.lit(cut) for cut in cuts]).cast("array<double>")
     below = F.filter(fixed_cuts, lambda cut: cut <= F.col("score"))
     ranged = by_score.withColumn("range", F.coalesce(F.size(below), F.lit(0)))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opine.operators import clusters, embeddings, features, models, splits
-from opine.session import gather, path_bytes, stage
+from opine.session import gather, new_folder, path_bytes, path_exists, stage, stage_at
 from opine.sources import tables
 
 _made: dict[tuple[str, str, str], Any] = {}
@@ -29,13 +29,21 @@ def once(spark: SparkSession, folder: str, name: str, make: Callable[[], Any]) -
     return _made[key]
 
 
+def table_once(spark: SparkSession, folder: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """As `once`, for a table in the shared folder; it is made again if that was cleaned up."""
+    key = (spark.sparkContext.applicationId, folder, name)
+    path, table = _made.get(key, (None, None))
+    if path is None or not path_exists(spark, path):
+        path = new_folder(spark, name.replace("_", "-"))
+        table = stage_at(make(), path)
+        _made[key] = (path, table)
+    return table
+
+
 def cleaned_reviews(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, label, review."""
-    return once(
-        spark,
-        folder,
-        "cleaned_reviews",
-        lambda: stage(features.cleaned(tables.labelled_reviews(spark, folder)), "cleaned-reviews"),
+    return table_once(
+        spark, folder, "cleaned_reviews", lambda: features.cleaned(tables.labelled_reviews(spark, folder))
     )
 
 
@@ -44,9 +52,9 @@ def review_terms(spark: SparkSession, folder: str) -> DataFrame:
 
     def make() -> DataFrame:
         reviews = cleaned_reviews(spark, folder).withColumn("part", splits.hash_part(F.col("doc_id"), 60))
-        return stage(features.term_rows(features.with_bucket_counts(reviews)), "review-terms")
+        return features.term_rows(features.with_bucket_counts(reviews))
 
-    return once(spark, folder, "review_terms", make)
+    return table_once(spark, folder, "review_terms", make)
 
 
 def word2vec(spark: SparkSession, folder: str) -> Word2VecModel:
@@ -67,10 +75,9 @@ def document_vectors(spark: SparkSession, folder: str) -> DataFrame:
 
     def make() -> DataFrame:
         words = embeddings.word_lists(tables.labelled_reviews(spark, folder))
-        vectors = word2vec(spark, folder).transform(words).select("doc_id", "label", "features")
-        return stage(vectors, "document-vectors")
+        return word2vec(spark, folder).transform(words).select("doc_id", "label", "features")
 
-    return once(spark, folder, "document_vectors", make)
+    return table_once(spark, folder, "document_vectors", make)
 
 
 def lr_on_vectors(spark: SparkSession, folder: str) -> PipelineModel:

@@ -443,14 +443,10 @@ def cv_best_predictions(spark: SparkSession, folder: str) -> DataFrame:
 # --- streaming ---------------------------------------------------------------------
 
 def line_folder(spark: SparkSession, folder: str) -> str:
-    """Conversation turns as a folder of text files."""
-
-    def make() -> str:
-        path = new_folder(spark, "stream-lines")
-        lines.write_lines(tables.conversation_lines(spark, folder), path)
-        return path
-
-    return derived.once(spark, folder, "line_folder", make)
+    """Conversation turns as a folder of text files, a new one for each query."""
+    path = new_folder(spark, "stream-lines")
+    lines.write_lines(tables.conversation_lines(spark, folder), path)
+    return path
 
 
 def _lines_in_halves(spark: SparkSession, folder: str) -> DataFrame:
@@ -511,7 +507,8 @@ def stream_clean(spark: SparkSession, folder: str) -> DataFrame:
 def stream_score_lr(spark: SparkSession, folder: str) -> DataFrame:
     """Scores of all documents, streamed as a table so that ids stay."""
     pattern = f"{folder}/documents*.parquet"
-    stream = lines.read_table_stream(spark, pattern, "doc_id bigint, text string")
+    rows = lines.read_table_stream(spark, pattern, "doc_id bigint, text string")
+    stream = spread(rows, path_bytes(spark, tables.table_path(folder, "documents")))
     scored = derived.lr_on_vectors(spark, folder).transform(embeddings.word_lists(stream))
     return _appended(scored.select("doc_id", "prediction"), "stream-lr")
 

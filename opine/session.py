@@ -96,6 +96,9 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     For results that several passes need: later passes read columns instead of
     cleaning the text again, and a lost executor costs no recomputation.
     """
-    folder = new_folder(df.sparkSession, purpose)
+    return stage_at(df, new_folder(df.sparkSession, purpose))
+
+
+def stage_at(df: DataFrame, folder: str) -> DataFrame:
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
