@@ -57,6 +57,12 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark)}/{spark.sparkContext.applicationId}/{purpose}-{uuid.uuid4().hex}"
 
 
+def remove_staged(spark: SparkSession) -> None:
+    """Delete what this application staged, and nothing else. Tables read from it are gone afterwards."""
+    own = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark)}/{spark.sparkContext.applicationId}")
+    own.getFileSystem(spark._jsc.hadoopConfiguration()).delete(own, True)
+
+
 def path_bytes(spark: SparkSession, path: str) -> int:
     """Bytes under a path, asked from the file system: no rows are read."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -4,6 +4,7 @@ import pytest
 from pyspark.errors import PySparkException
 
 from opine import session
+from opine.plans import derived
 from opine.sources import tables, tsv
 
 HEADER = "id\tsentiment\treview\n"
@@ -126,3 +127,13 @@ def test_only_small_tables_are_spread_or_gathered(spark):
     assert session.spread(df, 10 * session.SPREAD_PARTITION_BYTES).rdd.getNumPartitions() == 8
     assert session.gather(df, 1).rdd.getNumPartitions() == 1
     assert session.gather(df, 100 * session.GATHER_PARTITION_BYTES).rdd.getNumPartitions() == 3
+
+
+def test_staged_tables_are_made_again_after_clean_up(spark, tiny):
+    first = derived.cleaned_reviews(spark, tiny)
+    assert derived.cleaned_reviews(spark, tiny) is first
+    rows_before = rows(first)
+    session.remove_staged(spark)
+    again = derived.cleaned_reviews(spark, tiny)
+    assert again is not first
+    assert rows(again) == rows_before
