@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opine.llm import decontaminate
+from opine.llm import decontaminate, licenses
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,3 +25,8 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 @query
 def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+@query
+def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(_table(spark, folder, "documents"))
