@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opine.llm import decontaminate, licenses
+from opine.llm import decontaminate, licenses, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,3 +30,8 @@ def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(_table(spark, folder, "documents"))
+
+
+@query
+def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.scan(_table(spark, folder, "documents"))
