@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from opine.llm import decontaminate, licenses, secrets
+from opine.llm import decontaminate, language, licenses, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +33,14 @@ def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(_table(spark, folder, "documents"))
 
 
+@query
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents")
+    model = language.fit(documents.where(~language.held_out()))
+    predicted = language.predict(documents.select("doc_id", "text"), model)
+    return predicted.select("doc_id", language.held_out().alias("held_out"), "lang_pred", F.col("score"))
+
+
 @query
 def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan(_table(spark, folder, "documents"))
