@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opine.llm import decontaminate, language, licenses, secrets
+from opine.llm import decontaminate, language, licenses, secrets, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,18 @@ def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
+    """The public vocabulary file that the contract names, where it is installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.write_and_read(_table(spark, folder, "documents"), vocabulary_path())
+
+
 @query
 def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(_table(spark, folder, "documents"))
