@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opine.llm import decontaminate, language, licenses, secrets, token_files
+from opine.llm import decontaminate, fingerprints, language, licenses, secrets, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,6 +40,11 @@ def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.write_and_read(_table(spark, folder, "documents"), vocabulary_path())
 
 
+@query
+def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.compared(_table(spark, folder, "documents"))
+
+
 @query
 def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(_table(spark, folder, "documents"))
