@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opine.llm import decontaminate, fingerprints, language, licenses, secrets, token_files
+from opine.llm import decontaminate, fingerprints, language, licenses, quality, secrets, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +58,14 @@ def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return predicted.select("doc_id", language.held_out().alias("held_out"), "lang_pred", F.col("score"))
 
 
+@query
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents").select("doc_id", "text")
+    scored = quality.classified(documents, _table(spark, folder, "labels"))
+    predicted = (F.col("score") >= 0.5).cast("int")
+    return scored.select("doc_id", quality.held_out().alias("held_out"), "score", predicted.alias("predicted"))
+
+
 @query
 def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan(_table(spark, folder, "documents"))
