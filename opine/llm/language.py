@@ -14,6 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from opine.llm.common import text_or_empty
 
@@ -145,22 +146,23 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
     """
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
-    def predicted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def predicted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         known = shared.value
-        for batch in batches:
-            names, scores = np.full(len(batch), UNKNOWN, dtype=object), np.zeros(len(batch))
-            ask = np.flatnonzero(batch["ask"]) if known.languages else np.empty(0, dtype=np.int64)
+        for texts in batches:
+            names, scores = np.full(len(texts), UNKNOWN, dtype=object), np.zeros(len(texts))
+            ask = np.flatnonzero(texts.notna()) if known.languages else np.empty(0, dtype=np.int64)
             if len(ask):
-                joint = _scores(batch["text"].iloc[ask].tolist(), known)
+                joint = _scores(texts.iloc[ask].tolist(), known)
                 best = joint.argmax(axis=1)
                 top = joint[np.arange(len(ask)), best]
                 names[ask] = np.array(known.languages, dtype=object)[best]
                 scores[ask] = 1 / np.exp(joint - top[:, None]).sum(axis=1)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "lang_pred": names, "score": scores})
+            yield pd.DataFrame({"lang_pred": names, "score": scores})
 
-    kind = dict(documents.dtypes)["doc_id"]
-    asked = documents.select("doc_id", text_or_empty().alias("text"), has_letter(text_or_empty()).alias("ask"))
-    return asked.mapInPandas(predicted, f"doc_id {kind}, lang_pred string, score double")
+    fields = [StructField("lang_pred", StringType()), StructField("score", DoubleType())]
+    predict_texts = F.pandas_udf(predicted, StructType(fields))
+    asked = F.when(has_letter(F.col("text")), F.col("text"))
+    return documents.select("doc_id", predict_texts(asked).alias("found")).select("doc_id", "found.*")
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opine.llm import decontaminate, fingerprints, language, licenses, quality, secrets, token_files
+from opine.llm import decontaminate, fingerprints, language, licenses, main_text, quality, secrets, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +58,12 @@ def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return predicted.select("doc_id", language.held_out().alias("held_out"), "lang_pred", F.col("score"))
 
 
+@query
+def op8_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    extracted = main_text.extract(_table(spark, folder, "pages").select("page_id", "url", "html"))
+    return extracted.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 @query
 def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     documents = _table(spark, folder, "documents").select("doc_id", "text")

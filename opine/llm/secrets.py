@@ -19,6 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from opine.llm.common import text_or_empty
 from opine.llm.secret_rules import BASE, MORE, Rule
@@ -223,25 +224,23 @@ def scan(documents: DataFrame, rules: Sequence[Rule] = BASE + MORE) -> DataFrame
     empty text has none. Rows may repeat and ids may be null; other columns are not read.
     """
     rules = tuple(rules)
-    base = [n for n, rule in enumerate(rules) if rule.base]
-    counts = [f"n_{rules[n].kind}" for n in base]
+    counts = {f"n_{rule.kind}": n for n, rule in enumerate(rules) if rule.base}
 
-    def scanned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scanned(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         prepared = _prepared(rules)
-        for batch in batches:
+        for texts in batches:
             found: list = []
-            for first, end in _segments(batch["text"]):
-                found += find_spans(batch["text"].iloc[first:end].tolist(), rules, prepared)
-            out = {"doc_id": batch["doc_id"]}
-            for name, number in zip(counts, base, strict=True):
-                out[name] = [sum(n == number for _, n, _ in spans) for spans in found]
+            for first, end in _segments(texts):
+                found += find_spans(texts.iloc[first:end].tolist(), rules, prepared)
+            out = {name: [sum(n == number for _, n, _ in spans) for spans in found] for name, number in counts.items()}
             named = [[(n, f"{rules[n].kind}:{start}:{end}") for start, n, end in spans] for spans in found]
             out["base_sha256"] = [
-                hashlib.sha256(",".join(s for n, s in spans if n in base).encode()).hexdigest() for spans in named
+                hashlib.sha256(",".join(s for n, s in spans if rules[n].base).encode()).hexdigest() for spans in named
             ]
             out["spans"] = [",".join(s for _, s in spans) for spans in named]
             yield pd.DataFrame(out)
 
-    kind = dict(documents.dtypes)["doc_id"]
-    schema = f"doc_id {kind}, {''.join(f'{name} bigint, ' for name in counts)}base_sha256 string, spans string"
-    return documents.select("doc_id", text_or_empty().alias("text")).mapInPandas(scanned, schema)
+    fields = [StructField(name, LongType()) for name in counts]
+    fields += [StructField("base_sha256", StringType()), StructField("spans", StringType())]
+    scan_texts = F.pandas_udf(scanned, StructType(fields))
+    return documents.select("doc_id", scan_texts(text_or_empty()).alias("found")).select("doc_id", "found.*")
