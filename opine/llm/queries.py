@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opine.llm import decontaminate, fingerprints, language, licenses, main_text, quality, secrets, token_files
+from opine.llm import decontaminate, fingerprints, language, licenses, main_text, near_duplicates, quality, secrets, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +45,11 @@ def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.compared(_table(spark, folder, "documents"))
 
 
+@query
+def op4_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates.classes(_table(spark, folder, "documents")).drop("node")
+
+
 @query
 def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(_table(spark, folder, "documents"))
