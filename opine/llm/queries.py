@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opine.llm import decontaminate, fingerprints, language, licenses, main_text, near_duplicates, quality, secrets, token_files
+from opine.llm import decontaminate, fingerprints, language, licenses, main_text, mixing, near_duplicates, quality, secrets, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,6 +55,14 @@ def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(_table(spark, folder, "documents"))
 
 
+@query
+def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """A row for each use of a document, in the order of `slot`."""
+    mixed = mixing.mixed(_table(spark, folder, "documents").select("doc_id", "source", "text"))
+    named = {"__tokens": "n_words", "__weight": "weight", "__pass": "pass", "__block": "block", "__slot": "slot"}
+    return mixed.drop("text").withColumnsRenamed(named)
+
+
 @query
 def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     documents = _table(spark, folder, "documents")
