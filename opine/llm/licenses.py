@@ -19,7 +19,7 @@ from opine.llm.common import digest, words
 from opine.llm.license_text import BASE, NOTICES, Template
 from opine.session import stage
 
-RARE_WORDS = 3
+RARE_WORDS = 5
 AGREEING = 2
 
 
