@@ -158,7 +158,7 @@ def _density(chars: float, tags: float, link_chars: float, links: float, body_ch
         return 0.0
     plain = max(chars - link_chars, 1.0)
     base = math.log(chars * link_chars / plain + body_link_chars * chars / max(body_chars, 1.0) + math.e) + 1.0
-    return chars / tags * math.log(math.e * chars / max(link_chars, 1.0) * tags / max(links, 1.0)) / math.log(base)
+    return chars / tags * math.log(chars / max(link_chars, 1.0) * tags / max(links, 1.0)) / math.log(base)
 
 
 def _article(tree: _Tree) -> list[int]:
