@@ -1,0 +1,75 @@
+from __future__ import annotations
+
+import zlib
+
+import pytest
+
+from opine.llm import quality as q
+
+
+def test_held_out_accuracy(spark, small):
+    documents, labels = (spark.read.parquet(f"{small}/{n}.parquet") for n in ("documents", "labels"))
+    rows = q.classified(documents.select("doc_id", "text"), labels).join(labels, "doc_id").collect()
+    held = [r for r in rows if zlib.crc32(str(r.doc_id).encode()) % 3 == 1]
+    assert len(held) > 50
+    assert sum((r.score >= 0.5) == bool(r.quality) for r in held) >= 0.95 * len(held)
+
+
+def test_labels_of_held_out_rows_are_not_read(spark, small):
+    documents, labels = (spark.read.parquet(f"{small}/{n}.parquet") for n in ("documents", "labels"))
+    turned = labels.selectExpr("doc_id", "IF(crc32(CAST(doc_id AS STRING)) % 3 = 1, 1 - quality, quality) AS quality")
+    taught = [sorted(map(tuple, q.training_rows(documents, t).collect())) for t in (labels, turned)]
+    assert taught[0] == taught[1] and taught[0]
+
+
+def test_sample_is_bounded(spark, small):
+    documents, labels = (spark.read.parquet(f"{small}/{n}.parquet") for n in ("documents", "labels"))
+    assert q.training_rows(documents, labels, rows=50).count() == 50
+
+
+def test_paths_of_a_printed_tree():
+    tree = """DecisionTreeClassificationModel: uid=x, depth=2, numNodes=5, numClasses=2, numFeatures=11
+  If (feature 0 <= 0.5)
+   Predict: 0.0
+  Else (feature 0 > 0.5)
+   If (feature 3 <= 2.0E-4)
+    Predict: 1.0
+   Else (feature 3 > 2.0E-4)
+    Predict: 0.0
+"""
+    first, other = q.STATISTICS[0], q.STATISTICS[3]
+    assert q.paths(tree) == [
+        (q.Condition(first, False, 0.5),),
+        (q.Condition(first, True, 0.5),),
+        (q.Condition(first, True, 0.5), q.Condition(other, False, 2e-4)),
+        (q.Condition(first, True, 0.5), q.Condition(other, True, 2e-4)),
+    ]
+
+
+def test_rules_become_columns(spark):
+    model = q.Model(-1.0, [((q.Condition("upper", True, 0.5),), 3.0)])
+    rows = q.score(spark.createDataFrame([(1, "ABC"), (2, "abc"), (3, None)], "doc_id bigint, text string"), model).collect()
+    assert [round(r.score, 4) for r in sorted(rows)] == [0.8808, 0.2689, 0.2689]
+
+
+def test_odd_rows_keep_their_columns(spark, odd):
+    table = odd.selectExpr("*", "'x' AS upper", "1 AS score")
+    model = q.Model(0.5, [((q.Condition("distinct", True, 0.9), q.Condition("log_words", True, 1.0)), -1.0)])
+    scored = q.score(table, model)
+    assert sorted(scored.columns) == sorted(table.columns)
+    rows = scored.collect()
+    assert len(rows) == odd.count() and all(0 < r.score < 1 and r.upper == "x" for r in rows)
+
+
+@pytest.mark.parametrize("taught, expected", [([], 0.5), ([1], 1.0), ([0], 0.0)])
+def test_fewer_than_two_classes(spark, odd, taught, expected):
+    learnt = next(d for d in (3, 4, 6, 7, 8) if zlib.crc32(str(d).encode()) % 3 != 1)
+    labels = spark.createDataFrame([(learnt, x, 0) for x in taught], "doc_id bigint, quality int, toxic int")
+    labels = labels.union(spark.createDataFrame([(5, None, 0), (None, 1, 0), (6, 7, 0)], labels.schema))
+    rows = q.classified(odd, labels).collect()
+    assert {round(r.score, 3) for r in rows} == {expected}
+
+
+def test_no_rows(spark, nothing, small):
+    labels = spark.read.parquet(f"{small}/labels.parquet")
+    assert q.classified(nothing, labels).collect() == []
