@@ -16,9 +16,12 @@ documents it was asked for.
 from __future__ import annotations
 
 import os
+import re
 import struct
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -42,8 +45,8 @@ DIRECTORY_HEAD = struct.Struct("<4sBQ")
 
 LEVEL = 3
 END_ID = 1
-# Encoded pieces a task remembers, and the longest piece it does (about 250 bytes each).
-REMEMBERED, LONGEST_REMEMBERED = 500_000, 48
+# Encoded pieces, and lower-case words, that a task remembers, and the longest piece it does (about 200 bytes each).
+REMEMBERED, LONGEST_REMEMBERED = 800_000, 48
 UNSEEN_AT_ONCE = 20_000
 
 
@@ -106,7 +109,8 @@ class TokenFile:
 
     def _content(self, frame: int) -> bytes:
         try:
-            content = self.decompressor.decompress(self._read(int(self.offsets[frame]), int(self.sizes[frame])))
+            stored = self._read(int(self.offsets[frame]), int(self.sizes[frame]))
+            content = self.decompressor.decompress(stored, allow_extra_data=False)
         except zstandard.ZstdError as damage:
             raise ValueError(f"damaged frame {frame}") from damage
         if len(content) != self.lengths[frame] or xxhash.xxh64_intdigest(content) & 0xFFFFFFFF != self.checks[frame]:
@@ -128,38 +132,89 @@ class TokenFile:
 # --- encoding --------------------------------------------------------------------------
 
 
+# A word of letters of Latin-1 with signs of ASCII after it, but no apostrophe: what texts mostly consist of.
+PLAIN_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+PROBES = ("a", "the", "thing", "queño", "straße", "ÿàé", "internationalization", "zzxqj")
+
+
+def _byte_character(byte: int) -> str:
+    """Byte-level vocabularies write a byte as itself where Latin-1 prints it, else as the next free character."""
+    unprinted = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255)]
+    return chr(256 + unprinted.index(byte)) if byte in unprinted else chr(byte)
+
+
+_BYTE_LEVEL = {c: "".join(map(_byte_character, chr(c).encode())) for c in range(0xDF, 0x100)}
+
+
 class Encoder:
     """Text to ids as bytes. Texts are cut at blanks and line ends, where the tokenizer cuts them too, and
-    encoded pieces are remembered, because words come back."""
+    encoded pieces are remembered, because words come back. A plain word goes straight to the tokenizer's model
+    in lower case, if that gives what the whole tokenizer gives; every other piece goes through all of it."""
 
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
+        self.model = self.tokenizer.model
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.code = "H" if self.width == 2 else "I"
         self.known: dict[str, bytes] = {}
+        self.lower: dict[str, bytes] = {}
+        whole = self._encoded([*PROBES, *map(str.upper, PROBES[:4])])
+        self.signs: dict[str, bytes] = {}
+        self.has_plain_words = whole == [self._plain(p) for p in (*PROBES, *PROBES[:4])]
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        if sys.byteorder == "little":
+            return array(self.code, ids).tobytes()
+        return np.array(ids, dtype=f"<u{self.width}").tobytes()
 
     def _encoded(self, pieces: list[str]) -> list[bytes]:
-        kind = f"<u{self.width}"
         found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(one.ids, dtype=kind).tobytes() for one in found]
+        return [self._bytes(one.ids) for one in found]
+
+    def _plain(self, lower: str) -> bytes:
+        written = lower if lower.isascii() else lower.translate(_BYTE_LEVEL)
+        return self._bytes([token.id for token in self.model.tokenize(written)])
+
+    def _learn(self, unseen: set[str]) -> dict[str, bytes]:
+        """Encode pieces; those too long to remember are returned."""
+        known, other = self.known, []
+        for piece in unseen:
+            match = PLAIN_WORD.fullmatch(piece) if self.has_plain_words and len(piece) <= LONGEST_REMEMBERED else None
+            if match is None:
+                other.append(piece)
+                continue
+            lower, signs = match[1].lower(), match[2]
+            ids = self.lower.get(lower)
+            if ids is None:
+                ids = self.lower[lower] = self._plain(lower)
+            if signs:
+                if signs not in self.signs:
+                    self.signs[signs] = self._encoded([signs])[0]
+                ids += self.signs[signs]
+            known[piece] = ids
+        long = {}
+        for at in range(0, len(other), UNSEEN_AT_ONCE):
+            part = other[at : at + UNSEEN_AT_ONCE]
+            for piece, ids in zip(part, self._encoded(part), strict=True):
+                (known if len(piece) <= LONGEST_REMEMBERED else long)[piece] = ids
+        return long
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         cut = [text.replace("\n", " ").split(" ") for text in texts]
-        unseen = list({piece for pieces in cut for piece in pieces}.difference(self.known))
+        pieces = set().union(*cut)
+        unseen = pieces.difference(self.known)
         if len(self.known) + len(unseen) > REMEMBERED:
-            self.known = {}
-            unseen = list({piece for pieces in cut for piece in pieces})
+            self.known, unseen = {}, pieces
+        if len(self.lower) + len(self.signs) > REMEMBERED:
+            self.lower, self.signs = {}, {}
+        long = self._learn(unseen)
         own = self.known
-        long = {}
-        for at in range(0, len(unseen), UNSEEN_AT_ONCE):
-            part = unseen[at : at + UNSEEN_AT_ONCE]
-            for piece, ids in zip(part, self._encoded(part), strict=True):
-                (own if len(piece) <= LONGEST_REMEMBERED else long)[piece] = ids
         if long:
-            return [b"".join([own[p] if p in own else long[p] for p in pieces]) for pieces in cut]
-        return [b"".join(map(own.__getitem__, pieces)) for pieces in cut]
+            return [b"".join([own[p] if p in own else long[p] for p in listed]) for listed in cut]
+        return [b"".join(map(own.__getitem__, listed)) for listed in cut]
 
 
 # --- over documents --------------------------------------------------------------------
