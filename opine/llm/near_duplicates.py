@@ -1,14 +1,18 @@
 """Near duplicates by order min-hash.
 
 A text is the sequence of its five-word shingles, each labelled by how often it has come before. For each sketch
-every labelled shingle gets a hash; the few smallest are kept in the order in which they stand in the text, so two
-texts agree on a sketch only if they share those shingles in that order. Texts that agree on a sketch share a bucket.
-
-In a bucket nobody is compared with everybody. First each text is compared with the bucket's two representatives,
-the smallest and the largest of its texts by digest. Links are contracted to groups. Pairs of one bucket that are still in
-different groups are then compared too, but for those that the distances to a representative rule out: one minus
-the Jaccard similarity is a metric, so two texts whose distances to a third one differ by more than 0.2 are no
-near duplicates. No other limit is set, so no link between texts that share a bucket is lost.
+every labelled shingle gets a hash. The few smallest of all and the few largest of those that come for the first time
+are kept in the order in which they stand in the text, so two texts agree on a sketch only if they share those shingles
+in that order. (With the smallest alone, texts that share nothing but a line they repeat often would agree on its
+labels.) Texts that agree on a sketch share a bucket.
+
+In a bucket nobody is compared with everybody. First each text is compared with the bucket's two representatives:
+the smallest of its texts by digest, and the one that meets most texts in all its buckets, which is what copies were
+made from if it is there. Links are contracted to groups. Pairs of one bucket that are still in
+different groups are then compared too, but for those that bounds rule out: one minus the Jaccard similarity is a
+metric, so two texts whose distances to a third one differ by more than 0.2 are no near duplicates; and texts whose
+outlines differ too much are none (see `_may_be_alike`). Both bounds are exact and no other limit is set, so no link
+between texts that share a bucket is lost.
 
 A link needs a Jaccard similarity of the shingle sets of 0.8 or more, and an alignment of the words in which at
 least 0.8 of the two texts is matched; the alignment looks at a band of diagonals only, as wide as the edits it allows.
@@ -19,7 +23,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, LongType, StructField, StructType
 
@@ -28,8 +32,10 @@ from opine.session import stage
 
 SHINGLE = 5
 SIMILARITY = 0.8
-# At a similarity of 0.8 a sketch of 4 shingles agrees with a chance of about 0.41, and one of 20 with 0.99997.
-SKETCHES, KEPT = 20, 4
+# At a similarity of 0.8 a sketch of 2 + 2 shingles agrees with a chance of about 0.41, and one of 20 with 0.99997.
+SKETCHES, KEPT, FIRSTS = 20, 2, 2
+# Classes of shingles, as a power of two, in the outlines that tell unlike texts apart.
+OUTLINE_BITS = 11
 # Texts in question up to which their digests are sent to every executor (16 bytes each).
 BROADCAST_ROWS = 1_000_000
 
@@ -69,13 +75,17 @@ def sketch(word_hashes: np.ndarray) -> np.ndarray:
     labelled = _mixed(found + occurrence * _MULTIPLIERS[1])
     kept = min(KEPT, len(labelled))
     buckets = _SEEDS.copy()
-    chosen = np.empty((SKETCHES, kept), dtype=np.uint64)
+    first = np.flatnonzero(occurrence == 0)
+    others = min(FIRSTS, len(first))
+    chosen = np.empty((SKETCHES, kept + others), dtype=np.uint64)
     for n, seed in enumerate(_SEEDS):
         ranks = (labelled ^ seed) * _MULTIPLIERS[0]
         ranks ^= ranks >> np.uint64(32)
         at = np.argpartition(ranks, kept - 1)[:kept] if kept < len(ranks) else places
-        chosen[n] = labelled[np.sort(at)]
-    for place in range(kept):
+        of_first = ranks[first]
+        top = first[np.argpartition(of_first, len(first) - others)[-others:]] if others < len(first) else first
+        chosen[n] = labelled[np.sort(np.r_[at, top])]
+    for place in range(kept + others):
         buckets = _mixed((buckets ^ chosen[:, place]) * _MULTIPLIERS[0])
     return buckets.view(np.int64)
 
@@ -140,19 +150,55 @@ def _compared(a: pd.Series, b: pd.Series) -> pd.DataFrame:
 _COMPARED = StructType([StructField("jaccard", DoubleType()), StructField("linked", BooleanType())])
 
 
-def _hashed_words() -> F.Column:
+def outline(word_hashes: np.ndarray) -> tuple[int, np.ndarray]:
+    """How many shingles the set has, and a bit for each class of them: whether it holds an odd number of them."""
+    listed = np.unique(shingles(word_hashes))
+    held = np.bincount((listed >> np.uint64(64 - OUTLINE_BITS)).astype(np.int64), minlength=1 << OUTLINE_BITS)
+    return len(listed), np.packbits((held & 1).astype(np.uint8)).view(np.int64)
+
+
+def _outlines(batch: pd.Series) -> pd.DataFrame:
+    made = [outline(words) for words in batch]
+    return pd.DataFrame({"n_shingles": [n for n, _ in made], "odd": [bits for _, bits in made]})
+
+
+_OUTLINE = StructType([StructField("n_shingles", LongType()), StructField("odd", ArrayType(LongType()))])
+
+
+def _may_be_alike(x: str, y: str) -> Column:
+    """False only where the Jaccard similarity is below the threshold for certain.
+
+    Distances obey the triangle inequality. A shingle that only one of two sets has turns one bit of its
+    outline, so the differing bits are no more than such shingles, and of these there may be
+    (n + n) * (1 - s) / (1 + s) at a similarity of s.
+    """
+    most = 1 - SIMILARITY + 1e-9
+    near = F.lit(True)
+    for end in ("far_low", "far_central"):
+        near = near & (F.abs(F.col(f"{x}.{end}") - F.col(f"{y}.{end}")) <= most)
+    n_both = F.col(f"{x}.n_shingles") + F.col(f"{y}.n_shingles")
+    differing = F.lit(0)
+    for k in range((1 << OUTLINE_BITS) // 64):
+        differing = differing + F.bit_count(F.get(f"{x}.odd", F.lit(k)).bitwiseXOR(F.get(f"{y}.odd", F.lit(k))))
+    return near & (differing <= n_both * ((1 - SIMILARITY) / (1 + SIMILARITY)) + 1e-6)
+
+
+def _hashed_words() -> Column:
     return F.transform(words("text"), lambda w: F.hash(w))
 
 
-def _verified(pairs: DataFrame, documents: DataFrame) -> DataFrame:
-    """a, b, jaccard, linked for pairs of digests; the texts in question are read again, not shuffled whole."""
-    pairs = stage(pairs, "pairs")
-    nodes = stage(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "pair-nodes")
+def _texts(nodes: DataFrame, documents: DataFrame) -> DataFrame:
+    """node, words (hashed) of the texts in question; they are read again, not shuffled whole."""
+    nodes = stage(nodes, "nodes")
     asked = small_side(nodes, nodes.count(), BROADCAST_ROWS)
     texts = documents.select(digest("text").alias("node"), "text").join(asked, "node", "left_semi")
     # One row for each node: first() of equal rows.
     texts = texts.select("node", _hashed_words().alias("words")).groupBy("node").agg(F.first("words").alias("words"))
-    texts = stage(texts, "pair-texts")
+    return stage(texts, "node-texts")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """a, b, jaccard, linked for pairs of digests."""
     compare = F.pandas_udf(_compared, _COMPARED)
     both = pairs.join(texts.select(F.col("node").alias("a"), F.col("words").alias("a_words")), "a").join(
         texts.select(F.col("node").alias("b"), F.col("words").alias("b_words")), "b"
@@ -192,14 +238,18 @@ def groups(documents: DataFrame) -> DataFrame:
     buckets_of = F.pandas_udf(_sketches, ArrayType(LongType()))
     sketched = sketched.select("node", buckets_of("words").alias("buckets")).groupBy("node").agg(F.first("buckets").alias("buckets"))
     members = stage(sketched.select("node", F.explode("buckets").alias("bucket")), "sketches")
-    ends = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    members = stage(members.join(ends.where(F.col("low") != F.col("high")), "bucket"), "buckets")
+    sizes = members.groupBy("bucket").agg(F.min("node").alias("low"), F.count(F.lit(1)).alias("size"))
+    members = stage(members.join(sizes.where(F.col("size") > 1), "bucket"), "buckets")
+    met = members.groupBy("node").agg(F.sum("size").alias("met"))
+    central = members.join(met, "node").groupBy("bucket").agg(F.max_by("node", F.struct("met", "node")).alias("central"))
+    members = stage(members.join(central, "bucket"), "representatives")
 
     def with_end(end: str) -> DataFrame:
-        met = members.where(F.col("node") != F.col(end))
-        return met.select(F.least("node", end).alias("a"), F.greatest("node", end).alias("b"))
+        others = members.where(F.col("node") != F.col(end))
+        return others.select(F.least("node", end).alias("a"), F.greatest("node", end).alias("b"))
 
-    verified = _verified(with_end("low").union(with_end("high")).distinct(), documents)
+    texts = _texts(members.select("node").distinct(), documents)
+    verified = _verified(with_end("low").union(with_end("central")).distinct(), texts)
     links = verified.where("linked").select("a", "b")
     found = components(links)
 
@@ -207,25 +257,25 @@ def groups(documents: DataFrame) -> DataFrame:
     grouped = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     split = grouped.groupBy("bucket").agg(F.min("component").alias("c_low"), F.max("component").alias("c_high"))
     split = split.where(F.col("c_low") != F.col("c_high")).select("bucket")
+    rest = grouped.join(split, "bucket").where((F.col("node") != F.col("low")) & (F.col("node") != F.col("central")))
     far = verified.select("a", "b", (1 - F.col("jaccard")).alias("far"))
-    rest = grouped.join(split, "bucket").where((F.col("node") != F.col("low")) & (F.col("node") != F.col("high")))
-    for end in ("low", "high"):
+    for end in ("low", "central"):
         rest = (
             rest.withColumns({"a": F.least("node", end), "b": F.greatest("node", end)})
             .join(far, ["a", "b"])
             .drop("a", "b")
             .withColumnRenamed("far", f"far_{end}")
         )
-    rest = stage(rest.select("bucket", "node", "component", "far_low", "far_high"), "open-buckets")
+    rest = stage(rest.select("bucket", "node", "component", "far_low", "far_central"), "open-buckets")
+    outlined = F.pandas_udf(_outlines, _OUTLINE)
+    outlines = texts.join(rest.select("node").distinct(), "node").select("node", outlined("words").alias("outline"))
+    rest = rest.join(stage(outlines.select("node", "outline.*"), "outlines"), "node")
     x, y = rest.alias("x"), rest.alias("y")
-    most = 1 - SIMILARITY + 1e-9
-    near_enough = (F.abs(F.col("x.far_low") - F.col("y.far_low")) <= most) & (
-        F.abs(F.col("x.far_high") - F.col("y.far_high")) <= most
-    )
     is_open = (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component"))
     same_bucket = F.col("x.bucket") == F.col("y.bucket")
-    open_pairs = x.join(y, same_bucket & is_open & near_enough).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    more = _verified(open_pairs.distinct().join(far, ["a", "b"], "left_anti"), documents)
+    open_pairs = x.join(y, same_bucket & is_open & _may_be_alike("x", "y"))
+    open_pairs = open_pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    more = _verified(open_pairs.join(far, ["a", "b"], "left_anti"), texts)
     if more.where("linked").isEmpty():
         return found
     return components(links.union(more.where("linked").select("a", "b")))
