@@ -6,6 +6,7 @@ function does, so a chain of them evaluates every step once.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from html.entities import name2codepoint
 
@@ -17,7 +18,7 @@ from opine.functions.stopwords import ENGLISH
 # The patterns of the cleaning rules. Dropped blocks go before tags,
 # because a script may hold text that looks like a tag.
 DROPPED_BLOCKS = r"(?is)<(?:script\b.*?</script\s*>|style\b.*?</style\s*>|!--.*?-->)"
-TAG = r"<[^>]*>"
+TAG = r"<[A-Za-z/!?][^>]*>"
 NON_LETTER = "[^a-zA-Z]"
 SENTENCE_END = r"([.!?]+)[ \t\r\n]+"
 BLANKS = " \t\r\n"
@@ -108,8 +109,10 @@ def sentences(raw: Column, abbreviations: Sequence[str] = ()) -> Column:
     The rule is plain: it also cuts after "Mr." unless `abbreviations` names "Mr".
     """
     if abbreviations:
-        names = "|".join(sorted(abbreviations))
+        names = "|".join(re.escape(a) for a in sorted(abbreviations))
+        raw = F.replace(raw, F.lit(ABBREVIATION_MARK), F.lit(" "))
         raw = F.regexp_replace(raw, rf"(?<![A-Za-z])({names})\.(?=[ \t\r\n])", "$1" + ABBREVIATION_MARK)
+    raw = F.replace(raw, F.lit(SENTENCE_MARK), F.lit(" "))
     marked = F.regexp_replace(raw, SENTENCE_END, "$1" + SENTENCE_MARK)
     if abbreviations:
         marked = F.replace(marked, F.lit(ABBREVIATION_MARK), F.lit("."))

@@ -8,13 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opine.operators.features import NUM_FEATURES, bounded
 
-BINARY = (0.0, 1.0)
-
 
 def fit(
     terms: DataFrame, documents: DataFrame, num_features: int = NUM_FEATURES, smoothing: float = 1.0, weight: str = "tfidf"
@@ -55,20 +53,47 @@ def fit(
     )
 
 
+def predict_rows(vectors: DataFrame, model: DataFrame, weights: DataFrame | None = None) -> DataFrame:
+    """`vectors` with `prediction` in place of `tf`: argmax over the model's classes, ties to the lower label.
+
+    The model, classes x buckets values, comes as one array for each class, and the weights (`bucket`, `idf`; without
+    them counts are used) as one array. A review is scored within its row: nothing is shuffled or exploded.
+    """
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct("bucket", "theta"))), lambda x: x["theta"])
+    classes = model.groupBy("label").agg(F.max("prior").alias("prior"), ordered.alias("theta"))
+    known = classes.agg(F.sort_array(F.collect_list(F.struct("label", "prior", "theta")))).scalar()
+    scored = vectors.withColumn("_known", known)
+    values = F.col("tf")
+    if weights is not None:
+        idf = weights.agg(F.transform(F.sort_array(F.collect_list(F.struct("bucket", "idf"))), lambda x: x["idf"])).scalar()
+        scored = scored.withColumn("_idf", idf)
+        weighted = lambda t: t["tf"] * F.get(F.col("_idf"), t["bucket"])
+        values = F.transform("tf", lambda t: F.struct(t["bucket"].alias("bucket"), weighted(t).alias("tf")))
+
+    def best(one: Column) -> Column:
+        total = F.aggregate(F.col("_values"), one["prior"], lambda acc, t: acc + t["tf"] * F.get(one["theta"], t["bucket"]))
+        return F.struct(total.alias("score"), (-one["label"]).alias("minus_label"))
+
+    scored = scored.withColumn("_values", values)
+    scored = scored.withColumn("_best", F.array_max(F.transform("_known", best)))
+    others = [c for c in vectors.columns if c != "tf"]
+    return scored.select(*others, (-F.col("_best.minus_label")).alias("prediction"))
+
+
 def predict(
     terms: DataFrame,
     model: DataFrame,
     key: str = "doc_id",
     num_features: int = NUM_FEATURES,
-    classes: Sequence[float] = BINARY,
+    classes: Sequence[float] | None = None,
     weight: str = "tfidf",
 ) -> DataFrame:
     """key, label, prediction: argmax over classes of prior + sum of weight * theta; ties to the lower label.
 
-    The model is turned to one row per bucket and broadcast (its size is bounded by
+    The classes are the model's, unless given. The model is turned to one row per bucket and broadcast (its size is bounded by
     the bucket count), so the only shuffle is one partly summed row per review.
     """
-    classes = sorted(classes)
+    classes = sorted(classes if classes is not None else (row.label for row in model.select("label").distinct().collect()))
     wide = model.groupBy("bucket").agg(
         *[F.max(F.when(F.col("label") == c, F.col("theta"))).alias(f"theta_{i}") for i, c in enumerate(classes)],
         *[F.max(F.when(F.col("label") == c, F.col("prior"))).alias(f"prior_{i}") for i, c in enumerate(classes)],

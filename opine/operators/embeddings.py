@@ -2,26 +2,19 @@
 
 from __future__ import annotations
 
-import logging
-import math
-
 from pyspark.ml.feature import Word2Vec, Word2VecModel
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opine.functions import text as tx
 
-# Word2Vec trains one copy of the vectors per partition and averages them, so it gets
-# as few partitions as let each stay this small (a minute or two of training), and never
-# more than the cluster's cores.
-BYTES_PER_TRAINING_PARTITION = 16 * 1024 * 1024
-
-# Word2Vec holds the vocabulary and its vectors on the driver: about 2.4 GB at this
-# many words of 300 dimensions.
-MAX_VOCABULARY = 1_000_000
-DOUBLINGS = 40
-
-log = logging.getLogger(__name__)
+# Word2Vec trains one copy of the vectors per partition and averages them. The number is a
+# setting with a fixed default: it must not follow the input's size or the cluster's cores,
+# since other partitions give other vectors. With one partition a fit can be repeated exactly;
+# with more, a large corpus trains in parallel, but sums of floats depend on the order of arrival.
+TRAINING_PARTITIONS = 1
 
 
 def sentence_rows(reviews: DataFrame, raw: str = "text", abbreviations: tuple[str, ...] = ()) -> DataFrame:
@@ -44,38 +37,52 @@ def word_lists(reviews: DataFrame, raw: str = "text") -> DataFrame:
     return reviews.select(*others, tx.review_words(F.col(raw)).alias("words"))
 
 
-def training_partitions(corpus_bytes: int, cores: int) -> int:
-    return max(1, min(cores, math.ceil(corpus_bytes / BYTES_PER_TRAINING_PARTITION)))
-
-
-def min_count_that_fits(corpus: DataFrame, min_count: int = 40, max_vocabulary: int = MAX_VOCABULARY) -> int:
-    """`min_count`, doubled until the driver can hold the words that reach it.
-
-    Only a vocabulary that does not fit costs a second pass, which sizes all candidates.
-    """
-    counts = corpus.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    reached = counts.where(F.col("n") >= min_count).count()
-    if reached <= max_vocabulary:
-        return min_count
-    candidates = [min_count << step for step in range(1, DOUBLINGS)]
-    sizes = counts.agg(*[F.count_if(F.col("n") >= F.lit(c)).alias(str(c)) for c in candidates]).first()
-    fits = next(c for c in candidates if sizes[str(c)] <= max_vocabulary)
-    log.warning("min_count raised from %d to %d: %d words would not fit", min_count, fits, reached)
-    return fits
-
-
 def fit_word2vec(
-    corpus: DataFrame, partitions: int = 1, vector_size: int = 300, min_count: int = 40, seed: int = 42
+    corpus: DataFrame,
+    partitions: int = TRAINING_PARTITIONS,
+    vector_size: int = 300,
+    min_count: int = 40,
+    max_iter: int = 1,
+    seed: int = 42,
+    keys: tuple[str, ...] = ("doc_id", "sent_pos"),
 ) -> Word2VecModel:
     """Fit on the `words` of a sentence corpus.
 
-    The vocabulary and its vectors are held by the driver; see `min_count_that_fits`.
+    Sentences are dealt by their keys and sorted by them, so with one partition the vectors depend on
+    the rows and the settings only, not on files or cores. The vocabulary and its vectors are held by the driver: one
+    that does not fit fails the job, and the caller chooses a higher `min_count`.
     """
+    dealt = corpus.repartition(partitions, *keys).sortWithinPartitions(*keys)
     return Word2Vec(
         vectorSize=vector_size,
         minCount=min_count,
+        maxIter=max_iter,
         seed=seed,
         numPartitions=partitions,
         inputCol="words",
         outputCol="features",
-    ).fit(corpus.select("words"))
+    ).fit(dealt.select("words"))
+
+
+def average_vectors(documents: DataFrame, vectors: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The rows of `documents` with `features` in place of `words`: the sum of their words' vectors / all their words.
+
+    `vectors` has word and vector (array<double>), a row for each word. A word without a vector counts in
+    the divisor only; a document without known words has zeros. Words are counted by document before
+    they meet their vectors, and neither table is collected: Spark broadcasts the vectors only while
+    they are under its own threshold.
+    """
+    size = F.coalesce(vectors.agg(F.max(F.size("vector"))).scalar(), F.lit(0))
+    counted = (
+        documents.select(key, F.explode("words").alias("word")).groupBy(key, "word").agg(F.count(F.lit(1)).alias("n"))
+    )
+    known = counted.join(vectors, "word").select(key, array_to_vector("vector").alias("vector"), F.col("n").cast("double"))
+    sums = known.groupBy(key).agg(Summarizer.sum(F.col("vector"), F.col("n")).alias("sum"))
+    sums = sums.select(key, vector_to_array("sum").alias("total"))
+    others = [c for c in documents.columns if c != "words"]
+    zeros = F.array_repeat(F.lit(0.0), size.cast("int"))
+    total = F.coalesce("total", zeros)
+    n_words = F.greatest(F.size("words"), F.lit(1)).cast("double")
+    joined = documents.withColumn("_n_words", n_words).drop("words").join(sums, key, "left")
+    joined = joined.withColumn("_total", total)
+    return joined.select(*others, F.transform("_total", lambda x: x / F.col("_n_words")).alias("features"))

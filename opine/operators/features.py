@@ -11,18 +11,18 @@ from collections.abc import Sequence
 
 from pyspark.ml.feature import (
     IDF,
-    CountVectorizerModel,
     HashingTF,
     IndexToString,
     StringIndexer,
     StringIndexerModel,
     Tokenizer,
 )
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opine.functions import text as tx
+from opine.functions.counting import counted
 from opine.functions.hashing import md5_bucket
 from opine.functions.stopwords import ENGLISH
 
@@ -72,20 +72,23 @@ def index_to_label(indexer: StringIndexerModel, index_col: str, label_col: str)
 
 
 def with_bucket_counts(reviews: DataFrame, num_features: int = NUM_FEATURES) -> DataFrame:
-    """Replace `review` by `tf`, the vector of md5-bucket counts, made within the row."""
+    """Replace `review` by `tf`, an array of the buckets it uses with their counts, made within the row."""
     others = [c for c in reviews.columns if c != "review"]
-    buckets = F.transform(F.split("review", " "), lambda w: md5_bucket(w, num_features).cast("string"))
-    counter = CountVectorizerModel.from_vocabulary(
-        [str(b) for b in range(num_features)], inputCol="buckets", outputCol="tf"
-    )
-    return counter.transform(reviews.select(*others, buckets.alias("buckets"))).select(*others, "tf")
+    buckets = F.transform(F.split("review", " "), lambda w: md5_bucket(w, num_features))
+    return reviews.select(*others, counted(F.sort_array(buckets), "bucket", "tf").alias("tf"))
 
 
 def term_rows(vectors: DataFrame) -> DataFrame:
     """One row per review and bucket it uses: bucket, tf (bigint), and the other columns."""
     others = [c for c in vectors.columns if c != "tf"]
-    rows = vectors.select(*others, F.posexplode(vector_to_array("tf")).alias("bucket", "tf"))
-    return rows.where(F.col("tf") > 0).withColumn("tf", F.col("tf").cast("bigint"))
+    return vectors.select(*others, F.explode("tf").alias("used")).select(*others, "used.bucket", "used.tf")
+
+
+def as_vector(tf: str | Column, num_features: int = NUM_FEATURES) -> Column:
+    """`tf` as a Spark ML vector, with zeros for the other buckets."""
+    pairs = F.map_from_entries(tf)
+    every = F.sequence(F.lit(0), F.lit(num_features - 1))
+    return array_to_vector(F.transform(every, lambda b: F.coalesce(F.try_element_at(pairs, b), F.lit(0)).cast("double")))
 
 
 def idf_weights(terms: DataFrame, documents: DataFrame, num_features: int = NUM_FEATURES) -> DataFrame:

@@ -9,24 +9,19 @@ from pyspark.sql.window import Window
 
 from opine.session import stage
 
-# Score ranges per shuffle partition: more ranges than tasks even out the work. Each
-# distinct score is compared with every cut, so their number is kept moderate.
-RANGES_PER_PARTITION = 4
-MAX_RANGES = 1024
-
-
 def _correct() -> Column:
-    return F.col("label") == F.col("prediction")
+    """A missing prediction or label is not correct."""
+    return F.coalesce(F.col("label") == F.col("prediction"), F.lit(False))
 
 
 def accuracy() -> Column:
     """Correct rows / all rows, as an aggregate; NULL without rows."""
-    return F.avg(_correct().cast("double"))
+    return F.try_divide(F.count_if(_correct()).cast("double"), F.count(F.lit(1)).cast("double"))
 
 
 def error_rate() -> Column:
-    """Wrong rows / all rows, as an aggregate."""
-    return F.avg((~_correct()).cast("double"))
+    """All other rows / all rows, as an aggregate."""
+    return F.try_divide(F.count_if(~_correct()).cast("double"), F.count(F.lit(1)).cast("double"))
 
 
 def true_positives() -> Column:
@@ -71,26 +66,19 @@ def curve_counts(scored: DataFrame, ranges: int | None = None) -> DataFrame:
     """One row per distinct score: tp, fp at that score, tp_before, fp_before above it, and the totals p, n.
 
     Running counts over all scores would put every row in one task. So the distinct
-    scores are cut into ranges at approximate quantiles; each range is counted up by
-    itself and starts from the total of the ranges above it. The cuts only balance the
-    work: the counts are exact wherever they fall. The table of distinct scores is
-    written once, so the rows are scored once and not once for each of its three uses.
+    scores are dealt by ranges, as many as the session's shuffle partitions unless `ranges`
+    says otherwise; each range is counted up by itself and starts from the total of the
+    ranges above it. Where the ranges are cut only balances the work. The table of distinct
+    scores is written once, so the rows are scored once for all its uses.
     """
-    if ranges is None:
-        partitions = int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        ranges = min(RANGES_PER_PARTITION * partitions, MAX_RANGES)
     is_positive = (F.col("label") == 1.0).cast("bigint")
     counted = scored.groupBy("score").agg(
         F.sum(is_positive).alias("tp"), F.sum(F.lit(1).cast("bigint") - is_positive).alias("fp")
     )
-    by_score = stage(counted, "score-counts")
-    probabilities = [i / ranges for i in range(1, ranges)] or [0.5]
-    cuts = by_score.agg(F.percentile_approx("score", probabilities, F.lit(max(10_000, 10 * ranges))).alias("cuts")).first().cuts or []
-    fixed_cuts = F.array(*[F.lit(cut) for cut in cuts]).cast("array<double>")
-    below = F.filter(fixed_cuts, lambda cut: cut <= F.col("score"))
-    ranged = by_score.withColumn("range", F.coalesce(F.size(below), F.lit(0)))
-
-    # at most `ranges` rows from here on
+    by_range = counted.repartitionByRange(ranges, "score") if ranges else counted.repartitionByRange("score")
+    ranged = stage(by_range.withColumn("range", F.spark_partition_id()), "score-counts")
+
+    # one row for each range from here on
     totals = ranged.groupBy("range").agg(F.sum("tp").alias("range_tp"), F.sum("fp").alias("range_fp"))
     above = Window.orderBy(F.col("range").desc()).rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -115,20 +103,33 @@ def curve_counts(scored: DataFrame, ranges: int | None = None) -> DataFrame:
     )
 
 
-def auc_roc(scored: DataFrame, ranges: int | None = None) -> DataFrame:
-    """auc_roc by trapezoids over distinct scores; NULL if a class is missing."""
+def _area_roc() -> Column:
     c = {name: F.col(name).cast("double") for name in ("tp", "fp", "tp_before", "p", "n")}
     area = F.sum(c["fp"] * (c["tp_before"] + c["tp"] / 2))
-    return curve_counts(scored, ranges).agg(F.try_divide(area, F.max(c["p"]) * F.max(c["n"])).alias("auc_roc"))
+    return F.try_divide(area, F.max(c["p"]) * F.max(c["n"])).alias("auc_roc")
 
 
-def auc_pr(scored: DataFrame, ranges: int | None = None) -> DataFrame:
-    """auc_pr by trapezoids; the first point repeats the first precision. NULL without positives."""
+def _area_pr() -> Column:
     c = {name: F.col(name).cast("double") for name in ("tp", "fp", "tp_before", "fp_before", "p")}
     here = (c["tp_before"] + c["tp"]) / (c["tp_before"] + c["tp"] + c["fp_before"] + c["fp"])
     before = F.coalesce(F.try_divide(c["tp_before"], c["tp_before"] + c["fp_before"]), here)
     area = F.sum(c["tp"] * (here + before) / 2)
-    return curve_counts(scored, ranges).agg(F.try_divide(area, F.max(c["p"])).alias("auc_pr"))
+    return F.try_divide(area, F.max(c["p"])).alias("auc_pr")
+
+
+def auc_roc(scored: DataFrame, ranges: int | None = None) -> DataFrame:
+    """auc_roc by trapezoids over distinct scores; NULL if a class is missing."""
+    return curve_counts(scored, ranges).agg(_area_roc())
+
+
+def auc_pr(scored: DataFrame, ranges: int | None = None) -> DataFrame:
+    """auc_pr by trapezoids; the first point repeats the first precision. NULL without positives."""
+    return curve_counts(scored, ranges).agg(_area_pr())
+
+
+def areas(scored: DataFrame, ranges: int | None = None) -> DataFrame:
+    """Both areas from one table of score counts: one row, auc_roc and auc_pr."""
+    return curve_counts(scored, ranges).agg(_area_roc(), _area_pr())
 
 
 def evaluator(metric: str = "areaUnderROC", raw_col: str = "rawPrediction", bins: int = 1000) -> BinaryClassificationEvaluator:

@@ -2,42 +2,51 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression, NaiveBayes, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opine.operators.features import index_to_label, label_indexer
 
 
-def logistic_regression() -> LogisticRegression:
-    return LogisticRegression(maxIter=5, regParam=0.01)
+def logistic_regression(max_iter: int = 5, reg_param: float = 0.01) -> LogisticRegression:
+    return LogisticRegression(maxIter=max_iter, regParam=reg_param)
+
+
+def lbfgs_logistic_regression(max_iter: int = 10, reg_param: float = 0.0, intercept: bool = False) -> LogisticRegression:
+    """By default ten LBFGS iterations, no regularisation, no intercept."""
+    return LogisticRegression(maxIter=max_iter, regParam=reg_param, fitIntercept=intercept)
 
 
-def lbfgs_logistic_regression() -> LogisticRegression:
-    """Ten LBFGS iterations, no regularisation, no intercept."""
-    return LogisticRegression(maxIter=10, regParam=0.0, fitIntercept=False)
+def logistic_score(point: Column, coefficients: Sequence[float], intercept: float = 0.0) -> Column:
+    """The probability of label 1 of an array of numbers, by given coefficients."""
+    weights = F.array(*[F.lit(float(c)) for c in coefficients])
+    products = F.zip_with(point, weights, lambda x, w: x.cast("double") * w)
+    return 1 / (1 + F.exp(-F.aggregate(products, F.lit(float(intercept)), lambda total, x: total + x)))
 
 
 def naive_bayes(smoothing: float = 1.0) -> NaiveBayes:
     return NaiveBayes(smoothing=smoothing, modelType="multinomial")
 
 
-def random_forest() -> RandomForestClassifier:
-    """Two trees of depth two on indexed labels."""
-    return RandomForestClassifier(numTrees=2, maxDepth=2, labelCol="indexed", seed=42)
+def random_forest(trees: int = 2, depth: int = 2, seed: int = 42) -> RandomForestClassifier:
+    """By default two trees of depth two; on indexed labels."""
+    return RandomForestClassifier(numTrees=trees, maxDepth=depth, labelCol="indexed", seed=seed)
 
 
-def fit_random_forest(train: DataFrame) -> PipelineModel:
+def fit_random_forest(train: DataFrame, forest: RandomForestClassifier | None = None) -> PipelineModel:
     """Indexer, forest, and the way back: the model's `predicted` holds label text again.
 
     The forest works on indexes ordered by frequency, which are the labels inverted
     whenever label 1 is the majority; so its predictions are mapped back.
     """
     indexer = label_indexer().fit(train)
-    forest = random_forest().fit(indexer.transform(train))
-    return PipelineModel([indexer, forest, index_to_label(indexer, "prediction", "predicted")])
+    fitted = (forest or random_forest()).fit(indexer.transform(train))
+    return PipelineModel([indexer, fitted, index_to_label(indexer, "prediction", "predicted")])
 
 
 def score(model: Transformer, df: DataFrame, keep: tuple[str, ...] = ("doc_id", "label")) -> DataFrame:

@@ -21,8 +21,9 @@ def hash_part(key: Column, train_percent: int) -> Column:
 
 
 def hash_split(df: DataFrame, key: str, train_percent: int) -> tuple[DataFrame, DataFrame]:
-    is_train = hash_percent(F.col(key)) < train_percent
-    return df.where(is_train), df.where(~is_train)
+    """The training and the test rows; a NULL key is a test row, as in `hash_part`."""
+    part = hash_part(F.col(key), train_percent)
+    return df.where(part == "train"), df.where(part == "test")
 
 
 def hash_fold(key: Column, folds: int) -> Column:

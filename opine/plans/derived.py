@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opine.operators import clusters, embeddings, features, models, splits
-from opine.session import gather, new_folder, path_bytes, path_exists, stage, stage_at
+from opine.session import dealt, new_folder, path_exists, stage, stage_at
 from opine.sources import tables
 
 _made: dict[tuple[str, str, str], Any] = {}
@@ -47,14 +47,19 @@ def cleaned_reviews(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def review_terms(spark: SparkSession, folder: str) -> DataFrame:
-    """doc_id, label, part (60/40), bucket, tf."""
+def review_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """doc_id, label, part (60/40), tf: array of bucket and count."""
 
     def make() -> DataFrame:
         reviews = cleaned_reviews(spark, folder).withColumn("part", splits.hash_part(F.col("doc_id"), 60))
-        return features.term_rows(features.with_bucket_counts(reviews))
+        return features.with_bucket_counts(reviews)
+
+    return table_once(spark, folder, "review_vectors", make)
 
-    return table_once(spark, folder, "review_terms", make)
+
+def review_terms(spark: SparkSession, folder: str) -> DataFrame:
+    """doc_id, label, part (60/40), bucket, tf."""
+    return features.term_rows(review_vectors(spark, folder))
 
 
 def word2vec(spark: SparkSession, folder: str) -> Word2VecModel:
@@ -62,10 +67,7 @@ def word2vec(spark: SparkSession, folder: str) -> Word2VecModel:
 
     def make() -> Word2VecModel:
         sentences = embeddings.sentence_corpus(tables.unlabelled_reviews(spark, folder))
-        corpus = stage(sentences.select("words"), "sentence-corpus")
-        size = path_bytes(spark, tables.table_path(folder, "documents"))
-        partitions = embeddings.training_partitions(size, spark.sparkContext.defaultParallelism)
-        return embeddings.fit_word2vec(corpus, partitions, min_count=embeddings.min_count_that_fits(corpus))
+        return embeddings.fit_word2vec(stage(sentences, "sentence-corpus"))
 
     return once(spark, folder, "word2vec", make)
 
@@ -95,7 +97,6 @@ def kmeans_on_vectors(spark: SparkSession, folder: str) -> KMeansModel:
 
     def make() -> KMeansModel:
         train, _ = splits.hash_split(document_vectors(spark, folder), "doc_id", 60)
-        size = path_bytes(spark, tables.table_path(folder, "documents"))
-        return clusters.fit_kmeans_best(gather(train, size))
+        return clusters.fit_kmeans_best(dealt(train, "doc_id", clusters.TRAINING_PARTITIONS))
 
     return once(spark, folder, "kmeans_on_vectors", make)

@@ -27,7 +27,7 @@ def html_text(raw: str) -> str:
     """SQL for: drop scripts, styles, comments, tags; decode entities once."""
     stripped = (
         rf"regexp_replace(regexp_replace({raw}, '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->', "
-        r"'', 'g'), '<[^>]*>', '', 'g')"
+        r"'', 'g'), '<[A-Za-z/!?][^>]*>', '', 'g')"
     )
     rest = "substr(p, strpos(p, ';') + 1)"
     name = "regexp_extract(p, '^([A-Za-z][A-Za-z0-9]*);', 1)"
@@ -101,7 +101,7 @@ ORACLES["clean_review"] = f"SELECT doc_id, {review('text')} AS review FROM docum
 
 
 def sentence_list(text: str) -> str:
-    marked = rf"regexp_replace({text}, '([.!?]+)[ \t\r\n]+', '\1' || chr(1), 'g')"
+    marked = rf"regexp_replace(replace({text}, chr(1), ' '), '([.!?]+)[ \t\r\n]+', '\1' || chr(1), 'g')"
     blanks = "' ' || chr(9) || chr(10) || chr(13)"
     trimmed = f"list_transform(string_split({marked}, chr(1)), lambda s: trim(s, {blanks}))"
     return f"list_filter({trimmed}, lambda s: s <> '')"
@@ -188,6 +188,18 @@ ORACLES["label_index"] = (
     "FROM labels JOIN documents USING (doc_id) JOIN i USING (quality)"
 )
 
+# Fixed word vectors of `doc_vectors_given`: dimension k from the md5 of "word:k", for words of three letters and more.
+_DIMENSIONS = ", ".join(
+    "floor(coalesce(sum(CASE WHEN length(word) >= 3 THEN "
+    f"(({md5_bucket(f"word || ':{k}'", 2001)}) - 1000)::DOUBLE END), 0) / greatest(count(word), 1) * 1e6::DOUBLE + 0.3::DOUBLE)::BIGINT AS d{k}"
+    for k in range(4)
+)
+ORACLES["doc_vectors_given"] = (
+    f"WITH lists AS (SELECT doc_id, {words(html_text('text'))} AS parts FROM documents), "
+    "rows AS (SELECT doc_id, unnest(CASE WHEN len(parts) = 0 THEN [NULL] ELSE parts END) AS word FROM lists) "
+    f"SELECT doc_id, {_DIMENSIONS} FROM rows GROUP BY doc_id"
+)
+
 # --- naive Bayes -------------------------------------------------------------------
 
 IN_TRAIN = f"{part('doc_id', 60)} = 'train'"
@@ -233,6 +245,17 @@ ORACLES["metric_wssse"] = (
     f"WITH {ASSIGNED} SELECT round(sum(sqrt(dist2)), 6) AS sum_dist, round(sum(dist2), 6) AS wssse FROM assigned"
 )
 
+ORACLES["stream_assign_given"] = ORACLES["kmeans_assign"]
+
+# Coefficient i of the given model is ((i * 7) % 11 - 5) / 10, the intercept 0.05.
+ORACLES["lr_given_scores"] = (
+    "WITH points AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) - 1 AS idx "
+    "FROM embeddings), scored AS (SELECT vec_id, 1 / (1 + exp(-(0.05::DOUBLE + "
+    "sum(x * (((idx * 7) % 11 - 5) / 10.0::DOUBLE))))) AS score FROM points GROUP BY vec_id) "
+    "SELECT vec_id, round(score, 6) AS score, (score >= 0.5::DOUBLE)::INTEGER::DOUBLE AS prediction FROM scored"
+)
+ORACLES["stream_score_given"] = ORACLES["lr_given_scores"]
+
 # --- evaluation --------------------------------------------------------------------
 
 SCORED = (

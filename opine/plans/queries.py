@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from opine.functions import text as tx
 from opine.functions.hashing import md5_bucket
 from opine.operators import bayes, clusters, embeddings, explore, features, metrics, models, splits, tuning
-from opine.plans import derived
-from opine.session import gather, new_folder, path_bytes, spread
+from opine.plans import derived, recipes
+from opine.session import dealt, new_folder, path_bytes, spread
 from opine.sources import tables, tsv
 from opine.streaming import jobs, lines
 
@@ -23,6 +23,7 @@ REGISTRY: dict[str, Query] = {}
 
 TRAIN_PERCENT = 60
 SPLIT_SEED = 42
+TUNING_PARTITIONS = 8
 DIGITS = 6
 
 
@@ -42,28 +43,34 @@ def _joined(words: str | Column) -> Column:
 # --- sources -----------------------------------------------------------------------
 
 
+def _with_one_header(spark: SparkSession, reviews: DataFrame, purpose: str) -> str:
+    """Write reviews as a data set of several files: a small first one that holds the header line only, and
+    many without one."""
+    path = new_folder(spark, purpose)
+    tsv.write_tsv(reviews.limit(0), f"{path}/part=0")
+    tsv.write_tsv(reviews, f"{path}/part=1", header=False)
+    return f"{path}/part=*"
+
+
 @query
 def src_labeled_tsv(spark: SparkSession, folder: str) -> DataFrame:
-    path = new_folder(spark, "labelled-tsv")
     reviews = tables.labelled_reviews(spark, folder)
-    tsv.write_tsv(reviews.select(F.col("doc_id").alias("id"), F.col("label"), F.col("text").alias("review")), path)
-    return tsv.read_labelled(spark, path)
+    reviews = reviews.select(F.col("doc_id").alias("id"), F.col("label"), F.col("text").alias("review"))
+    return tsv.read_labelled(spark, _with_one_header(spark, reviews, "labelled-tsv"))
 
 
 @query
 def src_unlabeled_tsv(spark: SparkSession, folder: str) -> DataFrame:
-    path = new_folder(spark, "unlabelled-tsv")
     reviews = tables.unlabelled_reviews(spark, folder)
-    tsv.write_tsv(reviews.select(F.col("doc_id").alias("id"), F.col("text").alias("review")), path)
-    return tsv.read_unlabelled(spark, path)
+    reviews = reviews.select(F.col("doc_id").alias("id"), F.col("text").alias("review"))
+    return tsv.read_unlabelled(spark, _with_one_header(spark, reviews, "unlabelled-tsv"))
 
 
 @query
 def src_drop_header_by_value(spark: SparkSession, folder: str) -> DataFrame:
-    path = new_folder(spark, "headed-tsv")
     reviews = tables.labelled_reviews(spark, folder)
-    tsv.write_tsv(reviews.select(F.col("doc_id").alias("id"), F.col("label"), F.col("text").alias("review")), path)
-    return tsv.read_dropping_header_value(spark, path)
+    reviews = reviews.select(F.col("doc_id").alias("id"), F.col("label"), F.col("text").alias("review"))
+    return tsv.read_dropping_header_value(spark, _with_one_header(spark, reviews, "headed-tsv"))
 
 
 # --- text cleaning -----------------------------------------------------------------
@@ -235,6 +242,28 @@ def doc_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.select("doc_id", "label", vector_to_array("features").alias("features"))
 
 
+def word_vector(word: Column, size: int) -> Column:
+    """Fixed vectors by a rule: dimension k of a word from the md5 of "word:k". Whole numbers, so sums are exact."""
+    numbers = [md5_bucket(F.concat(word, F.lit(f":{k}")), 2001) for k in range(size)]
+    return F.array(*[(n - 1000).cast("double") for n in numbers])
+
+
+GIVEN_VECTOR_SIZE = 4
+
+
+@query
+def doc_vectors_given(spark: SparkSession, folder: str) -> DataFrame:
+    """Averages of given word vectors, in millionths: words of three letters and more have one."""
+    documents = embeddings.word_lists(tables.all_reviews(spark, folder))
+    known = documents.select(F.explode("words").alias("word")).where(F.length("word") >= 3).distinct()
+    vectors = known.select("word", word_vector(F.col("word"), GIVEN_VECTOR_SIZE).alias("vector"))
+    averaged = embeddings.average_vectors(documents, vectors)
+    # No average of fewer than ten million words has a seventh digit that lies on this cut.
+    millionths = [F.floor(F.get("features", F.lit(k)) * 1e6 + 0.3).cast("bigint") for k in range(GIVEN_VECTOR_SIZE)]
+    columns = [d.alias(f"d{k}") for k, d in enumerate(millionths)]
+    return averaged.select("doc_id", *columns)
+
+
 # --- models ------------------------------------------------------------------------
 
 
@@ -278,12 +307,12 @@ def nb_ml_predictions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _nb_training(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """All TF-IDF terms, weighted by the training rows' IDF, and the naive Bayes model of the training rows."""
+    """The training rows' IDF weights and the naive Bayes model of the training rows."""
     terms = derived.review_terms(spark, folder)
     train, _ = _split_reviews(spark, folder, TRAIN_PERCENT)
     weights = features.idf_weights(terms.where(F.col("part") == "train"), train)
-    weighted = features.tfidf(terms, weights)
-    return weighted, bayes.fit(weighted.where(F.col("part") == "train"), train)
+    weighted = features.tfidf(terms.where(F.col("part") == "train"), weights)
+    return weights, bayes.fit(weighted, train)
 
 
 @query
@@ -294,8 +323,29 @@ def nb_model(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def nb_predictions(spark: SparkSession, folder: str) -> DataFrame:
-    weighted, model = _nb_training(spark, folder)
-    return bayes.predict(weighted.where(F.col("part") == "test"), model)
+    weights, model = _nb_training(spark, folder)
+    test = derived.review_vectors(spark, folder).where(F.col("part") == "test").drop("part")
+    return bayes.predict_rows(test, model, weights)
+
+
+GIVEN_SIZE = 64
+
+
+def given_coefficients() -> list[float]:
+    """Fixed values by a rule: one coefficient for each of the 64 dimensions."""
+    return [((i * 7) % 11 - 5) / 10 for i in range(GIVEN_SIZE)]
+
+
+def _given_score(point: Column) -> Column:
+    return models.logistic_score(point, given_coefficients(), 0.05)
+
+
+@query
+def lr_given_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Logistic scoring by given coefficients."""
+    points = tables.read_table(spark, folder, "embeddings")
+    scored = points.select("vec_id", _given_score(F.col("embedding")).alias("score"))
+    return scored.select("vec_id", _rounded("score").alias("score"), (F.col("score") >= 0.5).cast("double").alias("prediction"))
 
 
 @query
@@ -320,13 +370,20 @@ def kmeans_best_of_10(spark: SparkSession, folder: str) -> DataFrame:
     return assigned.select("doc_id", "cluster", F.sqrt("dist2").alias("dist"))
 
 
-def _assigned_embeddings(spark: SparkSession, folder: str) -> DataFrame:
-    """Embeddings assigned to two given centres: the vectors with the two lowest ids."""
+def _points(spark: SparkSession, folder: str) -> DataFrame:
     table = tables.read_table(spark, folder, "embeddings")
-    points = table.select("vec_id", F.col("embedding").cast("array<double>").alias("point"))
-    centres = [row.point for row in points.orderBy("vec_id").limit(2).collect()]
+    return table.select("vec_id", F.col("embedding").cast("array<double>").alias("point"))
+
+
+def _given_centres(spark: SparkSession, folder: str) -> list[list[float]]:
+    """The vectors with the two lowest ids."""
+    return [row.point for row in _points(spark, folder).orderBy("vec_id").limit(2).collect()]
+
+
+def _assigned_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    """Embeddings assigned to the two given centres."""
     size = path_bytes(spark, tables.table_path(folder, "embeddings"))
-    return clusters.assign(spread(points, size), centres)
+    return clusters.assign(spread(_points(spark, folder), size), _given_centres(spark, folder))
 
 
 @query
@@ -418,8 +475,7 @@ def _cross_validated(spark: SparkSession, folder: str, kind: str) -> tuning.Cros
     def make() -> tuning.CrossValidatorModel:
         train, _ = _split_reviews(spark, folder, 60)
         classifier = models.logistic_regression() if kind == "lr" else models.naive_bayes()
-        size = path_bytes(spark, tables.table_path(folder, "documents"))
-        return tuning.fit_cross_validated(gather(train, size), classifier)
+        return tuning.fit_cross_validated(dealt(train, "doc_id", TUNING_PARTITIONS), classifier)
 
     return derived.once(spark, folder, f"cross_validated_{kind}", make)
 
@@ -440,6 +496,49 @@ def cv_best_predictions(spark: SparkSession, folder: str) -> DataFrame:
     return _cross_validated(spark, folder, "lr").transform(test).select("doc_id", "review", "prediction", "label")
 
 
+# --- the fitted models, evaluated on their test rows ---------------------------------
+
+RATIOS = ("accuracy", "test_error", "recall", "precision")
+
+
+def _evaluated(scored: DataFrame) -> DataFrame:
+    """The report and both areas: one row."""
+    report = recipes.report(scored)
+    return report.withColumns({name: _rounded(name) for name in (*RATIOS, "auc_roc", "auc_pr")})
+
+
+@query
+def lr_lbfgs_tfidf_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    return _evaluated(lr_lbfgs_tfidf_predictions(spark, folder))
+
+
+@query
+def lr_lbfgs_w2v_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    return _evaluated(lr_lbfgs_w2v_predictions(spark, folder))
+
+
+@query
+def lr_w2v_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    return _evaluated(lr_w2v_predictions(spark, folder))
+
+
+@query
+def rf_w2v_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    return _evaluated(rf_w2v_predictions(spark, folder))
+
+
+@query
+def cv_best_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    _, test = _split_reviews(spark, folder, 60)
+    return _evaluated(models.score(_cross_validated(spark, folder, "lr").bestModel, test))
+
+
+@query
+def kmeans_distance_sums(spark: SparkSession, folder: str) -> DataFrame:
+    train, _ = _split_vectors(spark, folder, TRAIN_PERCENT)
+    return clusters.distance_sums(clusters.assign_by_model(train, derived.kmeans_on_vectors(spark, folder)))
+
+
 # --- streaming ---------------------------------------------------------------------
 
 def line_folder(spark: SparkSession, folder: str) -> str:
@@ -449,10 +548,9 @@ def line_folder(spark: SparkSession, folder: str) -> str:
     return path
 
 
-def _lines_in_halves(spark: SparkSession, folder: str) -> DataFrame:
-    """The lines as a stream that takes about half of the folder per batch, whatever its size."""
-    path = line_folder(spark, folder)
-    return lines.read_lines(spark, path, max_bytes=path_bytes(spark, path) // 2 + 1)
+def _line_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The lines as a stream, paced by the fixed batch size."""
+    return lines.read_lines(spark, line_folder(spark, folder))
 
 
 def _appended(stream: DataFrame, name: str) -> DataFrame:
@@ -474,7 +572,7 @@ def _scored_lines(spark: SparkSession, folder: str, model: PipelineModel, predic
     """Save the model, load it as a separate streaming program would, and score every line."""
     saved = new_folder(spark, "model")
     model.save(saved)
-    scored = jobs.score_lines(_lines_in_halves(spark, folder), PipelineModel.load(saved), prediction)
+    scored = jobs.score_lines(_line_stream(spark, folder), PipelineModel.load(saved), prediction)
     out = new_folder(spark, "stream-scores")
     jobs.finish(jobs.start_batches(scored, out, new_folder(spark, "stream-scores-checkpoint"), interval=None))
     return jobs.read_batches(spark, out, jobs.SCORES)
@@ -494,7 +592,7 @@ def stream_word_count(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def stream_word_count_per_batch(spark: SparkSession, folder: str) -> DataFrame:
-    return _batched_word_counts(_lines_in_halves(spark, folder)).select("batch_id", "word", "n")
+    return _batched_word_counts(_line_stream(spark, folder)).select("batch_id", "word", "n")
 
 
 @query
@@ -503,6 +601,26 @@ def stream_clean(spark: SparkSession, folder: str) -> DataFrame:
     return _appended(cleaned.select(F.col("value").alias("line"), _joined("words").alias("words")), "stream-clean")
 
 
+def _embedding_stream(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.read_table_stream(spark, f"{folder}/embeddings*.parquet", "vec_id bigint, embedding array<float>")
+
+
+@query
+def stream_score_given(spark: SparkSession, folder: str) -> DataFrame:
+    """`lr_given_scores` on a stream."""
+    scored = _embedding_stream(spark, folder).select("vec_id", _given_score(F.col("embedding")).alias("score"))
+    prediction = (F.col("score") >= 0.5).cast("double").alias("prediction")
+    return _appended(scored.select("vec_id", _rounded("score").alias("score"), prediction), "stream-given")
+
+
+@query
+def stream_assign_given(spark: SparkSession, folder: str) -> DataFrame:
+    """`kmeans_assign` on a stream."""
+    points = _embedding_stream(spark, folder).select("vec_id", F.col("embedding").cast("array<double>").alias("point"))
+    assigned = clusters.assign(points, _given_centres(spark, folder))
+    return _appended(assigned.select("vec_id", "cluster", _rounded("dist2").alias("dist2")), "stream-assign")
+
+
 @query
 def stream_score_lr(spark: SparkSession, folder: str) -> DataFrame:
     """Scores of all documents, streamed as a table so that ids stay."""

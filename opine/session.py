@@ -14,14 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 # so only such a table is ever spread by hand.
 SPREAD_LIMIT_BYTES = 128 * 1024 * 1024
 SPREAD_PARTITION_BYTES = 64 * 1024
-GATHER_PARTITION_BYTES = 16 * 1024 * 1024
 
 _local_root: str | None = None
 
 
-def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
-    """A single-machine session for tests and the benchmark."""
-    return (
+def local_session(
+    cores: str | int = "*", shuffle_partitions: int = 8, memory: str = "8g", checkpoint_dir: str | None = None
+) -> SparkSession:
+    """A single-machine session for tests and the benchmark; `checkpoint_dir` holds what is staged."""
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("opine")
         .config("spark.driver.memory", memory)
@@ -30,8 +31,8 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    return (builder.config("spark.checkpoint.dir", checkpoint_dir) if checkpoint_dir else builder).getOrCreate()
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -78,7 +79,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def spread(df: DataFrame, size_bytes: int) -> DataFrame:
     """Give a small table's rows to all cores before costly expressions run on them.
 
-    Larger tables are left alone: their input splits already fill the cluster, and
+    This changes the plan only, never a result. Larger tables are left alone: their input splits already fill the cluster, and
     moving their text would be a shuffle for nothing.
     """
     if size_bytes > SPREAD_LIMIT_BYTES:
@@ -87,13 +88,12 @@ def spread(df: DataFrame, size_bytes: int) -> DataFrame:
     return df.repartition(parts) if parts > 1 else df
 
 
-def gather(df: DataFrame, size_bytes: int) -> DataFrame:
-    """Put few rows into few partitions, without a shuffle.
+def dealt(df: DataFrame, key: str, partitions: int) -> DataFrame:
+    """Rows dealt by a key into a fixed number of sorted partitions.
 
-    For fits that run hundreds of short jobs over the same small rows. Rows of a large
-    table keep their partitions: `coalesce` never makes more of them.
+    For fits whose random starts depend on partitions: files, sizes and cores then change nothing.
     """
-    return df.coalesce(max(1, math.ceil(size_bytes / GATHER_PARTITION_BYTES)))
+    return df.repartition(partitions, key).sortWithinPartitions(key)
 
 
 def stage(df: DataFrame, purpose: str) -> DataFrame:

@@ -38,10 +38,24 @@ def _read(spark: SparkSession, path: str | list[str], fields: tuple[str, ...], h
     )
 
 
+def _first_file(spark: SparkSession, path: str) -> str | None:
+    """The data set's first file by name, from the listing that Spark holds; nothing is read."""
+    return min(spark.read.text(path).inputFiles(), default=None)
+
+
+def _one_slash(uri: Column) -> Column:
+    """file:///a and file:/a name the same file."""
+    return F.regexp_replace(uri, "^([a-zA-Z][a-zA-Z0-9+.-]*):/(?://)?(?=[^/])", "$1:/")
+
+
 def _first_file_header(spark: SparkSession, path: str, fields: tuple[str, ...]) -> DataFrame:
-    files = sorted(_read(spark, path, fields, header=False).inputFiles())
-    first = _read(spark, files[0], fields, header=True)
-    return first.unionByName(_read(spark, files[1:], fields, header=False)) if len(files) > 1 else first
+    every = _read(spark, path, fields, header=False)
+    first = _first_file(spark, path)
+    if first is None:
+        return every
+    columns = every.columns
+    others = every.where(_one_slash(F.col("_metadata.file_path")) != _one_slash(F.lit(first))).select(*columns)  # leaves out a file, not rows
+    return _read(spark, first, fields, header=True).unionByName(others)
 
 
 def _with_fields(df: DataFrame, fields: tuple[str, ...], short_lines: str) -> DataFrame:
@@ -61,13 +75,14 @@ def _with_fields(df: DataFrame, fields: tuple[str, ...], short_lines: str) -> Da
 
 
 def read_tsv(
-    spark: SparkSession, path: str, fields: tuple[str, ...], header: str = "each_file", short_lines: str = "fail"
+    spark: SparkSession, path: str, fields: tuple[str, ...], header: str = "first_file", short_lines: str = "fail"
 ) -> DataFrame:
     """Read a TSV data set as strings.
 
-    header: "each_file" drops the first line of every file, "first_file" only that of
-    the first file by name, "none" drops nothing.
+    header: "first_file" drops the first line of the data set, that of the first file by
+    name; "each_file" the first line of every file; "none" drops nothing.
     short_lines: "fail", "drop", or "only" (give back the short lines themselves).
+    Blank lines hold no review and are passed over.
     """
     if header == "first_file":
         df = _first_file_header(spark, path, fields)
@@ -78,32 +93,33 @@ def read_tsv(
     return _with_fields(df, fields, short_lines)
 
 
-def read_labelled(spark: SparkSession, path: str, header: str = "each_file", short_lines: str = "fail") -> DataFrame:
+def read_labelled(spark: SparkSession, path: str, header: str = "first_file", short_lines: str = "fail") -> DataFrame:
     """id string, label double, review string."""
     df = read_tsv(spark, path, LABELLED, header, short_lines)
     return df if short_lines == "only" else df.withColumn("label", parse_label(F.col("label")))
 
 
-def read_unlabelled(spark: SparkSession, path: str, header: str = "each_file", short_lines: str = "fail") -> DataFrame:
+def read_unlabelled(spark: SparkSession, path: str, header: str = "first_file", short_lines: str = "fail") -> DataFrame:
     """id string, review string."""
     return read_tsv(spark, path, UNLABELLED, header, short_lines)
 
 
 def read_dropping_header_value(spark: SparkSession, path: str, fields: tuple[str, ...] = LABELLED) -> DataFrame:
-    """Drop every line equal to the first line of the data set, wherever it stands.
+    """Drop every line equal to the first line of the data set, that of the first file by name, wherever it stands.
 
     Fields beyond the last are ignored; a missing one is NULL.
     """
     lines = spark.read.text(path)
-    first = lines.first()
+    name = _first_file(spark, path)
+    first = None if name is None else spark.read.text(name).where(F.col("_metadata.file_block_start") == 0).first()
     if first is not None:
         lines = lines.where(F.col("value") != F.lit(first.value))
     parts = F.split("value", "\t")
     return lines.select(*[F.get(parts, i).alias(name) for i, name in enumerate(fields)])
 
 
-def write_tsv(df: DataFrame, path: str) -> None:
-    """Write string columns as TSV with a header line in each file and no quoting.
+def write_tsv(df: DataFrame, path: str, header: bool = True) -> None:
+    """Write string columns as TSV with a header line in each file (or `header=False`: none) and no quoting.
 
     Tabs and line ends inside values become spaces first: the format cannot hold them.
     """
@@ -116,7 +132,7 @@ def write_tsv(df: DataFrame, path: str) -> None:
         escapeQuotes=False,
         emptyValue="",
         nullValue="",
-        header=True,
+        header=header,
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
     )

@@ -93,10 +93,33 @@ def start_word_count(
 
 
 def start_scoring(
-    lines: DataFrame, model: Transformer, out: str, checkpoint: str, interval: str | None = BATCH_INTERVAL
+    lines: DataFrame, model: Transformer, out: str, checkpoint: str, interval: str | None = BATCH_INTERVAL, show: bool = False
 ) -> StreamingQuery:
     """(text, prediction, batch_id) for every line of every batch."""
-    return start_batches(score_lines(lines, model), out, checkpoint, interval=interval)
+    return start_batches(score_lines(lines, model), out, checkpoint, interval=interval, show=show)
+
+
+def start_counts_and_scores(
+    lines: DataFrame,
+    model: Transformer,
+    counts_out: str,
+    scores_out: str,
+    checkpoint: str,
+    interval: str | None = BATCH_INTERVAL,
+    show: bool = False,
+) -> StreamingQuery:
+    """Word counts and predictions of each batch from one reading of the stream."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        results = ((count_words(split_words(batch)), counts_out), (score_lines(batch, model), scores_out))
+        for result, out in results:
+            target = f"{out}/batch_id={batch_id}"
+            result.write.mode("overwrite").parquet(target)
+            if show:
+                batch.sparkSession.read.parquet(target).show(CONSOLE_ROWS, truncate=False)
+
+    writer = lines.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return _triggered(writer, interval).start()
 
 
 def finish(query: StreamingQuery, timeout: float | None = None) -> None:

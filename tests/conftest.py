@@ -13,8 +13,8 @@ DATA = Path("/root/testdata")
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(cores=8, shuffle_partitions=8)
+def spark(tmp_path_factory):
+    session = local_session(cores=8, shuffle_partitions=8, checkpoint_dir=str(tmp_path_factory.mktemp("shared")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -5,6 +5,7 @@ import math
 import pytest
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import IDF
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from opine.operators import bayes, embeddings, features
@@ -16,6 +17,10 @@ def vectors(spark, tiny):
     return features.with_bucket_counts(derived.cleaned_reviews(spark, tiny)).persist()
 
 
+def with_ml_vector(vectors):
+    return vectors.withColumn("vector", features.as_vector("tf"))
+
+
 def test_ml_idf_values(spark):
     rows = [("a b",), ("a c",), ("d",)]
     words = features.tokenizer().transform(spark.createDataFrame(rows, "review string"))
@@ -43,7 +48,7 @@ def test_bucket_counts_by_brute_force(spark):
 
 
 def test_relational_idf_equals_ml_idf(vectors):
-    model = IDF(inputCol="tf", outputCol="tfidf").fit(vectors)
+    model = IDF(inputCol="vector", outputCol="tfidf").fit(with_ml_vector(vectors))
     weights = features.idf_weights(features.term_rows(vectors), vectors).orderBy("bucket").collect()
     assert [w.bucket for w in weights] == list(range(features.NUM_FEATURES))
     assert [w.df for w in weights] == [int(x) for x in model.docFreq]
@@ -53,14 +58,17 @@ def test_relational_idf_equals_ml_idf(vectors):
 @pytest.mark.parametrize("smoothing", [1.0, 0.1])
 def test_relational_bayes_equals_ml_bayes(vectors, smoothing):
     terms = features.term_rows(vectors)
-    ml = NaiveBayes(featuresCol="tf", smoothing=smoothing).fit(vectors)
+    ml_rows = with_ml_vector(vectors)
+    ml = NaiveBayes(featuresCol="vector", smoothing=smoothing).fit(ml_rows)
     model = bayes.fit(terms, vectors, smoothing=smoothing, weight="tf").orderBy("label", "bucket").collect()
     assert [m.theta for m in model] == pytest.approx(list(ml.theta.toArray().ravel()))
     assert sorted({m.prior for m in model}) == pytest.approx(sorted(ml.pi.toArray()))
     relational = bayes.fit(terms, vectors, smoothing=smoothing, weight="tf")
     ours = {r.doc_id: r.prediction for r in bayes.predict(terms, relational, weight="tf").collect()}
-    theirs = {r.doc_id: r.prediction for r in ml.transform(vectors).select("doc_id", "prediction").collect()}
+    theirs = {r.doc_id: r.prediction for r in ml.transform(ml_rows).select("doc_id", "prediction").collect()}
     assert ours == theirs
+    in_rows = bayes.predict_rows(vectors, relational)
+    assert {r.doc_id: r.prediction for r in in_rows.collect()} == theirs
 
 
 def test_bayes_with_one_class_predicts_that_class(spark):
@@ -86,7 +94,7 @@ def test_per_bucket_tables_are_broadcast_only_while_bounded(spark):
 
 
 def test_document_vector_divides_by_all_words(spark):
-    corpus = spark.createDataFrame([(["a", "b"],)] * 5, "words array<string>")
+    corpus = spark.createDataFrame([(i, 0, ["a", "b"]) for i in range(5)], "doc_id int, sent_pos int, words array<string>")
     model = embeddings.fit_word2vec(corpus, vector_size=4, min_count=1)
     rows = spark.createDataFrame([(1, ["a", "unknown"]), (2, []), (3, ["a"])], "i int, words array<string>")
     made = {r.i: r.features.toArray() for r in model.transform(rows).collect()}
@@ -98,19 +106,30 @@ def test_document_vector_divides_by_all_words(spark):
     }
 
 
-def test_min_count_rises_until_the_vocabulary_fits(spark):
-    # eight words, word i appearing 2^i times
-    corpus = spark.createDataFrame([([f"w{i}"] * 2**i,) for i in range(8)], "words array<string>")
-    assert embeddings.min_count_that_fits(corpus, 1, 100) == 1
-    assert embeddings.min_count_that_fits(corpus, 1, 3) == 32
-    assert embeddings.min_count_that_fits(corpus, 5, 3) == 20
-
-
-def test_training_partitions():
-    split = embeddings.BYTES_PER_TRAINING_PARTITION
-    assert embeddings.training_partitions(0, 8) == 1
-    assert embeddings.training_partitions(split + 1, 8) == 2
-    assert embeddings.training_partitions(1000 * split, 8) == 8
+def test_word_vectors_depend_on_rows_and_settings_only(spark):
+    rows = [(i, i % 3, [f"w{(i * j) % 17}" for j in range(12)]) for i in range(60)]
+    corpus = spark.createDataFrame(rows, "doc_id int, sent_pos int, words array<string>")
+    made = []
+    for parts in (1, 3, 7):
+        model = embeddings.fit_word2vec(corpus.repartition(parts), vector_size=4, min_count=5)
+        made.append({r.word: tuple(r.vector) for r in model.getVectors().collect()})
+    assert made[0] == made[1] == made[2]
+    counts = {}
+    for _, _, words in rows:
+        for w in words:
+            counts[w] = counts.get(w, 0) + 1
+    assert set(made[0]) == {w for w, n in counts.items() if n >= 5}  # min_count is what was asked for
+
+
+def test_averages_by_join_equal_the_model(spark):
+    corpus = spark.createDataFrame([(i, 0, ["a", "b", "c"][: i % 3 + 1]) for i in range(30)], "doc_id int, sent_pos int, words array<string>")
+    model = embeddings.fit_word2vec(corpus, partitions=1, vector_size=4, min_count=5)
+    vectors = model.getVectors().select("word", vector_to_array("vector").alias("vector"))
+    rows = spark.createDataFrame([(1, ["a", "x", "a"]), (2, []), (3, ["x"]), (4, ["c", "b"])], "doc_id int, words array<string>")
+    made = {r.doc_id: r.features for r in embeddings.average_vectors(rows, vectors).collect()}
+    expected = {r.doc_id: list(r.features.toArray()) for r in model.transform(rows).collect()}
+    for key, value in expected.items():
+        assert made[key] == pytest.approx(value, abs=1e-6)
 
 
 def test_label_index_and_its_inverse(spark):

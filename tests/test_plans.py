@@ -76,6 +76,13 @@ def test_bayes_scoring_shuffles_reviews_once(spark, tiny):
     assert "BroadcastHashJoin" in text
 
 
+def test_bayes_scores_within_the_row(spark, tiny):
+    model = spark.createDataFrame([(0.0, 0, -1.0, -0.5)], "label double, bucket int, theta double, prior double")
+    vectors = derived.review_vectors(spark, tiny)
+    main = plan(bayes.predict_rows(vectors, model)).split("== Initial Plan ==")[-1].split("Subquery")[0]
+    assert "Exchange" not in main and "Join" not in main and "Generate" not in main
+
+
 def test_every_window_over_all_rows_has_bounded_input(spark, tiny):
     """Only the range totals, at most one row per range, may meet in one task."""
     text = plan(metrics.curve_counts(queries.scored_labels(spark, tiny), ranges=4)).split("== Initial Plan ==")[-1]

@@ -18,7 +18,7 @@ def labelled(spark, small, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("labelled") / "tsv")
     reviews = tables.labelled_reviews(spark, small)
     tsv.write_tsv(reviews.select(F.col("doc_id").alias("id"), "label", F.col("text").alias("review")), path)
-    return tsv.read_labelled(spark, path)
+    return tsv.read_labelled(spark, path, header="each_file")
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +26,7 @@ def unlabelled(spark, small, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("unlabelled") / "tsv")
     reviews = tables.unlabelled_reviews(spark, small)
     tsv.write_tsv(reviews.select(F.col("doc_id").alias("id"), F.col("text").alias("review")), path)
-    return tsv.read_unlabelled(spark, path)
+    return tsv.read_unlabelled(spark, path, header="each_file")
 
 
 @pytest.fixture(scope="module")

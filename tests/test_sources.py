@@ -54,8 +54,8 @@ def test_bad_label_fails(spark, folder):
 
 def test_header_of_each_file_or_of_the_first(spark, folder):
     path = folder(a=HEADER + "a\t1\tx\n", b="b\t0\ty\nc\t0\tz\n")
-    assert rows(tsv.read_labelled(spark, path)) == [("a", 1.0, "x"), ("c", 0.0, "z")]
-    assert rows(tsv.read_labelled(spark, path, header="first_file")) == [
+    assert rows(tsv.read_labelled(spark, path, header="each_file")) == [("a", 1.0, "x"), ("c", 0.0, "z")]
+    assert rows(tsv.read_labelled(spark, path)) == [
         ("a", 1.0, "x"),
         ("b", 0.0, "y"),
         ("c", 0.0, "z"),
@@ -69,6 +69,15 @@ def test_repeated_header_by_position_and_by_value(spark, folder):
     assert rows(tsv.read_dropping_header_value(spark, path)) == [("a", "1", "x"), ("id", "1", "review")]
 
 
+def test_the_first_file_by_name_holds_the_header(spark, folder):
+    """Also where it is the smallest file."""
+    many = "".join(f"{n}\t1\ttext {n}\n" for n in range(500))
+    path = folder(part0=HEADER + "a\t0\tx\n", part1=many)
+    assert tsv.read_labelled(spark, path).count() == 501
+    assert tsv.read_dropping_header_value(spark, path).count() == 501
+    assert tsv.read_dropping_header_value(spark, path).where("id = 'id'").isEmpty()
+
+
 def test_unlabelled(spark, folder):
     path = folder(a="id\treview\n1\tone\n2\ttwo\tignored\n")
     assert rows(tsv.read_unlabelled(spark, path)) == [("1", "one"), ("2", "two")]
@@ -79,7 +88,7 @@ def test_written_tsv_reads_back(spark, tmp_path):
     path = str(tmp_path / "out")
     tsv.write_tsv(spark.createDataFrame(texts, "id string, review string"), path)
     expected = [*texts[:3], ("4", "tab here and line"), texts[4]]
-    assert rows(tsv.read_unlabelled(spark, path)) == expected
+    assert rows(tsv.read_unlabelled(spark, path, header="each_file")) == expected
 
 
 def test_labelled_and_unlabelled_cover_all_documents_once(spark, tiny):
@@ -121,12 +130,11 @@ def test_no_machine_local_folder_on_a_cluster():
         session.shared_root(FakeSpark("yarn"))
 
 
-def test_only_small_tables_are_spread_or_gathered(spark):
+def test_only_small_tables_are_spread(spark):
     df = spark.range(0, 100, 1, 3)
     assert session.spread(df, session.SPREAD_LIMIT_BYTES + 1) is df
     assert session.spread(df, 10 * session.SPREAD_PARTITION_BYTES).rdd.getNumPartitions() == 8
-    assert session.gather(df, 1).rdd.getNumPartitions() == 1
-    assert session.gather(df, 100 * session.GATHER_PARTITION_BYTES).rdd.getNumPartitions() == 3
+    assert session.dealt(df, "id", 5).rdd.getNumPartitions() == 5
 
 
 def test_staged_tables_are_made_again_after_clean_up(spark, tiny):

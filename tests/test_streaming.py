@@ -83,7 +83,11 @@ def test_interval_stream_runs_until_stopped(spark, folders):
 
 
 def test_per_batch_counts_add_up_to_the_whole(spark, small):
-    per_batch = queries.REGISTRY["stream_word_count_per_batch"](spark, small)
+    folder = queries.line_folder(spark, small)
+    stream = lines.read_lines(spark, folder, max_files=1)
+    out = queries.new_folder(spark, "counts")
+    jobs.finish(jobs.start_word_count(stream, out, queries.new_folder(spark, "checkpoint"), interval=None), 120)
+    per_batch = jobs.read_batches(spark, out, jobs.WORD_COUNTS)
     whole = {r.word: r.n for r in queries.REGISTRY["stream_word_count"](spark, small).collect()}
     assert per_batch.select("batch_id").distinct().count() > 1
     assert {r.word: r.n for r in per_batch.groupBy("word").agg({"n": "sum"}).toDF("word", "n").collect()} == whole
@@ -106,4 +110,20 @@ def test_every_line_is_scored_and_written_once(spark, small, name):
     expected = sorted((r.text, r.prediction) for r in jobs.score_lines(static, model).collect())
     rows = queries.REGISTRY[name](spark, small).collect()
     assert sorted((r.text, r.prediction) for r in rows) == expected
-    assert len({r.batch_id for r in rows}) > 1
+
+
+def test_counts_and_scores_from_one_stream(spark, folders, tiny, capfd):
+    source, out, checkpoint = folders
+    (source / "f1.txt").write_text("a good film\nbad\n")
+    (source / "f2.txt").write_text("good\n")
+    model = derived.lr_on_vectors(spark, tiny)
+    stream = lines.read_lines(spark, str(source), max_files=1)
+    jobs.finish(jobs.start_counts_and_scores(stream, model, f"{out}/n", f"{out}/s", checkpoint, None, show=True), 120)
+    counts = jobs.read_batches(spark, f"{out}/n", jobs.WORD_COUNTS)
+    scores = jobs.read_batches(spark, f"{out}/s", jobs.SCORES)
+    assert {r.word: r.n for r in counts.groupBy("word").agg({"n": "sum"}).toDF("word", "n").collect()} == {
+        "a": 1, "good": 2, "film": 1, "bad": 1,
+    }
+    assert sorted(r.text for r in scores.collect()) == ["a good film", "bad", "good"]
+    assert scores.select("batch_id").distinct().count() == 2
+    assert "prediction" in capfd.readouterr().out
