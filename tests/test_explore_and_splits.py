@@ -43,6 +43,13 @@ def test_sentence_corpus_keeps_sentences_without_letters(spark):
     ]
 
 
+def test_a_row_without_a_key_is_a_test_row(spark):
+    rows = spark.createDataFrame([(1,), (2,), (None,)], "id bigint")
+    train, test = splits.hash_split(rows, "id", 60)
+    assert train.count() + test.count() == 3
+    assert not test.where("id IS NULL").isEmpty()
+
+
 def test_hash_split_ignores_partitioning(spark):
     ids = spark.range(2000)
     sides = [splits.hash_split(df, "id", 60) for df in (ids, ids.repartition(13), ids.coalesce(1))]

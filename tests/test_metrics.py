@@ -53,6 +53,18 @@ def test_report(spark):
     assert (report.recall, report.precision) == (0.5, 0.5)
 
 
+def test_a_missing_prediction_is_wrong(spark):
+    rows = spark.createDataFrame([(1.0, 1.0, 0.9), (0.0, 1.0, 0.8), (1.0, None, None)], SCHEMA)
+    report = metrics.classification_report(rows).first()
+    assert (report.accuracy, report.test_error) == pytest.approx((1 / 3, 2 / 3))
+
+
+def test_both_areas_from_one_table(spark):
+    rows = scored(spark, [(1, 0.9), (0, 0.8), (1, 0.4), (0, 0.1)])
+    both = metrics.areas(rows).first()
+    assert both.auc_roc == metrics.auc_roc(rows).first()[0] and both.auc_pr == metrics.auc_pr(rows).first()[0]
+
+
 def test_ratios_without_a_denominator_are_null(spark):
     report = metrics.classification_report(scored(spark, [(0, 0.1), (0, 0.2)])).first()
     assert (report.recall, report.precision, report.accuracy) == (None, None, 1.0)

@@ -32,6 +32,9 @@ def apply(spark):
         ("fish & chips &unknown; &; &&amp;", "fish & chips &unknown; &; &&"),
         ("<scripted>kept</scripted>", "kept"),
         ("5 < 6", "5 < 6"),
+        ("5 < 6 and 7 > 3 great", "5 < 6 and 7 > 3 great"),
+        ("I <3 it, really > all", "I <3 it, really > all"),
+        ("</p><!DOCTYPE html><?xml ?>t", "t"),
         ("", ""),
     ],
 )
@@ -43,6 +46,13 @@ def test_separator_keeps_words_apart(apply):
     assert apply(lambda c: tx.html_to_text(c, " "), "a<br>b") == ["a b"]
 
 
+def test_abbreviations_are_taken_literally_and_marks_in_the_text_do_no_harm(apply):
+    cut = lambda c: tx.sentences(c, ("e.g", "Mr"))
+    assert apply(cut, "An egg. Yes, e.g. this. Mr. X") == [["An egg.", "Yes, e.g. this.", "Mr. X"]]
+    assert apply(cut, "a\u0001b\u0002c. d") == [["a b c.", "d"]]
+    assert apply(tx.sentences, "a\u0001b. c") == [["a b.", "c"]]
+
+
 def test_letters_only_gives_one_space_per_character(apply):
     assert apply(tx.letters_only, "été 42 Don't", "a😀b") == [" t     Don t", "a b"]
 
