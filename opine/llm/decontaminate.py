@@ -145,8 +145,10 @@ def contamination(documents: DataFrame, benchmark: DataFrame, span: int = SPAN)
         .agg(F.count(F.lit(1)).alias("n_items"), F.sort_array(F.collect_list("item")).alias("items"))
         .select("digest", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"))
     )
+    # Written by itself, so that the join with the rows of a text that is copied often can be split.
+    verdicts = stage(n_hit.join(items, "digest"), "contaminated-texts")
     n_hit_column = F.coalesce("n_hit", F.lit(0)).cast("bigint")
-    return per_row.join(n_hit.join(items, "digest"), "digest", "left").select(
+    return per_row.join(verdicts, "digest", "left").select(
         "doc_id",
         "n_words",
         n_hit_column.alias("n_hit"),

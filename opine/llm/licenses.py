@@ -116,6 +116,8 @@ def scan(documents: DataFrame, templates: Sequence[Template] = BASE + NOTICES) -
         F.array_join(F.sort_array(F.collect_set("label")), ",").alias("labels"),
         F.max("share").alias("score"),
     )
+    # Written by itself, so that the join with the rows of a text that is copied often can be split.
+    labelled = stage(labelled, "labelled-texts")
     per_row = found.where("is_file").select("doc_id", "digest", "n_words")
     return per_row.join(labelled, "digest", "left").select(
         "doc_id",

@@ -150,7 +150,7 @@ def mixed(documents: DataFrame, goal: Goal = DEFAULT_GOAL) -> DataFrame:
         _source().alias("source"), tokens().alias("tokens"), F.col("doc_id"), F.xxhash64(text_or_empty()).alias("text_hash")
     )
     light = stage(light, "token-counts")
-    sizes = light.groupBy("source").agg(F.sum("tokens").alias("size"))
+    sizes = stage(light.groupBy("source").agg(F.sum("tokens").alias("size")), "source-sizes")
     planned = stage(plan(sizes, goal), "mixture-plan")
     sources = planned.count()
     keyed = light.join(small_side(planned, sources, BROADCAST_SOURCES), "source").where(F.col("rest") > 0)
