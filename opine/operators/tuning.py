@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, NaiveBayes
 from pyspark.ml.feature import HashingTF
@@ -19,44 +21,58 @@ STRENGTHS = (0.01, 0.1, 1.0)
 FOLDS = 3
 
 
-def text_pipeline(classifier: LogisticRegression | NaiveBayes) -> Pipeline:
+def text_pipeline(classifier: LogisticRegression | NaiveBayes, num_features: int = features.NUM_FEATURES) -> Pipeline:
     """Cleaned review to words to bucket counts to TF-IDF to classifier."""
-    return Pipeline(stages=[features.tokenizer(), features.hashing_tf(), features.idf(), classifier])
+    return Pipeline(stages=[features.tokenizer(), features.hashing_tf(num_features), features.idf(), classifier])
 
 
 def _strength(classifier: LogisticRegression | NaiveBayes) -> Param:
     return classifier.smoothing if isinstance(classifier, NaiveBayes) else classifier.regParam
 
 
-def grid(pipeline: Pipeline) -> list[dict[Param, float]]:
+def grid(
+    pipeline: Pipeline, feature_counts: Sequence[int] = FEATURE_COUNTS, strengths: Sequence[float] = STRENGTHS
+) -> list[dict[Param, float]]:
     """Bucket counts x regularisation (smoothing for naive Bayes)."""
     stages = pipeline.getStages()
     counts = next(s for s in stages if isinstance(s, HashingTF)).numFeatures
-    return ParamGridBuilder().addGrid(counts, FEATURE_COUNTS).addGrid(_strength(stages[-1]), STRENGTHS).build()
+    return ParamGridBuilder().addGrid(counts, list(feature_counts)).addGrid(_strength(stages[-1]), list(strengths)).build()
 
 
-def cross_validator(classifier: LogisticRegression | NaiveBayes, parallelism: int = len(FEATURE_COUNTS) * len(STRENGTHS)) -> CrossValidator:
+def cross_validator(
+    classifier: LogisticRegression | NaiveBayes,
+    parallelism: int = len(FEATURE_COUNTS) * len(STRENGTHS),
+    feature_counts: Sequence[int] = FEATURE_COUNTS,
+    strengths: Sequence[float] = STRENGTHS,
+    folds: int = FOLDS,
+) -> CrossValidator:
     pipeline = text_pipeline(classifier)
     return CrossValidator(
         estimator=pipeline,
-        estimatorParamMaps=grid(pipeline),
+        estimatorParamMaps=grid(pipeline, feature_counts, strengths),
         evaluator=evaluator(),
-        numFolds=FOLDS,
+        numFolds=folds,
         foldCol="fold",
         parallelism=parallelism,
     )
 
 
 def fit_cross_validated(
-    train: DataFrame, classifier: LogisticRegression | NaiveBayes, key: str = "doc_id", parallelism: int = len(FEATURE_COUNTS) * len(STRENGTHS)
+    train: DataFrame,
+    classifier: LogisticRegression | NaiveBayes,
+    key: str = "doc_id",
+    parallelism: int = len(FEATURE_COUNTS) * len(STRENGTHS),
+    feature_counts: Sequence[int] = FEATURE_COUNTS,
+    strengths: Sequence[float] = STRENGTHS,
+    folds: int = FOLDS,
 ) -> CrossValidatorModel:
     """Fit on cleaned reviews; folds come from the key, so they do not depend on partitioning.
 
     The cleaned rows are kept while the fits last: no fit cleans the text again.
     """
-    rows = train.select("label", "review", hash_fold(F.col(key), FOLDS).alias("fold")).persist()
+    rows = train.select("label", "review", hash_fold(F.col(key), folds).alias("fold")).persist()
     try:
-        return cross_validator(classifier, parallelism).fit(rows)
+        return cross_validator(classifier, parallelism, feature_counts, strengths, folds).fit(rows)
     finally:
         rows.unpersist()
 
