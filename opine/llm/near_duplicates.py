@@ -298,6 +298,8 @@ def classes(documents: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_copies"),
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "node")).alias("best"),
     )
+    # Written by itself, so that the join with a hot class's rows can be split.
+    best = stage(best, "classes")
     kept = F.col("best") == F.struct(F.col("doc_id").isNull(), "doc_id", "node")
     return rows.join(best, "class").select("doc_id", "node", "class_id", "n_copies", kept.alias("kept"))
 
