@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
@@ -16,7 +17,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opine.llm.common import text_or_empty
+from opine.llm.common import let, text_or_empty
 from opine.session import stage
 
 # The classifier learns from at most so many labelled rows, those with the smallest hashes of their ids.
@@ -108,15 +109,12 @@ def paths(tree_text: str) -> list[tuple[Condition, ...]]:
     return found
 
 
-def _holds(conditions: tuple[Condition, ...]) -> Column:
+def _fires(conditions: tuple[Condition, ...], of: Callable[[str], Column], weight: float = 1.0) -> Column:
+    """`weight` where every condition holds, else 0; `of` gives a statistic by its name."""
     both = F.lit(True)
     for c in conditions:
-        both = both & (F.col(c.statistic) > c.threshold if c.above else F.col(c.statistic) <= c.threshold)
-    return both
-
-
-def _fires(conditions: tuple[Condition, ...]) -> Column:
-    return F.when(_holds(conditions), 1.0).otherwise(0.0)
+        both = both & (of(c.statistic) > c.threshold if c.above else of(c.statistic) <= c.threshold)
+    return F.when(both, weight).otherwise(0.0)
 
 
 def fit(rows: DataFrame) -> Model:
@@ -133,7 +131,7 @@ def fit(rows: DataFrame) -> Model:
     if not rules:
         share = counts[1.0] / sum(counts.values())
         return Model(math.log(share / (1 - share)), [])
-    fired = rows.select("label", *[_fires(rule).alias(f"rule{n}") for n, rule in enumerate(rules)])
+    fired = rows.select("label", *[_fires(rule, F.col).alias(f"rule{n}") for n, rule in enumerate(rules)])
     gathered = VectorAssembler(inputCols=fired.columns[1:], outputCol="rules").transform(fired).select("label", "rules")
     lasso = LogisticRegression(
         featuresCol="rules", labelCol="label", elasticNetParam=1.0, regParam=LASSO, maxIter=MOST_ITERATIONS, standardization=False
@@ -148,14 +146,17 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
     A null text counts as empty; empty texts are scored like any other. Rows may repeat. A column `score` of
     `documents` is replaced.
     """
-    kept = [c for c in documents.columns if c != "score"]
-    measured = documents.select(
-        F.struct(*kept).alias("__row"), *[s.alias(name) for name, s in statistics(F.col("text")).items()]
-    )
-    total = F.lit(model.intercept)
-    for rule, weight in model.rules:
-        total = total + F.when(_holds(rule), weight).otherwise(0.0)
-    return measured.select("__row.*", (1 / (1 + F.exp(-total))).alias("score"))
+
+    def scored(measured: Column) -> Column:
+        total = F.lit(model.intercept)
+        for rule, weight in model.rules:
+            total = total + _fires(rule, lambda name: measured[name], weight)
+        return 1 / (1 + F.exp(-total))
+
+    # The statistics are named within the expression, so that they are measured once even where a filter on the
+    # score is pushed down to the scan.
+    measured = F.struct(*[s.alias(name) for name, s in statistics(F.col("text")).items()])
+    return documents.withColumn("score", let(measured, scored))
 
 
 def classified(documents: DataFrame, labels: DataFrame) -> DataFrame:
