@@ -2,8 +2,9 @@
 
 Each node of a page's tree gets a density: its characters for each tag, weighed down the more of them, and of its
 tags, are links. The sum of a node's children's densities is largest for the node that holds the article: it has
-many dense children. Neighbours of that node are taken along when they are as dense as the thinnest node on the
-path from it to the body. Menus, headers, footers, notices, adverts, forms and comments count as empty.
+many dense children. What stands beside the path from that node to the body, at any level, is taken along unless
+most of its text is links: density grows with length, so that a title or a short section is never as dense as the
+nodes around the article. Menus, headers, footers, notices, adverts, forms and comments count as empty.
 
 A page is one row and is worked on alone, in time in proportion to its length, within Arrow batches.
 """
@@ -53,6 +54,7 @@ FURNITURE = re.compile(
     re.IGNORECASE,
 )
 HOLDERS = frozenset(("article", "main"))
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -161,8 +163,42 @@ def _density(chars: float, tags: float, link_chars: float, links: float, body_ch
     return chars / tags * math.log(chars / max(link_chars, 1.0) * tags / max(links, 1.0)) / math.log(base)
 
 
-def _article(tree: _Tree) -> list[int]:
-    """The nodes whose subtrees are the article."""
+def _mostly_links(chars: float, link_chars: float) -> bool:
+    return 2 * link_chars > chars
+
+
+def _loose(tree: _Tree, on_path: set[int], solid: list[bool], in_link: list[bool]) -> tuple[set[int], set[int]]:
+    """Texts and inline nodes right in a node of the path, in runs between blocks, that are not mostly links:
+    the numbers of the texts that belong to the path's nodes, and the inline nodes."""
+    texts, nodes = set(), set()
+    run: list[tuple[int, int, int]] = []  # number, child of the path, length
+
+    def settle() -> None:
+        length = sum(n for _, _, n in run)
+        if not _mostly_links(length, sum(n for i, _, n in run if in_link[tree.pieces[i][0]])):
+            texts.update(i for i, top, _ in run if top in on_path)
+            nodes.update(top for _, top, _ in run if top not in on_path)
+        run.clear()
+
+    top = [0] * len(tree.tags)
+    for node in range(1, len(tree.tags)):
+        parent = tree.parents[node]
+        top[node] = node if node in on_path or parent in on_path else top[parent]
+    at = None
+    for number, (node, text) in enumerate(tree.pieces):
+        head = top[node]
+        holder = head if head in on_path else tree.parents[head]
+        if text is None or holder != at or solid[head] and head not in on_path:
+            settle()
+            at = holder
+        if text and holder in on_path and not tree.left_out[node] and (head in on_path or not solid[head]):
+            run.append((number, head, len(" ".join(text.split()))))
+    settle()
+    return texts, nodes
+
+
+def _article(tree: _Tree) -> tuple[set[int], set[int]]:
+    """The nodes whose subtrees are the article, and the numbers of the texts beside them that are part of it."""
     count = len(tree.tags)
     chars, own = [0] * count, [0] * count
     link_chars, links, tags = [0] * count, [0] * count, [1] * count
@@ -192,35 +228,54 @@ def _article(tree: _Tree) -> list[int]:
         total[tree.parents[node]] += density[node]
     best = max(range(count), key=lambda n: (total[n], -n))
     if not chars[best]:
-        return []
+        return set(), set()
     path = [best]
     while path[-1] not in (body, 0):
         path.append(tree.parents[path[-1]])
     holder = next((n for n in reversed(path) if tree.tags[n] in HOLDERS), None)
     if holder is not None:
-        return [holder]
-    if len(path) == 1:
-        return [best]
+        return {holder}, set()
     threshold = min(density[n] for n in path)
-    beside = [n for n in range(count) if tree.parents[n] == path[1] and density[n] >= threshold]
-    return sorted({best, *beside})
+    on_path = set(path[1:])
+    solid = [tag in BLOCK for tag in tree.tags]
+    for node in range(count - 1, 0, -1):
+        if solid[node]:
+            solid[tree.parents[node]] = True
+    texts, roots = _loose(tree, on_path, [s or n == best for n, s in enumerate(solid)], in_link)
+    roots.add(best)
+    # Blocks that are mostly links and stand beside the path: what they hold is looked at by itself.
+    link_lists = set()
+    for node in range(1, count):
+        up = tree.parents[node]
+        if node in on_path or node == best or not chars[node] or not solid[node]:
+            continue
+        if up in on_path:
+            bare = chars[node] == link_chars[node]
+            one = links[node] == 1 and not bare or tree.tags[node] in HEADINGS
+            if one or density[node] >= threshold or not _mostly_links(chars[node], link_chars[node]):
+                roots.add(node)
+            else:
+                link_lists.add(node)
+        elif up in link_lists and tree.tags[node] not in HEADINGS:
+            (link_lists if _mostly_links(chars[node], link_chars[node]) else roots).add(node)
+    return roots, texts
 
 
 def main_text(page: str) -> str:
     """The article of a page: its blocks in page order, one line each."""
     tree = _Tree(page)
-    roots = set(_article(tree))
+    roots, texts = _article(tree)
     if not roots:
         return ""
     inside = [False] * len(tree.tags)
     for node in range(len(tree.tags)):
         inside[node] = not tree.left_out[node] and (node in roots or (node > 0 and inside[tree.parents[node]]))
     blocks, current = [], []
-    for node, text in tree.pieces:
+    for number, (node, text) in enumerate(tree.pieces):
         if text is None:
             blocks.append("".join(current))
             current = []
-        elif inside[node]:
+        elif inside[node] or number in texts:
             current.append(text)
     blocks.append("".join(current))
     return "\n".join(filter(None, (" ".join(block.split()) for block in blocks)))

@@ -78,6 +78,33 @@ def test_links_weigh_a_block_down():
     assert main_text(f"<body><div><ul>{links}</ul></div><div><p>{LONG}</p><p>{LONG}</p></div></body>") == f"{LONG.strip()}\n{LONG.strip()}"
 
 
+def sections(*lengths):
+    return [("word " * (n // 5)).strip() for n in lengths]
+
+
+@pytest.mark.parametrize("holder", ["<div class=content>{}</div>", "<div><div class=page><div>{}</div></div></div>"])
+@pytest.mark.parametrize("around", ["{}", f"<nav>{LONG * 9}</nav>{{}}<footer>{LONG}</footer>"])
+def test_every_section_is_kept(holder, around):
+    title, intro, *rest = sections(40, 300, *[120] * 5, *[300] * 10)
+    first, second = ("".join(f"<p>{p}</p>" for p in part) for part in (rest[:5], rest[5:]))
+    inner = f"<h1>{title}</h1><p>{intro}</p><div class=s1>{first}</div><div class=s2>{second}</div>"
+    page = f"<html><body>{around.format(holder.format(inner))}</body></html>"
+    assert main_text(page).split("\n") == [title, intro, *rest]
+
+
+def test_every_level_of_the_path_is_kept():
+    dense = f"<p>{LONG * 3}</p>" * 9
+    page = f"<body><h1><a href=x>Title</a></h1><div>Lead <a href=y>text</a> of it<div><p>By <a href=z>Someone</a></p><div>{dense}</div><p>End.</p></div></div></body>"
+    assert main_text(page).split("\n") == ["Title", "Lead text of it", "By Someone", *[(LONG * 3).strip()] * 9, "End."]
+
+
+def test_lists_of_links_beside_the_path_are_left_out():
+    dense = f"<p>{LONG * 3}</p>" * 9
+    links = "".join(f"<li><a href=/{n}>Headline number {n}</a> May {n}</li>" for n in range(30))
+    page = f"<body><a href=1>One</a> | <a href=2>Two</a><div><h1>Title</h1><div>{dense}</div><div><ul>{links}</ul><div><p>{LONG}</p></div></div></div></body>"
+    assert main_text(page).split("\n") == ["Title", *[(LONG * 3).strip()] * 9, LONG.strip()]
+
+
 def test_very_long_and_very_deep_pages():
     paragraphs = "".join(f"<p>{LONG}{n}</p>" for n in range(20_000))
     assert main_text(f"<article>{paragraphs}</article>").count("\n") == 19_999
