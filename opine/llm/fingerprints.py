@@ -1,13 +1,14 @@
 """Document fingerprints by consistent weighted sampling.
 
-A text is a weighted set: its words, hashed to TERMS terms, each with its count as weight. For each sample k a
-term has two gamma(2, 1) variables r and c and a uniform b, the same in every text. With
-t = floor(ln(weight) / r + b) it scores ln(c) - r * (t - b + 1), and the sample is the term with the lowest
+A text is a weighted set: its words, as 64-bit hashes, each with its count as weight. For each sample k a word
+has two gamma(2, 1) variables r and c and a uniform b, the same in every text. With
+t = floor(ln(weight) / r + b) it scores ln(c) - r * (t - b + 1), and the sample is the word with the lowest
 score, together with t. Two texts agree on a sample with a chance of sum(min) / sum(max) of their weights, the
 generalised Jaccard similarity, so the share of equal samples estimates it.
 
-The variables of all terms are a table of a fixed size, made once and sent to every task, so that no logarithm
-but the weight's is taken where the terms are.
+The variables are a table of a fixed size, made once and sent to every task, so that no logarithm but the
+weight's is taken where the words are. A word takes r and b from one row and c from another, chosen by different
+bits of its hash, and a sample names the word by its whole hash: words never count as one because they share rows.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ from pyspark.sql import functions as F
 from opine.llm.common import let, text_or_empty, words
 
 SAMPLES = 64
-TERMS = 1 << 14
+# Rows of the table: r and b are taken by the lowest ROW_BITS bits of a word's hash, c by the next.
+ROW_BITS = 14
 # A score is kept as 31 bits: it lies in (-64, 64), and differences below 2^-24 are ties, which the tag breaks.
 SCORE_OFFSET, SCORE_SCALE = 64.0, float(1 << 24)
 TAG_BITS = 32
@@ -30,20 +32,20 @@ RANGE_BYTES, MOST_RANGES = 2 << 20, 100_000
 FIRST = -(1 << 63)
 
 
-def random_table(spark: SparkSession, samples: int = SAMPLES, terms: int = TERMS) -> DataFrame:
-    """term, inverse_r, r, log_c, b: for each term, arrays over the samples. About 16 bytes a number."""
+def random_table(spark: SparkSession, samples: int = SAMPLES) -> DataFrame:
+    """row, inverse_r, r, log_c, b: for each row, arrays over the samples. About 16 bytes a number."""
 
     def uniform(k: Column, salt: int) -> Column:
-        bits = F.shiftrightunsigned(F.xxhash64(F.col("term"), k, F.lit(salt)), 11)
+        bits = F.shiftrightunsigned(F.xxhash64(F.col("row"), k, F.lit(salt)), 11)
         return (bits + 0.5) / float(1 << 53)
 
     def gamma(k: Column, salt: int) -> Column:
         return -F.log(uniform(k, salt) * uniform(k, salt + 1))
 
     each = F.sequence(F.lit(0), F.lit(samples - 1))
-    table = spark.range(terms).select(F.col("id").cast("int").alias("term"))
+    table = spark.range(1 << ROW_BITS).select(F.col("id").cast("int").alias("row"))
     return table.select(
-        "term",
+        "row",
         F.transform(each, lambda k: (1 / gamma(k, 0)).cast("float")).alias("inverse_r"),
         F.transform(each, lambda k: gamma(k, 0).cast("float")).alias("r"),
         F.transform(each, lambda k: F.log(gamma(k, 2)).cast("float")).alias("log_c"),
@@ -51,9 +53,9 @@ def random_table(spark: SparkSession, samples: int = SAMPLES, terms: int = TERMS
     )
 
 
-def weighted_terms(text: str | Column = "text", terms: int = TERMS) -> Column:
+def weighted_terms(text: str | Column = "text") -> Column:
     """array<struct<term, weight>>: the hashed words of a text with their counts, by sorting within the row."""
-    hashed = F.transform(words(text), lambda w: F.pmod(F.xxhash64(w), F.lit(terms)).cast("int"))
+    hashed = F.transform(words(text), lambda w: F.xxhash64(w))
 
     def runs(listed: Column) -> Column:
         count = F.size(listed)
@@ -71,6 +73,10 @@ def weighted_terms(text: str | Column = "text", terms: int = TERMS) -> Column:
     return let(F.sort_array(hashed), runs)
 
 
+def _row(nth: int) -> Column:
+    return F.shiftrightunsigned("term", nth * ROW_BITS).bitwiseAND(F.lit((1 << ROW_BITS) - 1)).cast("int")
+
+
 def signatures(rows: DataFrame, keys: list[str], text: str = "text", samples: int = SAMPLES) -> DataFrame:
     """keys, signature: array<bigint> of tags, empty for a text without words; one row for each value of keys.
 
@@ -81,7 +87,10 @@ def signatures(rows: DataFrame, keys: list[str], text: str = "text", samples: in
     terms = rows.select(*keys, F.explode_outer(weighted_terms(text)).alias("one")).select(
         *keys, F.col("one.term").alias("term"), F.log(F.col("one.weight").cast("double")).alias("log_weight")
     )
-    joined = terms.join(F.broadcast(table), "term", "left")
+    rows_of = terms.withColumn("row_r", _row(0)).withColumn("row_c", _row(1))
+    first = table.select(F.col("row").alias("row_r"), "inverse_r", "r", "b")
+    second = table.select(F.col("row").alias("row_c"), "log_c")
+    joined = rows_of.join(F.broadcast(first), "row_r", "left").join(F.broadcast(second), "row_c", "left")
 
     def sample(k: int) -> Column:
         r, b = F.get("r", F.lit(k)), F.get("b", F.lit(k))

@@ -41,6 +41,33 @@ def test_given_table(spark, documents):
     assert np.all(np.abs(errors.mean(axis=0)) < 0.02) and np.all(np.sqrt((errors**2).mean(axis=0)) < 0.075)
 
 
+def test_long_texts_without_a_common_word_are_unlike(spark):
+    counts = (2_000, 20_000, 50_000)
+    rows = []
+    for i, n in enumerate(counts):
+        rows += [(2 * i, " ".join(f"a{k}" for k in range(n))), (2 * i + 1, " ".join(f"b{k}" for k in range(n)))]
+    found = {r.doc_id: r for r in f.compared(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert [found[2 * i].near_next for i in range(len(counts))] == [0.0] * len(counts)
+
+
+def test_long_weighted_texts_against_exact_likeness(spark):
+    """Word counts fall as in natural texts, most are 1; pairs share from none to most of 20,000 distinct words."""
+    rng, rows, exact = np.random.default_rng(5), [], []
+    for i, shift in enumerate((0, 2_000, 6_000, 10_000, 20_000)):
+        ranks = rng.permutation(np.arange(1, 20_001))
+        listed = [f"w{i}x{k}" for k in range(40_000)]
+        weight = np.maximum(1, 2_000 // ranks)
+        a = " ".join(f"{listed[k]} " * weight[k] for k in range(20_000))
+        b = " ".join(f"{listed[k + shift]} " * weight[(k + shift) % 20_000] for k in range(20_000))
+        rows += [(2 * i, a), (2 * i + 1, b)]
+        exact.append(generalised_jaccard(a, b))
+    found = {r.doc_id: r.near_next for r in f.compared(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    errors = np.array([found[2 * i] - e for i, e in enumerate(exact)])
+    # 3 standard errors of 64 samples each.
+    assert np.all(np.abs(errors) < 3 / 16), (exact, errors)
+    assert np.sqrt((errors**2).mean()) < 0.075 and exact[-1] == 0.0, (exact, errors)
+
+
 def test_many_ranges_give_the_same(spark, documents, monkeypatch):
     whole = sorted(map(tuple, f.compared(documents).collect()))
     monkeypatch.setattr(f, "RANGE_BYTES", 20_000)
