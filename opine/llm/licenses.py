@@ -1,10 +1,11 @@
 """Licence scans with a positional index of rare words.
 
-The index lists, for each template, its rarest words by the corpus's own document frequencies, with their
-places in it. A file's words are looked up there; a word found at place p of the file and q of the template
-says that the template would start at p - q. Postings are intersected by that start: a notice needs two
-different rare words that agree, and its key phrases at their places. A base phrase is its own key phrase,
-so its rarest word alone leads to every place where the phrase stands.
+The index lists, for each template, the rarest words of its key phrases by the corpus's own document frequencies,
+with their places in it. A file's words are looked up there; a word found at place p of the file and q of the
+template says that the template would start at p - q. Postings are intersected by that start: a notice needs two
+different words that agree, and its key phrases at their places. Where the key phrases stand, all their words are in
+place: whichever words are listed, every such place is found, and the frequencies change only how much is looked up.
+A base phrase is its own key phrase, so its rarest word alone leads to every place where the phrase stands.
 """
 
 from __future__ import annotations
@@ -19,7 +20,6 @@ from opine.llm.common import digest, words
 from opine.llm.license_text import BASE, NOTICES, Template
 from opine.session import stage
 
-RARE_WORDS = 5
 AGREEING = 2
 
 
@@ -29,26 +29,30 @@ def word_frequencies(documents: DataFrame, vocabulary: Sequence[str]) -> DataFra
     return documents.select(F.explode(held).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
 
 
+def _key_places(template: Template) -> list[tuple[int, str]]:
+    """Where each key phrase starts in a template (from 0)."""
+    listed = f" {template.text} "
+    return [(listed[: listed.index(f" {phrase} ")].count(" "), phrase) for phrase in template.key_phrases]
+
+
 def rare_word_index(spark: SparkSession, templates: Sequence[Template], frequencies: DataFrame) -> DataFrame:
-    """word, template, place: the highest-IDF words of each template (one of a base phrase), ties by word.
+    """word, template, place: the highest-IDF key words of each template (one of a base phrase), ties by word.
 
     As many rows as the templates have rare words; the frequencies are those of the templates' words only.
     """
     df = {row.word: row.df for row in frequencies.collect()}
     rows = []
     for number, template in enumerate(templates):
-        listed = template.text.split(" ")
-        rarest = sorted(set(listed), key=lambda w: (df.get(w, 0), w))[: 1 if template.base else RARE_WORDS]
-        rows += [(word, number, place) for place, word in enumerate(listed) if word in rarest]
+        keyed = {place: word for at, phrase in _key_places(template) for place, word in enumerate(phrase.split(" "), at)}
+        rarest = sorted(set(keyed.values()), key=lambda w: (df.get(w, 0), w))[: 1 if template.base else AGREEING]
+        rows += [(word, number, place) for place, word in keyed.items() if word in rarest]
     return spark.createDataFrame(rows, "word string, template int, place int")
 
 
 def _keys_hold(template: Template, file_words: Column, start: Column) -> Column:
     """Each key phrase stands at its place, for a template that starts at `start` (from 0)."""
-    listed = f" {template.text} "
     checks = []
-    for phrase in template.key_phrases:
-        before = listed[: listed.index(f" {phrase} ")].count(" ")
+    for before, phrase in _key_places(template):
         length = phrase.count(" ") + 1
         found = F.slice(file_words, start + before + 1, F.lit(length))
         checks.append(F.array_join(found, " ") == phrase)
@@ -98,7 +102,7 @@ def scan(documents: DataFrame, templates: Sequence[Template] = BASE + NOTICES) -
     )
     found = stage(found, "licence-postings")
 
-    names = [(n, t.label, t.base, 1 if t.base else min(AGREEING, len(set(t.text.split(" "))))) for n, t in enumerate(templates)]
+    names = [(n, t.label, t.base, 1 if t.base else min(AGREEING, len(set(" ".join(t.key_phrases).split(" "))))) for n, t in enumerate(templates)]
     named = F.broadcast(spark.createDataFrame(names, "template int, label string, base boolean, needed int"))
     placed = (
         found.where(~F.col("is_file"))

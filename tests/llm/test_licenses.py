@@ -58,6 +58,16 @@ def test_a_changed_notice_needs_its_key_phrase(spark):
     assert found[2].labels == ""
 
 
+def test_a_shortened_notice_keeps_its_label_whatever_the_other_rows(spark):
+    mit = next(t for t in NOTICES if t.name == "mit-grant").text
+    cut = mit[: mit.index(" modify merge")]
+    others = [(2, mit), (3, "merge publish sell"), (4, "permission is hereby granted free of charge " * 3)]
+    for rows in ([], others):
+        found = {r.doc_id: r for r in licenses.scan(spark.createDataFrame([(1, cut), *rows], "doc_id bigint, text string")).collect()}
+        assert found[1].labels == "mit"
+        assert found[1].score == len(cut.split(" ")) / len(mit.split(" "))
+
+
 def test_no_rows(spark, nothing):
     assert licenses.scan(nothing).collect() == []
 
