@@ -4,7 +4,8 @@ Each node of a page's tree gets a density: its characters for each tag, weighed
 tags, are links. The sum of a node's children's densities is largest for the node that holds the article: it has
 many dense children. What stands beside the path from that node to the body, at any level, is taken along unless
 most of its text is links: density grows with length, so that a title or a short section is never as dense as the
-nodes around the article. Menus, headers, footers, notices, adverts, forms and comments count as empty.
+nodes around the article. Menus, headers, footers, notices, adverts, forms and comments count as empty. A name that
+an article's own section may have as well, such as `discussion`, leaves out only what does not read like one.
 
 A page is one row and is worked on alone, in time in proportion to its length, within Arrow batches.
 """
@@ -46,13 +47,24 @@ LEFT_OUT = frozenset(
     "aside button dialog footer form head iframe menu nav noscript object script select style svg template textarea".split()
 )
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu navigation search".split())
+# Words that name furniture and nothing else, alone or before and after a word of DOUBTFUL or a thing on a page.
+DOUBTFUL_WORDS = (
+    r"(?:advert\w*|sponsor\w*|promo\w*|banner|consent|notices?|modal|subscribe|related|recommend\w*|share|sharing|social"
+    r"|navigation|repl(?:y|ies)|discussion|responses|legal|copyright|disclaimer)"
+)
+THINGS = (
+    r"(?:posts?|articles?|stor(?:y|ies)|links?|buttons?|btns?|bar|box|lists?|icons?|items?|cards?|news|reads?|videos?|products?|tools"
+    r"|thread|form|forms|panel|overlay|dialog|popup|slot|unit|media|networks?|wrapper|wrap|container)"
+)
 FURNITURE = re.compile(
-    r"(?<![a-z])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notices?|popup|modal|newsletter|subscribe"
-    r"|sidebar|widgets?|related|recommend\w*|share|sharing|social|breadcrumbs?|menus?|nav|navbar|navigation|footer"
-    r"|(?:site|page|top|main)-?header|masthead|comments?|commentlist|disqus|repl(?:y|ies)|discussion|responses"
-    r"|paywall|pagination|pager|toolbar|legal|copyright|disclaimer)(?![a-z])",
+    r"(?<![a-z])(?:ads?|cookies?|popup|newsletter|sidebar|widgets?|breadcrumbs?|menus?|nav|navbar|footer"
+    r"|(?:site|page|top|main)-?header|masthead|comments?|commentlist|disqus|paywall|pagination|pager|toolbar"
+    rf"|{DOUBTFUL_WORDS}-+(?:{DOUBTFUL_WORDS}|{THINGS})|{THINGS}-+{DOUBTFUL_WORDS})(?![a-z])",
     re.IGNORECASE,
 )
+DOUBTFUL = re.compile(rf"(?<![a-z]){DOUBTFUL_WORDS}(?![a-z])", re.IGNORECASE)
+# What a doubtful element without headings must have of text besides links, in characters.
+LEAST_PROSE = 80
 HOLDERS = frozenset(("article", "main"))
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
@@ -67,12 +79,17 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.IGNORECASE)
 
 
+def _mostly_links(chars: float, link_chars: float) -> bool:
+    return 2 * link_chars > chars
+
+
 class _Tree:
     """Nodes in page order; a node's parent comes before it. Texts are (node, text)."""
 
     def __init__(self, page: str):
         self.tags, self.parents, self.left_out = ["#page"], [-1], [False]
         self.in_holder = [False]
+        self.doubtful: set[int] = set()
         self.pieces: list[tuple[int, str | None]] = []  # text None: a block starts or ends here
         self.open = [0]
         at = 0
@@ -89,6 +106,32 @@ class _Tree:
                 self._start(name.lower(), token["more"] or token["more2"] or "")
         if at < len(page):
             self._text(page[at:])
+        if self.doubtful:
+            self._settle_doubtful()
+
+    def _settle_doubtful(self) -> None:
+        """Leave out the doubtful elements that are mostly links, and those without headings and with little text."""
+        count = len(self.tags)
+        chars, link_chars, headed, in_link = [0] * count, [0] * count, [False] * count, [False] * count
+        for node in range(1, count):
+            in_link[node] = in_link[self.parents[node]] or self.tags[node] == "a"
+        for node, text in self.pieces:
+            if text and not self.left_out[node]:
+                length = len(" ".join(text.split()))
+                chars[node] += length
+                link_chars[node] += length if in_link[node] else 0
+        for node in range(count - 1, 0, -1):
+            headed[node] = headed[node] or (self.tags[node] in HEADINGS and chars[node] > 0)
+            if node in self.doubtful:
+                little = not headed[node] and chars[node] - link_chars[node] < LEAST_PROSE
+                self.left_out[node] = self.left_out[node] or little or _mostly_links(chars[node], link_chars[node])
+            if not self.left_out[node]:
+                up = self.parents[node]
+                chars[up] += chars[node]
+                link_chars[up] += link_chars[node]
+                headed[up] = headed[up] or headed[node]
+        for node in range(1, count):
+            self.left_out[node] = self.left_out[node] or self.left_out[self.parents[node]]
 
     def _text(self, text: str) -> None:
         self.pieces.append((self.open[-1], html.unescape(text) if "&" in text else text))
@@ -116,13 +159,13 @@ class _Tree:
         self.parents.append(parent)
         holder = self.in_holder[parent] or tag in HOLDERS
         self.in_holder.append(holder)
-        self.left_out.append(self.left_out[parent] or self._is_furniture(tag, more, self.in_holder[parent]))
+        self.left_out.append(self.left_out[parent] or self._is_furniture(tag, more, self.in_holder[parent], node))
         if tag in BLOCK:
             self.pieces.append((node, None))
         if tag not in VOID and not more.endswith("/"):
             self.open.append(node)
 
-    def _is_furniture(self, tag: str, more: str, in_holder: bool) -> bool:
+    def _is_furniture(self, tag: str, more: str, in_holder: bool, node: int) -> bool:
         if tag in LEFT_OUT or (tag == "header" and not in_holder):
             return True
         if not more or tag in ("html", "body", "main"):
@@ -130,8 +173,11 @@ class _Tree:
         for name, quoted in ATTRIBUTE.findall(more):
             name, value = name.lower(), quoted.strip("\"'").lower()
             if name in ("class", "id"):
-                if FURNITURE.search(value.replace("_", "-")):
+                value = value.replace("_", "-")
+                if FURNITURE.search(value):
                     return True
+                if DOUBTFUL.search(value):
+                    self.doubtful.add(node)
             elif name == "role":
                 if value in ROLES:
                     return True
@@ -163,10 +209,6 @@ def _density(chars: float, tags: float, link_chars: float, links: float, body_ch
     return chars / tags * math.log(chars / max(link_chars, 1.0) * tags / max(links, 1.0)) / math.log(base)
 
 
-def _mostly_links(chars: float, link_chars: float) -> bool:
-    return 2 * link_chars > chars
-
-
 def _loose(tree: _Tree, on_path: set[int], solid: list[bool], in_link: list[bool]) -> tuple[set[int], set[int]]:
     """Texts and inline nodes right in a node of the path, in runs between blocks, that are not mostly links:
     the numbers of the texts that belong to the path's nodes, and the inline nodes."""

@@ -98,6 +98,30 @@ def test_every_level_of_the_path_is_kept():
     assert main_text(page).split("\n") == ["Title", "Lead text of it", "By Someone", *[(LONG * 3).strip()] * 9, "End."]
 
 
+SECTIONS = ["id=discussion", "id=sec-discussion", "class=related-work", "id=recommendations", "class=legal-analysis", "id=responses"]
+SECTIONS += ["class=notices", "id=share", "class=promotion", "id=informed-consent", "class='text social'", "id=copyright", "id=navigation"]
+
+
+@pytest.mark.parametrize("holder", ["article", "main", "div"])
+@pytest.mark.parametrize("name", SECTIONS)
+def test_sections_with_names_of_furniture_are_kept(holder, name):
+    article = f"<{holder}><h1>Title</h1><p>{LONG}</p><section {name}><h2 {name}>Part</h2><p>{LONG}</p></section><div {name}>{LONG * 2}</div></{holder}>"
+    assert main_text(f"<body>{article}</body>").split("\n") == ["Title", LONG.strip(), "Part", LONG.strip(), (LONG * 2).strip()]
+
+
+@pytest.mark.parametrize("name", ["related-posts", "share-buttons", "comment-list", "social-share", "post-related", "promo-box", "discussion-thread"])
+def test_compound_names_of_furniture_are_left_out(name):
+    article = f"<article><p>{LONG}</p><div class={name}><h3>More</h3><p>{LONG * 3}</p></div></article>"
+    assert main_text(f"<body>{article}</body>") == LONG.strip()
+
+
+@pytest.mark.parametrize("name", ["related", "share", "discussion", "legal"])
+def test_doubtful_names_leave_out_links_and_short_texts(name):
+    links = "".join(f"<li><a href=/{n}>Headline number {n}</a></li>" for n in range(9))
+    for inner in (f"<h3>More</h3><ul>{links}</ul>", "All rights reserved."):
+        assert main_text(f"<body><article><p>{LONG}</p><div class={name}>{inner}</div></article></body>") == LONG.strip()
+
+
 def test_lists_of_links_beside_the_path_are_left_out():
     dense = f"<p>{LONG * 3}</p>" * 9
     links = "".join(f"<li><a href=/{n}>Headline number {n}</a> May {n}</li>" for n in range(30))
