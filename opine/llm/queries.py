@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opine.llm import decontaminate, fingerprints, language, licenses, main_text, mixing, near_duplicates, quality, secrets, token_files
+from opine.llm import (
+    chat_format,
+    decontaminate,
+    fingerprints,
+    language,
+    licenses,
+    main_text,
+    mixing,
+    near_duplicates,
+    quality,
+    secrets,
+    token_files,
+)
+
+from opine.session import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -88,3 +102,16 @@ def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan(_table(spark, folder, "documents"))
+
+
+def op12_turns(rows: DataFrame) -> DataFrame:
+    """conv_id, turn, role, text: the rows of a conversation table as canonical turns."""
+    records = rows.select("conv_id", "turn", "role", "text")
+    return chat_format.canonical(records, ["conv_id", "turn"], (chat_format.TURN_ROW,)).select("conv_id", "turn", "role", "text")
+
+
+@query
+def op12_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    given = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    turns = op12_turns(given.unionByName(chat_format.hostile(spark)))
+    return chat_format.conversations(stage(chat_format.formatted(turns), "chat-pieces"), "conv_id", ["turn"])
