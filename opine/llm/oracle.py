@@ -46,8 +46,8 @@ WITH turns AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
     UNION ALL VALUES (-1, 0, 'user', '{_HOSTILE}'), (-1, 1, 'assistant', '{_HOSTILE}')
 ), written AS (
-    SELECT *, '<|im_start|>' || replace(regexp_replace(role, '<(\*)\|', '<\|', 'g'), chr(10), '<|nl|>') || chr(10)
-              || regexp_replace(text, '<(\*)\|', '<\|', 'g') || '<|im_end|>' || chr(10) AS piece
+    SELECT *, '<|im_start|>' || replace(regexp_replace(role, '<(\\*)\|', '<\1\\|', 'g'), chr(10), '<|nl|>') || chr(10)
+              || regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g') || '<|im_end|>' || chr(10) AS piece
     FROM turns
 )
 SELECT conv_id, count(*) AS n_turns,
@@ -57,3 +57,86 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(sum(length(piece)) AS BIGINT) AS formatted_chars
 FROM written GROUP BY conv_id
 """
+
+
+def _sized(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR) END"
+
+
+def _merkle_leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_sized(value) for value in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+# Levels of all trees of a table `start` (tree, nth, h), three nodes to a parent until one remains.
+def _levels(start: str) -> str:
+    return f"""
+    SELECT tree, 0 AS lvl, nth, h, count(*) OVER (PARTITION BY tree) AS n FROM {start}
+    UNION ALL
+    SELECT tree, any_value(lvl) + 1, nth // 3, sha256(string_agg(h, '' ORDER BY nth)), any_value((n + 2) // 3)
+    FROM {{levels}} WHERE n > 1 GROUP BY tree, nth // 3
+    """
+
+
+# From `start` (doc, tree, nth, folded, proof) up through runs of siblings (tree, lvl, run, hs).
+def _ascent(start: str, climb: str, runs: str) -> str:
+    return f"""
+    SELECT doc, tree, 0 AS lvl, nth, folded, proof FROM {start}
+    UNION ALL
+    SELECT c.doc, c.tree, c.lvl + 1, c.nth // 3,
+           sha256(array_to_string(list_transform(r.hs, lambda x, i: CASE WHEN i = c.nth % 3 + 1 THEN c.folded ELSE x END), '')),
+           c.proof || array_to_string(list_filter(r.hs, lambda x, i: i <> c.nth % 3 + 1), '')
+    FROM {climb} c JOIN {runs} r ON r.tree = c.tree AND r.lvl = c.lvl AND r.run = c.nth // 3
+    """
+
+
+# DuckDB has no crc32: the table of its steps comes from the rule of the polynomial.
+ORACLES["op13_merkle_manifest"] = f"""
+WITH RECURSIVE crc_steps AS (
+    SELECT list_transform(range(256), lambda i: list_reduce(
+        list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda c, z: xor(c >> 1, 3988292384 * (c & 1)))) AS t
+), crcs AS (
+    SELECT doc_id, xor(list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)),
+        lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295) AS crc
+    FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL), crc_steps
+), marked AS (
+    SELECT documents.*, CASE WHEN crc % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS found_text
+    FROM documents LEFT JOIN crcs USING (doc_id)
+), hashed AS (
+    SELECT doc_id, source, {_merkle_leaf("text")} AS leaf, {_merkle_leaf("found_text")} AS found FROM marked
+), leaves AS (
+    SELECT *, row_number() OVER (ORDER BY source NULLS FIRST, doc_id NULLS FIRST, leaf) AS doc,
+           dense_rank() OVER (ORDER BY source NULLS FIRST) AS tree,
+           row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS nth
+    FROM hashed
+), own AS (
+    SELECT tree, nth, leaf AS h FROM leaves
+), levels AS (
+    {_levels("own").format(levels="levels")}
+), subroots AS (
+    SELECT 0 AS tree, tree - 1 AS nth, h FROM levels WHERE n = 1
+), top_levels AS (
+    {_levels("subroots").format(levels="top_levels")}
+), runs AS (
+    SELECT tree, lvl, nth // 3 AS run, list(h ORDER BY nth) AS hs FROM levels WHERE n > 1 GROUP BY tree, lvl, nth // 3
+), top_runs AS (
+    SELECT tree, lvl, nth // 3 AS run, list(h ORDER BY nth) AS hs FROM top_levels WHERE n > 1 GROUP BY tree, lvl, nth // 3
+), starts AS (
+    SELECT doc, tree, nth, found AS folded, '' AS proof FROM leaves
+), climb AS (
+    {_ascent("starts", "climb", "runs")}
+), arrived AS (
+    SELECT doc, 0 AS tree, tree - 1 AS nth, folded, proof
+    FROM (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY lvl DESC) AS place FROM climb) WHERE place = 1
+), top_climb AS (
+    {_ascent("arrived", "top_climb", "top_runs")}
+), ends AS (
+    SELECT doc, folded, proof
+    FROM (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY lvl DESC) AS place FROM top_climb) WHERE place = 1
+), root AS (
+    SELECT h FROM top_levels WHERE n = 1
+)
+SELECT leaves.doc_id, leaf, subroots.h AS subroot, root.h AS root, sha256(proof) AS proof_sha256, folded AS folded_root,
+       folded = root.h AS verified
+FROM leaves JOIN ends USING (doc) JOIN subroots ON subroots.nth = leaves.tree - 1 CROSS JOIN root
+"""

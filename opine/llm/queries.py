@@ -14,6 +14,7 @@ from opine.llm import (
     language,
     licenses,
     main_text,
+    merkle,
     mixing,
     near_duplicates,
     quality,
@@ -115,3 +116,8 @@ def op12_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     given = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     turns = op12_turns(given.unionByName(chat_format.hostile(spark)))
     return chat_format.conversations(stage(chat_format.formatted(turns), "chat-pieces"), "conv_id", ["turn"])
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.verified(_table(spark, folder, "documents"))
