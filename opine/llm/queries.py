@@ -12,6 +12,7 @@ from opine.llm import (
     decontaminate,
     fingerprints,
     language,
+    lexical,
     licenses,
     main_text,
     merkle,
@@ -105,6 +106,11 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan(_table(spark, folder, "documents"))
 
 
+@query
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.ranked(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op12_turns(rows: DataFrame) -> DataFrame:
     """conv_id, turn, role, text: the rows of a conversation table as canonical turns."""
     records = rows.select("conv_id", "turn", "role", "text")
