@@ -17,7 +17,7 @@ from pyspark.ml.feature import (
     StringIndexerModel,
     Tokenizer,
 )
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,6 +68,13 @@ def index_to_label(indexer: StringIndexerModel, index_col: str, label_col: str)
     return IndexToString(inputCol=index_col, outputCol=label_col, labels=indexer.labels)
 
 
+def vector_rows(rows: DataFrame, vector: str, value: str) -> DataFrame:
+    """One row per non-zero entry of a Spark ML vector: bucket, `value`, and the other columns."""
+    others = [c for c in rows.columns if c != vector]
+    listed = rows.select(*others, F.posexplode_outer(vector_to_array(vector)).alias("bucket", value))
+    return listed.where(F.col(value) != 0)
+
+
 # --- relational form ---------------------------------------------------------------
 
 
@@ -79,9 +86,13 @@ def with_bucket_counts(reviews: DataFrame, num_features: int = NUM_FEATURES) ->
 
 
 def term_rows(vectors: DataFrame) -> DataFrame:
-    """One row per review and bucket it uses: bucket, tf (bigint), and the other columns."""
+    """One row per review and bucket it uses: bucket, tf (bigint), and the other columns.
+
+    The outer form keeps Spark from testing for empty arrays first, which would count every review twice.
+    """
     others = [c for c in vectors.columns if c != "tf"]
-    return vectors.select(*others, F.explode("tf").alias("used")).select(*others, "used.bucket", "used.tf")
+    used = vectors.select(*others, F.explode_outer("tf").alias("used")).where(F.col("used").isNotNull())
+    return used.select(*others, "used.bucket", "used.tf")
 
 
 def as_vector(tf: str | Column, num_features: int = NUM_FEATURES) -> Column:

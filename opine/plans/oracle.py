@@ -181,6 +181,55 @@ ORACLES["idf_weights"] = f"WITH {TERMS}, {weights()} SELECT bucket, df, round(id
 ORACLES["tfidf_features"] = (
     f"WITH {TERMS}, {weights()} SELECT doc_id, bucket, round(tf * idf, 6) AS tfidf FROM terms JOIN weights USING (bucket)"
 )
+
+
+# --- Murmur3 buckets -----------------------------------------------------------------
+
+# Arithmetic of 32 bits without sign, in wider numbers.
+_WORD = 4294967296
+
+
+def _times(a: str, b: int) -> str:
+    return f"(({a})::HUGEINT * {b} % {_WORD})::BIGINT"
+
+
+def _turned(a: str, bits: int) -> str:
+    return f"((({a}) << {bits}) % {_WORD} + (({a}) >> {32 - bits}))"
+
+
+def _stirred(k: str) -> str:
+    """Murmur3's treatment of four bytes before they enter the state."""
+    return _times(_turned(_times(k, 3432918353), 15), 461845907)
+
+
+# Words are ASCII here. `blocks` are whole groups of four bytes, `tail` what is left; the seed is 42.
+MURMUR = f"""
+spelled AS (SELECT word, list_transform(string_split(word, ''), lambda c: ascii(c)::BIGINT) AS b, length(word) AS n
+            FROM (SELECT DISTINCT word FROM tokens)),
+grouped AS (SELECT word, n,
+    list_transform(range(n // 4), lambda i: b[4*i+1] + 256 * b[4*i+2] + 65536 * b[4*i+3] + 16777216 * b[4*i+4]) AS blocks,
+    CASE n % 4 WHEN 0 THEN 0 WHEN 1 THEN b[n] WHEN 2 THEN b[n-1] + 256 * b[n]
+               ELSE b[n-2] + 256 * b[n-1] + 65536 * b[n] END AS tail FROM spelled),
+mixed AS (SELECT word, n, tail, list_reduce(list_prepend(42::BIGINT, blocks),
+    lambda h, k: ({_times(_turned("xor(h, " + _stirred("k") + ")", 13), 5)} + 3864292196) % {_WORD}) AS h FROM grouped),
+tailed AS (SELECT word, xor(CASE WHEN n % 4 > 0 THEN xor(h, {_stirred("tail")}) ELSE h END, n) AS h FROM mixed),
+folded AS (SELECT word, {_times("xor(h, h >> 16)", 2246822507)} AS h FROM tailed),
+folded_twice AS (SELECT word, {_times("xor(h, h >> 13)", 3266489909)} AS h FROM folded),
+murmur AS (SELECT word, xor(h, h >> 16) - CASE WHEN xor(h, h >> 16) >= 2147483648 THEN {_WORD} ELSE 0 END AS h FROM folded_twice)
+"""
+
+ML_TERMS = (
+    f"{LABELLED}, reviews AS (SELECT doc_id, label, {review('text')} AS review FROM labelled), "
+    "tokens AS (SELECT doc_id, label, unnest(string_split(review, ' ')) AS word FROM reviews), "
+    f"{MURMUR}, terms AS (SELECT doc_id, label, ((h % {NUM_FEATURES} + {NUM_FEATURES}) % {NUM_FEATURES})::INTEGER AS bucket, "
+    "count(*) AS tf FROM tokens JOIN murmur USING (word) GROUP BY ALL)"
+)
+ORACLES["hashing_tf_ml"] = f"WITH {ML_TERMS} SELECT doc_id, bucket, tf::DOUBLE AS tf FROM terms"
+ORACLES["tfidf_ml"] = (
+    f"WITH {ML_TERMS}, {weights()} SELECT doc_id, label, bucket, round(tf * idf, 6) AS tfidf "
+    "FROM terms JOIN weights USING (bucket) WHERE tf * idf <> 0"
+)
+
 ORACLES["label_index"] = (
     "WITH n AS (SELECT quality, count(*) AS n FROM labels JOIN documents USING (doc_id) GROUP BY quality), "
     "i AS (SELECT quality, row_number() OVER (ORDER BY n DESC, quality) - 1 AS indexed FROM n) "
@@ -203,8 +252,8 @@ ORACLES["doc_vectors_given"] = (
 # --- naive Bayes -------------------------------------------------------------------
 
 IN_TRAIN = f"{part('doc_id', 60)} = 'train'"
-NB = (
-    f"{TERMS}, {weights(IN_TRAIN)}, "
+NB_RULES = (
+    f"{weights(IN_TRAIN)}, "
     f"weighted AS (SELECT doc_id, label, {part('doc_id', 60)} AS part, bucket, tf * idf AS w "
     "FROM terms JOIN weights USING (bucket)), "
     f"train AS (SELECT * FROM labelled WHERE {IN_TRAIN}), "
@@ -223,6 +272,15 @@ NB = (
     "predictions AS (SELECT doc_id, label, class AS prediction FROM ranked WHERE place = 1)"
 )
 
+NB = f"{TERMS}, {NB_RULES}"
+NB_ML = f"{ML_TERMS}, {NB_RULES}"
+
+ORACLES["nb_ml_predictions"] = (
+    f"WITH {NB_ML}, best AS (SELECT doc_id, max(score) AS most, max(score) FILTER (class = 1) AS one FROM scores GROUP BY doc_id), "
+    "shares AS (SELECT doc_id, exp(max(one) - max(most)) / sum(exp(score - most)) AS score FROM scores JOIN best USING (doc_id) "
+    "GROUP BY doc_id) SELECT doc_id, label, prediction, round(shares.score, 6) AS score FROM predictions JOIN shares USING (doc_id)"
+)
+ORACLES["pipeline_nb"] = f"WITH {NB_ML} SELECT review, label, prediction FROM predictions JOIN reviews USING (doc_id, label)"
 ORACLES["nb_model"] = (
     f"WITH {NB} SELECT label, bucket, round(theta, 6) AS theta, round(prior, 6) AS prior FROM model"
 )
@@ -267,8 +325,8 @@ SCORED = (
 TP = "count(*) FILTER (prediction = 1 AND label = 1)"
 FP = "count(*) FILTER (prediction = 1 AND label = 0)"
 P = "count(*) FILTER (label = 1)"
-ACCURACY = "round(avg((prediction = label)::INTEGER::DOUBLE), 6) AS accuracy"
-ERROR = "round(avg((prediction <> label)::INTEGER::DOUBLE), 6) AS test_error"
+ACCURACY = "round(count(*) FILTER (prediction = label)::DOUBLE / count(*), 6) AS accuracy"
+ERROR = "round(1 - count(*) FILTER (prediction = label)::DOUBLE / count(*), 6) AS test_error"
 RECALL = f"round({TP}::DOUBLE / nullif({P}, 0), 6) AS recall"
 PRECISION = f"round({TP}::DOUBLE / nullif({TP} + {FP}, 0), 6) AS precision"
 

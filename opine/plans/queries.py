@@ -13,7 +13,7 @@ from opine.functions import text as tx
 from opine.functions.hashing import md5_bucket
 from opine.operators import bayes, clusters, embeddings, explore, features, metrics, models, splits, tuning
 from opine.plans import derived, recipes
-from opine.session import dealt, new_folder, path_bytes, spread
+from opine.session import dealt, new_folder, path_bytes, spread, stage
 from opine.sources import tables, tsv
 from opine.streaming import jobs, lines
 
@@ -44,11 +44,12 @@ def _joined(words: str | Column) -> Column:
 
 
 def _with_one_header(spark: SparkSession, reviews: DataFrame, purpose: str) -> str:
-    """Write reviews as a data set of several files: a small first one that holds the header line only, and
+    """Write reviews as a data set of several files: an empty first one, one that holds the header line only, and
     many without one."""
     path = new_folder(spark, purpose)
-    tsv.write_tsv(reviews.limit(0), f"{path}/part=0")
-    tsv.write_tsv(reviews, f"{path}/part=1", header=False)
+    reviews.limit(0).select(F.lit("").alias("value")).write.text(f"{path}/part=0")
+    tsv.write_tsv(reviews.limit(0), f"{path}/part=1")
+    tsv.write_tsv(reviews, f"{path}/part=2", header=False)
     return f"{path}/part=*"
 
 
@@ -223,12 +224,14 @@ def _ml_features(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def hashing_tf_ml(spark: SparkSession, folder: str) -> DataFrame:
     words = features.tokenizer().transform(derived.cleaned_reviews(spark, folder))
-    return features.hashing_tf().transform(words).select("doc_id", vector_to_array("rawFeatures").alias("tf"))
+    counted = features.hashing_tf().transform(words)
+    return features.vector_rows(counted.select("doc_id", "rawFeatures"), "rawFeatures", "tf")
 
 
 @query
 def tfidf_ml(spark: SparkSession, folder: str) -> DataFrame:
-    return _ml_features(spark, folder).select("doc_id", "label", vector_to_array("features").alias("tfidf"))
+    weighted = _ml_features(spark, folder).select("doc_id", "label", "features")
+    return features.vector_rows(weighted, "features", "tfidf").withColumn("tfidf", _rounded("tfidf"))
 
 
 @query
@@ -251,13 +254,17 @@ def word_vector(word: Column, size: int) -> Column:
 GIVEN_VECTOR_SIZE = 4
 
 
+def given_vectors(documents: DataFrame) -> DataFrame:
+    """word, vector: fixed vectors of the words of `documents` that have three letters and more."""
+    known = documents.select(F.explode("words").alias("word")).where(F.length("word") >= 3).distinct()
+    return known.select("word", word_vector(F.col("word"), GIVEN_VECTOR_SIZE).alias("vector"))
+
+
 @query
 def doc_vectors_given(spark: SparkSession, folder: str) -> DataFrame:
     """Averages of given word vectors, in millionths: words of three letters and more have one."""
-    documents = embeddings.word_lists(tables.all_reviews(spark, folder))
-    known = documents.select(F.explode("words").alias("word")).where(F.length("word") >= 3).distinct()
-    vectors = known.select("word", word_vector(F.col("word"), GIVEN_VECTOR_SIZE).alias("vector"))
-    averaged = embeddings.average_vectors(documents, vectors)
+    documents = stage(embeddings.word_lists(tables.all_reviews(spark, folder)), "word-lists")
+    averaged = embeddings.average_vectors(documents, given_vectors(documents))
     # No average of fewer than ten million words has a seventh digit that lies on this cut.
     millionths = [F.floor(F.get("features", F.lit(k)) * 1e6 + 0.3).cast("bigint") for k in range(GIVEN_VECTOR_SIZE)]
     columns = [d.alias(f"d{k}") for k, d in enumerate(millionths)]
@@ -277,8 +284,8 @@ def _split_vectors(spark: SparkSession, folder: str, percent: int) -> tuple[Data
 
 @query
 def lr_tfidf_predictions(spark: SparkSession, folder: str) -> DataFrame:
-    train, test = _split_reviews(spark, folder, 60)
-    return models.score(tuning.fit_pipeline(train, models.logistic_regression()), test)
+    _, test = _split_reviews(spark, folder, TRAIN_PERCENT)
+    return models.score(_text_pipeline(spark, folder, "lr"), test)
 
 
 @query
@@ -300,10 +307,21 @@ def lr_lbfgs_w2v_predictions(spark: SparkSession, folder: str) -> DataFrame:
     return models.score(classifier, test)
 
 
+def _text_pipeline(spark: SparkSession, folder: str, kind: str) -> PipelineModel:
+    """The text pipeline with logistic regression ("lr") or naive Bayes ("nb"), fitted once on the training rows."""
+
+    def make() -> PipelineModel:
+        train, _ = _split_reviews(spark, folder, TRAIN_PERCENT)
+        return tuning.fit_pipeline(train, models.logistic_regression() if kind == "lr" else models.naive_bayes())
+
+    return derived.once(spark, folder, f"text_pipeline_{kind}", make)
+
+
 @query
 def nb_ml_predictions(spark: SparkSession, folder: str) -> DataFrame:
-    train, test = _split_reviews(spark, folder, 60)
-    return models.score(tuning.fit_pipeline(train, models.naive_bayes()), test)
+    _, test = _split_reviews(spark, folder, TRAIN_PERCENT)
+    scored = models.score(_text_pipeline(spark, folder, "nb"), test)
+    return scored.withColumn("score", _rounded("score"))
 
 
 def _nb_training(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -459,16 +477,14 @@ def nb_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def pipeline_lr(spark: SparkSession, folder: str) -> DataFrame:
-    train, test = _split_reviews(spark, folder, 60)
-    model = tuning.fit_pipeline(train, models.logistic_regression())
-    return model.transform(test).select("review", "label", "prediction")
+    _, test = _split_reviews(spark, folder, TRAIN_PERCENT)
+    return _text_pipeline(spark, folder, "lr").transform(test).select("review", "label", "prediction")
 
 
 @query
 def pipeline_nb(spark: SparkSession, folder: str) -> DataFrame:
-    train, test = _split_reviews(spark, folder, 60)
-    model = tuning.fit_pipeline(train, models.naive_bayes())
-    return model.transform(test).select("review", "label", "prediction")
+    _, test = _split_reviews(spark, folder, TRAIN_PERCENT)
+    return _text_pipeline(spark, folder, "nb").transform(test).select("review", "label", "prediction")
 
 
 def _cross_validated(spark: SparkSession, folder: str, kind: str) -> tuning.CrossValidatorModel:

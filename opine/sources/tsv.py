@@ -38,14 +38,14 @@ def _read(spark: SparkSession, path: str | list[str], fields: tuple[str, ...], h
     )
 
 
-def _first_file(spark: SparkSession, path: str) -> str | None:
-    """The data set's first file by name, from the listing that Spark holds; nothing is read."""
-    return min(spark.read.text(path).inputFiles(), default=None)
+def _first_file(spark: SparkSession, path: str) -> tuple[str, str] | None:
+    """The data set's first file by name that is not empty: its path, and the same as `_metadata` gives it.
 
-
-def _one_slash(uri: Column) -> Column:
-    """file:///a and file:/a name the same file."""
-    return F.regexp_replace(uri, "^([a-zA-Z][a-zA-Z0-9+.-]*):/(?://)?(?=[^/])", "$1:/")
+    It is picked from the sizes that the listing has; no contents are read, and only one name comes to the driver.
+    """
+    files = spark.read.format("binaryFile").load(path).where(F.col("length") > 0)
+    first = files.agg(F.min(F.struct("path", "_metadata.file_path")).alias("first")).first().first
+    return None if first is None else (first.path, first.file_path)
 
 
 def _first_file_header(spark: SparkSession, path: str, fields: tuple[str, ...]) -> DataFrame:
@@ -54,8 +54,8 @@ def _first_file_header(spark: SparkSession, path: str, fields: tuple[str, ...])
     if first is None:
         return every
     columns = every.columns
-    others = every.where(_one_slash(F.col("_metadata.file_path")) != _one_slash(F.lit(first))).select(*columns)  # leaves out a file, not rows
-    return _read(spark, first, fields, header=True).unionByName(others)
+    others = every.where(F.col("_metadata.file_path") != first[1]).select(*columns)  # leaves out a file, not rows
+    return _read(spark, first[0], fields, header=True).unionByName(others)
 
 
 def _with_fields(df: DataFrame, fields: tuple[str, ...], short_lines: str) -> DataFrame:
@@ -80,7 +80,7 @@ def read_tsv(
     """Read a TSV data set as strings.
 
     header: "first_file" drops the first line of the data set, that of the first file by
-    name; "each_file" the first line of every file; "none" drops nothing.
+    name which is not empty; "each_file" the first line of every file; "none" drops nothing.
     short_lines: "fail", "drop", or "only" (give back the short lines themselves).
     Blank lines hold no review and are passed over.
     """
@@ -105,13 +105,13 @@ def read_unlabelled(spark: SparkSession, path: str, header: str = "first_file",
 
 
 def read_dropping_header_value(spark: SparkSession, path: str, fields: tuple[str, ...] = LABELLED) -> DataFrame:
-    """Drop every line equal to the first line of the data set, that of the first file by name, wherever it stands.
+    """Drop every line equal to the first line of the data set, that of its first file, wherever it stands.
 
     Fields beyond the last are ignored; a missing one is NULL.
     """
     lines = spark.read.text(path)
     name = _first_file(spark, path)
-    first = None if name is None else spark.read.text(name).where(F.col("_metadata.file_block_start") == 0).first()
+    first = None if name is None else spark.read.text(name[0]).where(F.col("_metadata.file_block_start") == 0).first()
     if first is not None:
         lines = lines.where(F.col("value") != F.lit(first.value))
     parts = F.split("value", "\t")
