@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,9 +64,11 @@ def classification_report(scored: DataFrame) -> DataFrame:
     )
 
 
-def curve_counts(scored: DataFrame, ranges: int | None = None) -> DataFrame:
+def curve_counts(scored: DataFrame, ranges: int | None = None, by: Sequence[str] = ()) -> DataFrame:
     """One row per distinct score: tp, fp at that score, tp_before, fp_before above it, and the totals p, n.
 
+    `by` names columns that hold several curves apart; they stay in the result.
+
     Running counts over all scores would put every row in one task. So the distinct
     scores are dealt by ranges, as many as the session's shuffle partitions unless `ranges`
     says otherwise; each range is counted up by itself and starts from the total of the
@@ -72,27 +76,31 @@ def curve_counts(scored: DataFrame, ranges: int | None = None) -> DataFrame:
     scores is written once, so the rows are scored once for all its uses.
     """
     is_positive = (F.col("label") == 1.0).cast("bigint")
-    counted = scored.groupBy("score").agg(
+    counted = scored.groupBy(*by, "score").agg(
         F.sum(is_positive).alias("tp"), F.sum(F.lit(1).cast("bigint") - is_positive).alias("fp")
     )
-    by_range = counted.repartitionByRange(ranges, "score") if ranges else counted.repartitionByRange("score")
+    order = [*by, "score"]
+    by_range = counted.repartitionByRange(ranges, *order) if ranges else counted.repartitionByRange(*order)
     ranged = stage(by_range.withColumn("range", F.spark_partition_id()), "score-counts")
 
-    # one row for each range from here on
-    totals = ranged.groupBy("range").agg(F.sum("tp").alias("range_tp"), F.sum("fp").alias("range_fp"))
-    above = Window.orderBy(F.col("range").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # one row for each range (and curve) from here on
+    totals = ranged.groupBy("range", *by).agg(F.sum("tp").alias("range_tp"), F.sum("fp").alias("range_fp"))
+    curve = Window.partitionBy(*by)
+    above = curve.orderBy(F.col("range").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    everything = curve.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = totals.select(
         "range",
+        *by,
         F.coalesce(F.sum("range_tp").over(above), F.lit(0)).alias("tp_offset"),
         F.coalesce(F.sum("range_fp").over(above), F.lit(0)).alias("fp_offset"),
         F.sum("range_tp").over(everything).alias("p"),
         F.sum("range_fp").over(everything).alias("n"),
     )
     before = (
-        Window.partitionBy("range").orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("range", *by).orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, -1)
     )
-    return ranged.join(F.broadcast(offsets), "range").select(
+    return ranged.join(F.broadcast(offsets), ["range", *by]).select(
+        *by,
         "score",
         "tp",
         "fp",
@@ -127,6 +135,11 @@ def auc_pr(scored: DataFrame, ranges: int | None = None) -> DataFrame:
     return curve_counts(scored, ranges).agg(_area_pr())
 
 
+def auc_roc_by(scored: DataFrame, by: Sequence[str], ranges: int | None = None) -> DataFrame:
+    """`auc_roc` of each curve that `by` holds apart, from one table of score counts."""
+    return curve_counts(scored, ranges, by).groupBy(*by).agg(_area_roc())
+
+
 def areas(scored: DataFrame, ranges: int | None = None) -> DataFrame:
     """Both areas from one table of score counts: one row, auc_roc and auc_pr."""
     return curve_counts(scored, ranges).agg(_area_roc(), _area_pr())

@@ -286,6 +286,47 @@ ORACLES["nb_model"] = (
 )
 ORACLES["nb_predictions"] = f"WITH {NB} SELECT * FROM predictions"
 
+# Tuning: every model is counted from its own training rows; fold -1 stands for none left out.
+NB_GRID = f"""
+{LABELLED}, parted AS (SELECT doc_id, label, text, {part('doc_id', 60)} AS part, ({md5_bucket("'fold:' || doc_id::VARCHAR", 3)})::INTEGER AS fold FROM labelled),
+tokens AS (SELECT doc_id, label, part, fold, unnest(string_split({review('text')}, ' ')) AS word FROM parted),
+sizes AS (SELECT unnest([300, 400])::INTEGER AS v),
+outs AS (SELECT unnest([-1, 0, 1, 2])::INTEGER AS fold_out),
+terms AS (SELECT doc_id, label, part, fold, v, {md5_bucket("word", 1 << 32)} % v AS bucket, count(*) AS tf FROM tokens, sizes GROUP BY ALL),
+train_docs AS (SELECT fold_out, doc_id, label FROM parted, outs WHERE part = 'train' AND fold <> fold_out),
+n_docs AS (SELECT fold_out, count(*) AS n_all, count(DISTINCT label) AS n_classes FROM train_docs GROUP BY fold_out),
+n_class AS (SELECT fold_out, label, count(*) AS n FROM train_docs GROUP BY ALL),
+train_terms AS (SELECT fold_out, v, bucket, label, doc_id, tf FROM terms, outs WHERE part = 'train' AND fold <> fold_out),
+dfs AS (SELECT fold_out, v, bucket, count(DISTINCT doc_id) AS df FROM train_terms GROUP BY ALL),
+grid AS (SELECT fold_out, v, unnest(range(v)) AS bucket FROM outs, sizes),
+idfs AS (SELECT fold_out, v, bucket, ln((n_all + 1.0::DOUBLE) / (coalesce(df, 0) + 1.0::DOUBLE)) AS idf
+         FROM grid LEFT JOIN dfs USING (fold_out, v, bucket) JOIN n_docs USING (fold_out)),
+used AS (SELECT fold_out, v, bucket, label, sum(tf) AS tf FROM train_terms GROUP BY ALL),
+ws AS (SELECT idfs.fold_out, idfs.v, idfs.bucket, n_class.label, idf, n, coalesce(tf, 0) * idf AS w
+       FROM idfs JOIN n_class ON n_class.fold_out = idfs.fold_out LEFT JOIN used
+       ON used.fold_out = idfs.fold_out AND used.v = idfs.v AND used.bucket = idfs.bucket AND used.label = n_class.label),
+totals AS (SELECT fold_out, v, label, sum(w) AS total FROM ws GROUP BY ALL),
+models AS (SELECT fold_out, v, s, label, bucket, idf * (ln(w + s) - ln(total + s * v)) AS weight, ln(n + s) - ln(n_all + s * n_classes) AS prior
+           FROM ws JOIN totals USING (fold_out, v, label) JOIN n_docs USING (fold_out), (SELECT unnest([0.01, 0.1, 1.0]::DOUBLE[]) AS s)),
+joint AS (SELECT fold_out, v, s, models.label AS class, doc_id, terms.label AS label, part, max(prior) + sum(tf * weight) AS score
+          FROM terms JOIN models USING (v, bucket)
+          WHERE (part = 'train' AND fold = fold_out) OR (part = 'test' AND fold_out = -1) GROUP BY ALL),
+by_score AS (SELECT fold_out, v, s, round(score, 6) AS score, sum(label) AS pos, sum(1 - label) AS neg
+             FROM joint WHERE part = 'train' AND class = 1 GROUP BY fold_out, v, s, round(score, 6)),
+running AS (SELECT fold_out, v, s, pos, neg, sum(pos) OVER w - pos AS before FROM by_score
+            WINDOW w AS (PARTITION BY fold_out, v, s ORDER BY score DESC)),
+areas AS (SELECT fold_out, v, s, sum(neg * (before + pos / 2)) / (sum(pos) * sum(neg)) AS area FROM running GROUP BY fold_out, v, s),
+results AS (SELECT v AS num_features, s AS strength, avg(area) AS avg_metric FROM areas GROUP BY v, s),
+best AS (SELECT num_features, strength FROM results ORDER BY avg_metric DESC NULLS LAST, num_features, strength LIMIT 1)
+"""
+ORACLES["cv_nb_relational"] = f"WITH {NB_GRID} SELECT num_features, strength, round(avg_metric, 6) AS avg_metric FROM results"
+ORACLES["cv_nb_relational_predictions"] = (
+    f"WITH {NB_GRID}, ranked AS (SELECT doc_id, label, class, num_features, strength, "
+    "row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, class) AS place "
+    "FROM joint JOIN best ON v = num_features AND s = strength WHERE part = 'test') "
+    "SELECT doc_id, label, class AS prediction, num_features, strength FROM ranked WHERE place = 1"
+)
+
 # --- clustering --------------------------------------------------------------------
 
 ASSIGNED = """

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from opine.functions import text as tx
 from opine.functions.hashing import md5_bucket
-from opine.operators import bayes, clusters, embeddings, explore, features, metrics, models, splits, tuning
+from opine.operators import bayes, bayes_tuning, clusters, embeddings, explore, features, metrics, models, splits, tuning
 from opine.plans import derived, recipes
 from opine.session import dealt, new_folder, path_bytes, spread, stage
 from opine.sources import tables, tsv
@@ -512,6 +512,23 @@ def cv_best_predictions(spark: SparkSession, folder: str) -> DataFrame:
     return _cross_validated(spark, folder, "lr").transform(test).select("doc_id", "review", "prediction", "label")
 
 
+def _tuned_bayes(spark: SparkSession, folder: str) -> bayes_tuning.Tuned:
+    return derived.once(spark, folder, "tuned_bayes", lambda: bayes_tuning.tune(_split_reviews(spark, folder, TRAIN_PERCENT)[0]))
+
+
+@query
+def cv_nb_relational(spark: SparkSession, folder: str) -> DataFrame:
+    return _tuned_bayes(spark, folder).results.withColumn("avg_metric", _rounded("avg_metric"))
+
+
+@query
+def cv_nb_relational_predictions(spark: SparkSession, folder: str) -> DataFrame:
+    tuned = _tuned_bayes(spark, folder)
+    _, test = _split_reviews(spark, folder, TRAIN_PERCENT)
+    setting = {"num_features": F.lit(tuned.num_features), "strength": F.lit(tuned.strength)}
+    return tuned.predict(test.select("doc_id", "label", "review")).withColumns(setting)
+
+
 # --- the fitted models, evaluated on their test rows ---------------------------------
 
 RATIOS = ("accuracy", "test_error", "recall", "precision")
