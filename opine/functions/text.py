@@ -118,3 +118,36 @@ def sentences(raw: Column, abbreviations: Sequence[str] = ()) -> Column:
         marked = F.replace(marked, F.lit(ABBREVIATION_MARK), F.lit("."))
     trimmed = F.transform(F.split(marked, SENTENCE_MARK), lambda s: F.trim(s, F.lit(BLANKS)))
     return F.array_remove(trimmed, "")
+
+
+# A word as abbreviations are counted, with what may stand around it.
+WORD_TYPE = r"^[\"'(\[]*((?:[A-Za-z]+\.)*[A-Za-z]+)(\.?)[\"')\],;:!?]*$"
+LAST_TYPE = r"^[\"'(\[]*((?:[A-Za-z]+\.)*[A-Za-z]+)\.$"
+
+
+def word_types(text: Column) -> Column:
+    """The words between blanks as (type, with_period): letters with periods inside, in lower case, and whether a period
+    follows. What holds other characters has no type."""
+    tokens = F.filter(F.split(text, "[ \t\r\n]+"), lambda t: t.rlike(WORD_TYPE))
+    return F.transform(
+        tokens,
+        lambda t: F.struct(
+            F.lower(F.regexp_extract(t, WORD_TYPE, 1)).alias("type"),
+            (F.regexp_extract(t, WORD_TYPE, 2) == ".").alias("with_period"),
+        ),
+    )
+
+
+def sentences_known(raw: Column, known: Column) -> Column:
+    """As `sentences`, with the abbreviations as an array column of types in lower case: no cut after a known type and
+    one period. The text is cut at every end first, and ends after known types are closed again."""
+    raw = F.replace(raw, F.lit(SENTENCE_MARK), F.lit(" "))
+    pieces = F.split(F.regexp_replace(raw, r"([.!?]+)(?=[ \t\r\n])", "$1" + SENTENCE_MARK), SENTENCE_MARK)
+
+    def closed(piece: Column) -> Column:
+        last = F.element_at(F.split(piece, "[ \t\r\n]+"), -1)
+        is_known = F.array_contains(known, F.lower(F.regexp_extract(last, LAST_TYPE, 1)))
+        return F.when(is_known, piece).otherwise(F.concat(piece, F.lit(SENTENCE_MARK)))
+
+    parts = F.split(F.array_join(F.transform(pieces, closed), ""), SENTENCE_MARK)
+    return F.array_remove(F.transform(parts, lambda s: F.trim(s, F.lit(BLANKS))), "")

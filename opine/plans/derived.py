@@ -19,6 +19,9 @@ from opine.operators import clusters, embeddings, features, models, splits
 from opine.session import dealt, new_folder, path_exists, stage, stage_at
 from opine.sources import tables
 
+# Partitions that the registered queries train in, dealt by the keys' hash.
+WORD2VEC_PARTITIONS, KMEANS_PARTITIONS = 16, 64
+
 _made: dict[tuple[str, str, str], Any] = {}
 
 
@@ -67,7 +70,7 @@ def word2vec(spark: SparkSession, folder: str) -> Word2VecModel:
 
     def make() -> Word2VecModel:
         sentences = embeddings.sentence_corpus(tables.unlabelled_reviews(spark, folder))
-        return embeddings.fit_word2vec(stage(sentences, "sentence-corpus"))
+        return embeddings.fit_word2vec(stage(sentences, "sentence-corpus"), WORD2VEC_PARTITIONS)
 
     return once(spark, folder, "word2vec", make)
 
@@ -97,6 +100,6 @@ def kmeans_on_vectors(spark: SparkSession, folder: str) -> KMeansModel:
 
     def make() -> KMeansModel:
         train, _ = splits.hash_split(document_vectors(spark, folder), "doc_id", 60)
-        return clusters.fit_kmeans_best(dealt(train, "doc_id", clusters.TRAINING_PARTITIONS))
+        return clusters.fit_kmeans_best(dealt(train, "doc_id", KMEANS_PARTITIONS))
 
     return once(spark, folder, "kmeans_on_vectors", make)

@@ -120,6 +120,39 @@ ORACLES["sentence_corpus"] = (
     f"WITH {UNLABELLED}, {sentence_rows('unlabelled')} "
     f"SELECT doc_id, sent_pos, {joined(words(html_text('sentence')))} AS words FROM sentences"
 )
+# A word type: letters with periods inside, and marks around it; then whether a period follows.
+_TYPE = r"""^["''(\[]*((?:[A-Za-z]+\.)*[A-Za-z]+)(\.?)["'')\],;:!?]*$"""
+_LAST = r"""^["''(\[]*((?:[A-Za-z]+\.)*[A-Za-z]+)\.$"""
+_BLANKS = r"string_split_regex({}, '[ \t\r\n]+')"
+TYPES = f"""
+spoken AS (SELECT unnest({_BLANKS.format("text")}) AS token FROM documents),
+typed AS (SELECT lower(regexp_extract(token, '{_TYPE}', 1)) AS type, regexp_extract(token, '{_TYPE}', 2) = '.' AS ended
+          FROM spoken WHERE regexp_matches(token, '{_TYPE}')),
+counts AS (SELECT type, count(*) FILTER (ended) AS n_with, count(*) FILTER (NOT ended) AS n_without FROM typed GROUP BY type),
+chance AS (SELECT sum(n_with)::DOUBLE / sum(n_with + n_without)::DOUBLE AS p FROM counts),
+sized AS (SELECT *, length(replace(type, '.', ''))::DOUBLE AS letters, length(type) - length(replace(type, '.', '')) + 1 AS periods
+          FROM counts, chance WHERE n_with > 0),
+learnt AS (SELECT type, n_with, n_without, CASE WHEN p < 1 THEN
+    -2 * ((n_with * ln(p) + n_without * ln(1 - p)) - (n_with * ln(0.99::DOUBLE) + n_without * ln(1 - 0.99::DOUBLE)))
+    * exp(-letters) * periods * pow(letters, -n_without::DOUBLE) ELSE 0 END + 0 AS score FROM sized)
+"""
+ORACLES["sentence_abbreviations"] = (
+    f"WITH {TYPES} SELECT type, n_with, n_without, round(score, 6) + 0 AS score, score >= 0.3::DOUBLE AS is_abbreviation FROM learnt"
+)
+_PIECES = (
+    r"string_split(regexp_replace(replace(text, chr(1), ' '), '([.!?]+)([ \t\r\n])', '\1' || chr(1) || '\2', 'g'), chr(1))"
+)
+ORACLES["sentence_split_learnt"] = (
+    f"WITH {TYPES}, known AS (SELECT coalesce(list(type), []) AS types FROM learnt WHERE score >= 0.3::DOUBLE), "
+    f"closed AS (SELECT doc_id, array_to_string(list_transform({_PIECES}, lambda p: CASE WHEN "
+    f"list_contains(types, lower(regexp_extract({_BLANKS.format('p')}[-1], '{_LAST}', 1))) THEN p ELSE p || chr(1) END), '') AS marked "
+    "FROM documents, known), "
+    "lists AS (SELECT doc_id, list_filter(list_transform(string_split(marked, chr(1)), "
+    "lambda s: trim(s, ' ' || chr(9) || chr(10) || chr(13))), lambda s: s <> '') AS parts FROM closed), "
+    "rows AS (SELECT doc_id, unnest(range(len(parts))) AS idx, parts FROM lists) "
+    "SELECT doc_id, idx::INTEGER AS sent_pos, parts[idx + 1] AS sentence FROM rows"
+)
+
 ORACLES["ml_tokenizer"] = (
     f"WITH t AS (SELECT doc_id, string_split({review('text')}, ' ') AS words FROM documents) "
     "SELECT doc_id, len(words)::INTEGER AS n_tokens, array_to_string(words, '|') AS tokens FROM t"
@@ -355,6 +388,48 @@ ORACLES["lr_given_scores"] = (
 )
 ORACLES["stream_score_given"] = ORACLES["lr_given_scores"]
 
+# Objective at the given coefficients: mean log loss and 0.1 / 2 times the squared coefficients.
+ORACLES["lr_gradient_given"] = (
+    "WITH coefficients AS (SELECT unnest(range(64)) AS idx), "
+    "weights AS (SELECT idx, ((idx * 7) % 11 - 5) / 10.0::DOUBLE AS w FROM coefficients), "
+    "points AS (SELECT vec_id, (label >= 5)::INTEGER AS y, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) - 1 AS idx "
+    "FROM embeddings), "
+    "scored AS (SELECT vec_id, 1 / (1 + exp(-(0.05::DOUBLE + sum(x * w)))) AS p FROM points JOIN weights USING (idx) GROUP BY vec_id), "
+    "gaps AS (SELECT vec_id, idx, x, y, p FROM points JOIN scored USING (vec_id)), "
+    "losses AS (SELECT avg(CASE WHEN y = 1 THEN -ln(p) ELSE -ln(1 - p) END) + 0.05::DOUBLE * (SELECT sum(w * w) FROM weights) AS loss "
+    "FROM gaps WHERE idx = 0), "
+    "slopes AS (SELECT idx::INTEGER AS dim, avg((p - y) * x) + 0.1::DOUBLE * any_value(w) AS gradient "
+    "FROM gaps JOIN weights USING (idx) GROUP BY idx "
+    "UNION ALL SELECT -1, avg(p - y) FROM gaps WHERE idx = 0) "
+    "SELECT dim, round(gradient, 6) AS gradient, round(loss, 6) AS loss FROM slopes, losses"
+)
+
+
+def _given_tree(t: int) -> str:
+    """Tree t as its rule says: which leaf, then class 1's twelfths there."""
+    x = [f"embedding[{(11 * t + k) % 64 + 1}]::DOUBLE" for k in range(3)]
+    leaf = [f"{(5 * node + 7 * t) % 13} / 12.0::DOUBLE" for node in range(3, 7)]
+    return (
+        f"CASE WHEN {x[0]} <= 0 THEN CASE WHEN {x[1]} <= -0.05::DOUBLE THEN {leaf[0]} ELSE {leaf[1]} END "
+        f"ELSE CASE WHEN {x[2]} <= 0.05::DOUBLE THEN {leaf[2]} ELSE {leaf[3]} END END"
+    )
+
+
+ORACLES["rf_given_scores"] = (
+    f"WITH scored AS (SELECT vec_id, round(({' + '.join(_given_tree(t) for t in range(5))}) / 5, 6) AS score FROM embeddings) "
+    "SELECT vec_id, score, (score > 0.5::DOUBLE)::INTEGER::DOUBLE AS prediction FROM scored"
+)
+ORACLES["kmeans_best_given"] = """
+WITH points AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS idx FROM embeddings),
+given AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS place FROM embeddings ORDER BY vec_id LIMIT 20),
+centres AS (SELECT place // 2 AS start, place, idx, x FROM points JOIN given USING (vec_id)),
+distances AS (SELECT start, place, points.vec_id, sum((points.x - centres.x) ** 2) AS dist2
+              FROM points JOIN centres USING (idx) GROUP BY ALL),
+nearest AS (SELECT start, vec_id, min(dist2) AS dist2 FROM distances GROUP BY ALL),
+costs AS (SELECT start::INTEGER AS start, round(sum(dist2), 6) AS cost FROM nearest GROUP BY start)
+SELECT start, cost, row_number() OVER (ORDER BY cost, start) = 1 AS best FROM costs
+"""
+
 # --- evaluation --------------------------------------------------------------------
 
 SCORED = (
@@ -407,4 +482,38 @@ ORACLES["stream_word_count"] = (
     f"WITH {LINES}, words AS (SELECT unnest(string_split(line, ' ')) AS word FROM lines) "
     "SELECT word, count(*) AS n FROM words GROUP BY word"
 )
+ORACLES["stream_running_count"] = ORACLES["stream_word_count"]
+ORACLES["stream_word_count_per_batch"] = (
+    f"WITH {LINES.replace('AS parts', 'AS parts, conv_id // 100 AS piece').replace('AS line FROM', 'AS line, piece FROM')}, "
+    "words AS (SELECT piece, unnest(string_split(line, ' ')) AS word FROM lines) "
+    "SELECT piece, word, count(*) AS n FROM words GROUP BY piece, word"
+)
+
+# Lines by the average of their words' fixed vectors; words without one count in the divisor.
+_AVERAGES = ", ".join(
+    "coalesce(sum(CASE WHEN length(word) >= 3 THEN "
+    f"(({md5_bucket(f"word || ':{k}'", 2001)}) - 1000)::DOUBLE END), 0) / greatest(count(word), 1) AS d{k}"
+    for k in range(4)
+)
+LINE_VECTORS = (
+    f"{LINES}, numbered AS (SELECT row_number() OVER () AS nth, line FROM lines), "
+    f"lists AS (SELECT nth, line, {words(html_text('line'))} AS parts FROM numbered), "
+    "spread AS (SELECT nth, line, unnest(CASE WHEN len(parts) = 0 THEN [NULL] ELSE parts END) AS word FROM lists), "
+    f"averages AS (SELECT nth, line, {_AVERAGES} FROM spread GROUP BY nth, line)"
+)
+_TEXT_SCORED = (
+    f"{LINE_VECTORS}, scored AS (SELECT line AS text, round(1 / (1 + exp(-(0.05::DOUBLE + 0.002::DOUBLE * d0 - 0.001::DOUBLE * d1 "
+    "+ 0.0015::DOUBLE * d2 - 0.0025::DOUBLE * d3))), 6) AS score FROM averages)"
+)
+ORACLES["stream_score_text_given"] = (
+    f"WITH {_TEXT_SCORED} SELECT text, score, (score >= 0.5::DOUBLE)::INTEGER::DOUBLE AS prediction FROM scored"
+)
+ORACLES["stream_score_sink"] = (
+    f"WITH {_TEXT_SCORED} SELECT text, (score >= 0.5::DOUBLE)::INTEGER::DOUBLE AS prediction FROM scored"
+)
+ORACLES["stream_assign_text_given"] = (
+    f"WITH {LINE_VECTORS}, far AS (SELECT line, (d0 - 100) ** 2 + d1 ** 2 + (d2 + 50) ** 2 + (d3 - 25) ** 2 AS a, "
+    "(d0 + 100) ** 2 + (d1 - 50) ** 2 + d2 ** 2 + (d3 + 25) ** 2 AS b FROM averages) "
+    "SELECT line AS text, (a > b)::INTEGER AS cluster, floor(least(a, b) * 1000 + 0.314159::DOUBLE)::BIGINT AS dist2_thousandths FROM far"
+)
 ORACLES["stream_clean"] = f"WITH {LINES} SELECT line, {joined(words(html_text('line')))} AS words FROM lines"

@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from opine.functions import text as tx
 from opine.functions.hashing import md5_bucket
-from opine.operators import bayes, bayes_tuning, clusters, embeddings, explore, features, metrics, models, splits, tuning
+from opine.operators import abbreviations, bayes, bayes_tuning, clusters, embeddings, explore, features, forests, metrics, models, splits, tuning
 from opine.plans import derived, recipes
 from opine.session import dealt, new_folder, path_bytes, spread, stage
 from opine.sources import tables, tsv
@@ -23,7 +24,7 @@ REGISTRY: dict[str, Query] = {}
 
 TRAIN_PERCENT = 60
 SPLIT_SEED = 42
-TUNING_PARTITIONS = 8
+TUNING_PARTITIONS = 32
 DIGITS = 6
 
 
@@ -122,6 +123,20 @@ def sentence_corpus(spark: SparkSession, folder: str) -> DataFrame:
     return corpus.select("doc_id", "sent_pos", _joined("words").alias("words"))
 
 
+def _learnt_abbreviations(spark: SparkSession, folder: str) -> DataFrame:
+    return abbreviations.learnt(tables.all_reviews(spark, folder))
+
+
+@query
+def sentence_abbreviations(spark: SparkSession, folder: str) -> DataFrame:
+    return _learnt_abbreviations(spark, folder).withColumn("score", _rounded("score"))
+
+
+@query
+def sentence_split_learnt(spark: SparkSession, folder: str) -> DataFrame:
+    return abbreviations.sentence_rows(tables.all_reviews(spark, folder), _learnt_abbreviations(spark, folder))
+
+
 @query
 def ml_tokenizer(spark: SparkSession, folder: str) -> DataFrame:
     tokens = features.tokenizer().transform(features.cleaned(tables.all_reviews(spark, folder)))
@@ -366,6 +381,39 @@ def lr_given_scores(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("vec_id", _rounded("score").alias("score"), (F.col("score") >= 0.5).cast("double").alias("prediction"))
 
 
+@query
+def lr_gradient_given(spark: SparkSession, folder: str) -> DataFrame:
+    """The objective and its gradient at the given coefficients; labels of five and more are 1."""
+    points = tables.read_table(spark, folder, "embeddings")
+    labelled = points.select((F.col("label") >= 5).cast("int").alias("label"), F.col("embedding").cast("array<double>").alias("point"))
+    found = models.logistic_gradient(labelled, given_coefficients(), 0.05, 0.1)
+    return found.select("dim", _rounded("gradient").alias("gradient"), _rounded("loss").alias("loss"))
+
+
+GIVEN_TREES = 5
+
+
+def given_trees() -> list[tuple]:
+    """Fixed trees by a rule: two levels of splits on features 11t, 11t + 1 and 11t + 2, class 1 in twelfths."""
+    rows = []
+    for t in range(GIVEN_TREES):
+        for node, threshold in enumerate((0.0, -0.05, 0.05)):
+            rows.append((t, node, (11 * t + node) % GIVEN_SIZE, threshold, 2 * node + 1, 2 * node + 2, [0.5, 0.5]))
+        for node in range(3, 7):
+            one = ((5 * node + 7 * t) % 13) / 12
+            rows.append((t, node, -1, None, -1, -1, [1 - one, one]))
+    return rows
+
+
+@query
+def rf_given_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Scoring by given trees, which come as a table of nodes."""
+    nodes = spark.createDataFrame(given_trees(), forests.NODES)
+    points = tables.read_table(spark, folder, "embeddings").select("vec_id", F.col("embedding").alias("point"))
+    scored = forests.score(points, nodes, depth=2).select("vec_id", F.get("shares", F.lit(1)).alias("score"))
+    return scored.select("vec_id", _rounded("score").alias("score"), (_rounded("score") > 0.5).cast("double").alias("prediction"))
+
+
 @query
 def rf_w2v_predictions(spark: SparkSession, folder: str) -> DataFrame:
     train, test = _split_vectors(spark, folder, 60)
@@ -409,6 +457,19 @@ def kmeans_assign(spark: SparkSession, folder: str) -> DataFrame:
     return _assigned_embeddings(spark, folder).select("vec_id", "cluster", _rounded("dist2").alias("dist2"))
 
 
+STARTS = 10
+
+
+@query
+def kmeans_best_given(spark: SparkSession, folder: str) -> DataFrame:
+    """The cost of ten given starts, each a pair of the vectors with the lowest ids, and which is the lowest."""
+    given = [row.point for row in _points(spark, folder).orderBy("vec_id").limit(2 * STARTS).collect()]
+    costs = clusters.costs_of_starts(_points(spark, folder), [given[2 * n : 2 * n + 2] for n in range(STARTS)])
+    costs = costs.withColumn("cost", _rounded("cost"))
+    best = F.row_number().over(Window.orderBy("cost", "start")) == 1  # ten rows
+    return costs.withColumn("best", best)
+
+
 # --- evaluation --------------------------------------------------------------------
 
 
@@ -594,11 +655,11 @@ def _appended(stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(out)
 
 
-def _batched_word_counts(stream: DataFrame) -> DataFrame:
+def _batched_word_counts(stream: DataFrame, schema: StructType | str = jobs.WORD_COUNTS) -> DataFrame:
     spark = stream.sparkSession
     out = new_folder(spark, "stream-word-count")
     jobs.finish(jobs.start_word_count(stream, out, new_folder(spark, "stream-word-count-checkpoint"), interval=None))
-    return jobs.read_batches(spark, out, jobs.WORD_COUNTS)
+    return jobs.read_batches(spark, out, StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 
 
 def _scored_lines(spark: SparkSession, folder: str, model: PipelineModel, prediction: str = "prediction") -> DataFrame:
@@ -623,9 +684,31 @@ def stream_word_count(spark: SparkSession, folder: str) -> DataFrame:
     return counts.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+CONVERSATIONS_A_FILE = 100
+
+
 @query
 def stream_word_count_per_batch(spark: SparkSession, folder: str) -> DataFrame:
-    return _batched_word_counts(_line_stream(spark, folder)).select("batch_id", "word", "n")
+    """One file is one batch; counts are named by the file, whatever the order in which files are taken."""
+    path = new_folder(spark, "stream-pieces")
+    turns = tables.read_table(spark, folder, "conversations")
+    pieces = turns.select("text", F.floor(F.col("conv_id") / CONVERSATIONS_A_FILE).alias("piece"))
+    lines.write_lines(pieces, path, by="piece")
+    counts = _batched_word_counts(lines.read_lines(spark, path, max_files=1, named=True), "source string, word string, n bigint")
+    piece = F.regexp_extract("source", r"piece=(-?[0-9]+)", 1).cast("bigint")
+    return counts.select(piece.alias("piece"), "word", "n")
+
+
+@query
+def stream_running_count(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals since the start, after a stop and a restart: half of the lines arrive before, half after."""
+    path, out = new_folder(spark, "stream-halves"), new_folder(spark, "stream-running")
+    checkpoint = new_folder(spark, "stream-running-checkpoint")
+    turns = tables.read_table(spark, folder, "conversations")
+    for half in (0, 1):
+        lines.write_lines(turns.where(F.pmod("conv_id", F.lit(2)) == half).select("text"), path, mode="append")
+        jobs.finish(jobs.start_running_counts(lines.read_lines(spark, path), out, checkpoint, interval=None))
+    return jobs.running_totals(spark, out)
 
 
 @query
@@ -670,7 +753,49 @@ def stream_score_kmeans(spark: SparkSession, folder: str) -> DataFrame:
     return _scored_lines(spark, folder, model).select("batch_id", "text", "prediction")
 
 
+# Coefficients and centres for the averages of given word vectors.
+TEXT_COEFFICIENTS, TEXT_INTERCEPT = (0.002, -0.001, 0.0015, -0.0025), 0.05
+TEXT_CENTRES = ((100.0, 0.0, -50.0, 25.0), (-100.0, 50.0, 0.0, -25.0))
+
+
+def _text_scored(spark: SparkSession, folder: str, score: Callable[[DataFrame], DataFrame], schema: str) -> DataFrame:
+    """Raw lines as a stream, scored by a table of given word vectors; what was committed is read back."""
+    path = line_folder(spark, folder)
+    words = jobs.clean_lines(spark.read.text(path))
+    vectors = stage(given_vectors(words), "given-vectors")
+    out = new_folder(spark, "stream-text")
+    stream = lines.read_lines(spark, path)
+    jobs.finish(jobs.start_text_scoring(stream, vectors, score, out, new_folder(spark, "stream-text-checkpoint"), interval=None))
+    return jobs.read_committed(spark, out, StructType.fromDDL(schema)).drop("batch_id")
+
+
+def _text_logistic(averaged: DataFrame) -> DataFrame:
+    scored = averaged.select(
+        F.col("value").alias("text"), models.logistic_score(F.col("features"), TEXT_COEFFICIENTS, TEXT_INTERCEPT).alias("score")
+    )
+    return scored.select("text", _rounded("score").alias("score"), (_rounded("score") >= 0.5).cast("double").alias("prediction"))
+
+
+@query
+def stream_score_text_given(spark: SparkSession, folder: str) -> DataFrame:
+    """Logistic scores of raw lines by given word vectors and coefficients."""
+    return _text_scored(spark, folder, _text_logistic, "text string, score double, prediction double")
+
+
+@query
+def stream_assign_text_given(spark: SparkSession, folder: str) -> DataFrame:
+    """Clusters of raw lines by given word vectors and centres."""
+
+    def assigned(averaged: DataFrame) -> DataFrame:
+        found = clusters.assign(averaged, TEXT_CENTRES, "features")
+        # Thousandths, cut where no fraction of a line's words can lie.
+        thousandths = F.floor(F.col("dist2") * 1000 + 0.314159).cast("bigint").alias("dist2_thousandths")
+        return found.select(F.col("value").alias("text"), "cluster", thousandths)
+
+    return _text_scored(spark, folder, assigned, "text string, cluster int, dist2_thousandths bigint")
+
+
 @query
 def stream_score_sink(spark: SparkSession, folder: str) -> DataFrame:
-    scored = _scored_lines(spark, folder, derived.lr_on_vectors(spark, folder))
-    return scored.select("text", "prediction", "batch_id")
+    """text, prediction of every line from the sink with commits, by given word vectors and coefficients."""
+    return _text_scored(spark, folder, lambda rows: _text_logistic(rows).drop("score"), "text string, prediction double")

@@ -6,6 +6,7 @@ that runs again after a failure replaces its own output and adds no duplicate.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml import Transformer
@@ -15,6 +16,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import DoubleType, LongType, StringType, StructType
 
 from opine.functions import text as tx
+from opine.operators import embeddings
 from opine.session import path_exists
 from opine.streaming.lines import BATCH_INTERVAL
 
@@ -25,12 +27,14 @@ SCORES = StructType().add("text", StringType()).add("prediction", DoubleType())
 
 
 def split_words(lines: DataFrame) -> DataFrame:
-    """Words of raw lines, cut at single spaces and not cleaned; a blank line gives one empty word."""
-    return lines.select(F.explode(F.split("value", " ")).alias("word"))
+    """Words of raw lines, cut at single spaces and not cleaned; a blank line gives one empty word. Other columns stay."""
+    others = [c for c in lines.columns if c != "value"]
+    return lines.select(*others, F.explode(F.split("value", " ")).alias("word"))
 
 
 def count_words(words: DataFrame) -> DataFrame:
-    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    """word, n, for each value of the other columns."""
+    return words.groupBy(*words.columns).agg(F.count(F.lit(1)).alias("n"))
 
 
 def clean_lines(lines: DataFrame) -> DataFrame:
@@ -66,7 +70,106 @@ def start_batches(
         if show:
             batch.sparkSession.read.parquet(target).show(CONSOLE_ROWS, truncate=False)
 
-    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    writer = observed(stream).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return _triggered(writer, interval).start()
+
+
+# --- counts of a batch without a second pass ---------------------------------------------
+
+OBSERVED = "batch"
+
+
+def observed(stream: DataFrame) -> DataFrame:
+    """A stream whose rows are counted as they pass by; the counts come with the query's progress."""
+    return stream.observe(OBSERVED, F.count(F.lit(1)).alias("rows"))
+
+
+def observed_rows(query: StreamingQuery) -> dict[int, int]:
+    """Batch -> rows that passed, of the batches that the query's progress still holds and that had any input."""
+    found = {}
+    for progress in query.recentProgress:
+        metrics = progress.observedMetrics.get(OBSERVED)
+        if metrics is not None and progress.numInputRows:
+            found[progress.batchId] = metrics["rows"]
+    return found
+
+
+# --- a sink with commits -------------------------------------------------------------------
+
+
+def _commit(spark: SparkSession, folder: str, attempt: str) -> None:
+    named = spark.createDataFrame([(attempt,)], "attempt string")
+    named.coalesce(1).write.mode("overwrite").parquet(folder)
+
+
+def write_committed(result: DataFrame, out: str, batch_id: int) -> None:
+    """Write a batch, and last a commit that names what was written.
+
+    Each attempt has a folder of its own, so what a killed attempt left is in no one's way, and no reader takes it: only
+    an attempt that a commit names counts. A batch that is committed is not written again.
+    """
+    spark = result.sparkSession
+    commit = f"{out}/commits/batch_id={batch_id}"
+    if path_exists(spark, f"{commit}/_SUCCESS"):
+        return
+    attempt = f"a-{uuid.uuid4().hex}"
+    result.write.parquet(f"{out}/data/batch_id={batch_id}/attempt={attempt}")
+    _commit(spark, commit, attempt)
+
+
+def read_committed(spark: SparkSession, out: str, schema: StructType) -> DataFrame:
+    """The rows of all committed batches, with their batch_id."""
+    whole = StructType([*schema.fields]).add("batch_id", LongType())
+    if not path_exists(spark, f"{out}/commits"):
+        return spark.createDataFrame([], whole)
+    commits = spark.read.schema("attempt string, batch_id bigint").parquet(f"{out}/commits")
+    rows = spark.read.schema(StructType([*whole.fields]).add("attempt", StringType())).parquet(f"{out}/data")
+    return rows.join(commits, ["batch_id", "attempt"]).select(*whole.fieldNames())
+
+
+def start_committed(
+    stream: DataFrame,
+    out: str,
+    checkpoint: str,
+    per_batch: Callable[[DataFrame], DataFrame] | None = None,
+    interval: str | None = BATCH_INTERVAL,
+) -> StreamingQuery:
+    """Write each batch, after `per_batch`, with commits."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_committed(per_batch(batch) if per_batch else batch, out, batch_id)
+
+    writer = observed(stream).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return _triggered(writer, interval).start()
+
+
+# --- scoring of raw text by a table of word vectors ------------------------------------------
+
+
+def start_text_scoring(
+    lines: DataFrame,
+    vectors: DataFrame,
+    score: Callable[[DataFrame], DataFrame],
+    out: str,
+    checkpoint: str,
+    interval: str | None = BATCH_INTERVAL,
+) -> StreamingQuery:
+    """Score every line by the average of its words' vectors; written with commits.
+
+    `vectors` is a table of word and vector that each batch's words are joined with, so no executor holds a vocabulary.
+    `score` takes rows of value and features (array<double>) and gives what is to be written.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        # Numbered lines are kept while their words are away to meet the vectors.
+        numbered = clean_lines(batch).withColumn("_line", F.monotonically_increasing_id()).persist()
+        try:
+            averaged = embeddings.average_vectors(numbered, vectors, key="_line").drop("_line")
+            write_committed(score(averaged), out, batch_id)
+        finally:
+            numbered.unpersist()
+
+    writer = observed(lines).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _triggered(writer, interval).start()
 
 
@@ -79,6 +182,37 @@ def start_append(
     return _triggered(writer, interval).start()
 
 
+# --- totals since the start ------------------------------------------------------------------
+
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def start_running_counts(lines: DataFrame, out: str, checkpoint: str, interval: str | None = BATCH_INTERVAL) -> StreamingQuery:
+    """Totals since the start. Each batch writes, with a commit, the words whose totals changed.
+
+    The totals are kept by word in RocksDB on the executors, with snapshots in the checkpoint, so that they may
+    outgrow memory and a restart goes on from them. The store is chosen when the query starts and stays with it.
+    """
+    spark = lines.sparkSession
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_committed(batch, out, batch_id)
+
+    counted = count_words(split_words(lines)).writeStream.outputMode("update").foreachBatch(write)
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        return _triggered(counted.option("checkpointLocation", checkpoint), interval).start()
+    finally:
+        spark.conf.set(STATE_STORE, before)
+
+
+def running_totals(spark: SparkSession, out: str) -> DataFrame:
+    """word, n: the latest total of each word. Totals only grow."""
+    return read_committed(spark, out, WORD_COUNTS).groupBy("word").agg(F.max("n").alias("n"))
+
+
 def start_running_word_count(lines: DataFrame, checkpoint: str, interval: str | None = BATCH_INTERVAL) -> StreamingQuery:
     """Totals since the start, printed after each batch: state is kept across batches."""
     writer = count_words(split_words(lines)).writeStream.outputMode("complete").format("console")

@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from opine.operators import bayes, explore, features, metrics
+from opine.operators import bayes, embeddings, explore, features, metrics
 from opine.plans import derived, queries
 from opine.sources import tables
 
@@ -95,3 +95,20 @@ def test_every_window_over_all_rows_has_bounded_input(spark, tiny):
 def test_idf_counts_in_each_task_first(spark, tiny):
     weights = features.idf_weights(derived.review_terms(spark, tiny), derived.cleaned_reviews(spark, tiny))
     assert "partial_count" in plan(weights)
+
+
+def test_buckets_are_not_counted_again_in_a_filter(spark, tiny):
+    for line in plan(queries.REGISTRY["hashing_tf"](spark, tiny)).splitlines():
+        assert not ("Filter" in line and "md5" in line)
+
+
+def test_no_vocabulary_in_a_broadcast_of_text_scoring(spark, tiny):
+    """Words meet their vectors by a shuffle once Spark's own threshold is passed."""
+    documents = embeddings.word_lists(tables.all_reviews(spark, tiny))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        averaged = embeddings.average_vectors(documents, queries.given_vectors(documents))
+        assert "BroadcastHashJoin" not in plan(averaged)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

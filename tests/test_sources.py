@@ -78,6 +78,17 @@ def test_the_first_file_by_name_holds_the_header(spark, folder):
     assert tsv.read_dropping_header_value(spark, path).where("id = 'id'").isEmpty()
 
 
+def test_empty_first_files_hold_no_header(spark, folder):
+    path = folder(a="", b="", c=HEADER + "1\t1\tfirst\n", d="2\t0\tsecond\n")
+    assert rows(tsv.read_labelled(spark, path)) == [("1", 1.0, "first"), ("2", 0.0, "second")]
+    assert rows(tsv.read_dropping_header_value(spark, path)) == [("1", "1", "first"), ("2", "0", "second")]
+
+
+def test_only_empty_files(spark, folder):
+    path = folder(a="")
+    assert rows(tsv.read_unlabelled(spark, path)) == [] and rows(tsv.read_dropping_header_value(spark, path)) == []
+
+
 def test_unlabelled(spark, folder):
     path = folder(a="id\treview\n1\tone\n2\ttwo\tignored\n")
     assert rows(tsv.read_unlabelled(spark, path)) == [("1", "one"), ("2", "two")]

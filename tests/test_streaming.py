@@ -1,7 +1,10 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.ml import PipelineModel
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from opine.operators import embeddings
 from opine.plans import derived, queries
@@ -100,13 +103,10 @@ def test_stream_scores_equal_batch_scores(spark, tiny):
     assert streamed == {r.doc_id: r.prediction for r in batch}
 
 
-@pytest.mark.parametrize("name", ["stream_score_kmeans", "stream_score_sink"])
+@pytest.mark.parametrize("name", ["stream_score_kmeans"])
 def test_every_line_is_scored_and_written_once(spark, small, name):
     static = spark.read.text(queries.line_folder(spark, small))
-    if name == "stream_score_kmeans":
-        model = PipelineModel([derived.word2vec(spark, small), derived.kmeans_on_vectors(spark, small)])
-    else:
-        model = derived.lr_on_vectors(spark, small)
+    model = PipelineModel([derived.word2vec(spark, small), derived.kmeans_on_vectors(spark, small)])
     expected = sorted((r.text, r.prediction) for r in jobs.score_lines(static, model).collect())
     rows = queries.REGISTRY[name](spark, small).collect()
     assert sorted((r.text, r.prediction) for r in rows) == expected
@@ -127,3 +127,83 @@ def test_counts_and_scores_from_one_stream(spark, folders, tiny, capfd):
     assert sorted(r.text for r in scores.collect()) == ["a good film", "bad", "good"]
     assert scores.select("batch_id").distinct().count() == 2
     assert "prediction" in capfd.readouterr().out
+
+
+# --- commits, counts and totals ----------------------------------------------------------
+
+
+def test_a_batch_killed_before_its_commit_leaves_nothing_to_read(spark, folders, monkeypatch):
+    source, out, checkpoint = folders
+    (source / "f1.txt").write_text("a b\nc\n")
+    score = lambda rows: rows.select("value", F.lit(1.0).alias("prediction"))
+    schema = StructType.fromDDL("value string, prediction double")
+    stream = lines.read_lines(spark, str(source))
+
+    def killed(*_):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(jobs, "_commit", killed)
+        with pytest.raises(StreamingQueryException, match="killed"):
+            jobs.finish(jobs.start_committed(stream, out, checkpoint, score, interval=None), 120)
+    # The batch's rows lie there, but nobody reads them.
+    assert spark.read.parquet(f"{out}/data").count() == 2
+    assert jobs.read_committed(spark, out, schema).isEmpty()
+    jobs.finish(jobs.start_committed(lines.read_lines(spark, str(source)), out, checkpoint, score, interval=None), 120)
+    rows = sorted((r.value, r.prediction, r.batch_id) for r in jobs.read_committed(spark, out, schema).collect())
+    assert rows == [("a b", 1.0, 0), ("c", 1.0, 0)]
+    # A committed batch that Spark runs again is not written again.
+    for name in ("0", ".0.crc"):
+        (source.parent / "checkpoint" / "commits" / name).unlink(missing_ok=True)
+    jobs.finish(jobs.start_committed(lines.read_lines(spark, str(source)), out, checkpoint, score, interval=None), 120)
+    assert sorted((r.value, r.prediction, r.batch_id) for r in jobs.read_committed(spark, out, schema).collect()) == rows
+
+
+def test_observed_counts_equal_the_written_rows_of_each_batch(spark, folders):
+    source, out, checkpoint = folders
+    for n in range(1, 4):
+        (source / f"f{n}.txt").write_text("line\n" * n)
+    query = jobs.start_committed(lines.read_lines(spark, str(source), max_files=1), out, checkpoint, interval=None)
+    jobs.finish(query, 120)
+    written = jobs.read_committed(spark, out, StructType.fromDDL("value string")).groupBy("batch_id").count().collect()
+    assert jobs.observed_rows(query) == {r.batch_id: r["count"] for r in written}
+    assert sorted(jobs.observed_rows(query).values()) == [1, 2, 3]
+
+
+def test_running_totals_go_on_after_a_restart_in_rocksdb(spark, folders):
+    source, out, checkpoint = folders
+    store = spark.conf.get(jobs.STATE_STORE)
+    (source / "f1.txt").write_text("a b a\n")
+    jobs.finish(jobs.start_running_counts(lines.read_lines(spark, str(source)), out, checkpoint, interval=None), 120)
+    (source / "f2.txt").write_text("a c\n")
+    query = jobs.start_running_counts(lines.read_lines(spark, str(source)), out, checkpoint, interval=None)
+    jobs.finish(query, 120)
+    assert {r.word: r.n for r in jobs.running_totals(spark, out).collect()} == {"a": 3, "b": 1, "c": 1}
+    state = query.recentProgress[-1].stateOperators[0]
+    assert any(name.startswith("rocksdb") for name in state.customMetrics)
+    assert spark.conf.get(jobs.STATE_STORE) == store
+
+
+def test_text_scoring_joins_words_with_a_table(spark, folders):
+    source, out, checkpoint = folders
+    (source / "f1.txt").write_text("Good good film\n\nzzz\nGood good film\n")
+    vectors = spark.createDataFrame([("good", [3.0, 0.0]), ("film", [0.0, 6.0])], "word string, vector array<double>")
+    score = lambda rows: rows.select("value", "features")
+    stream = lines.read_lines(spark, str(source))
+    jobs.finish(jobs.start_text_scoring(stream, vectors, score, out, checkpoint, interval=None), 120)
+    rows = jobs.read_committed(spark, out, StructType.fromDDL("value string, features array<double>")).collect()
+    assert sorted((r.value, tuple(r.features)) for r in rows) == [
+        ("", (0.0, 0.0)), ("Good good film", (2.0, 2.0)), ("Good good film", (2.0, 2.0)), ("zzz", (0.0, 0.0)),
+    ]
+
+
+def test_each_file_is_one_named_batch(spark, folders):
+    source, out, checkpoint = folders
+    for n in range(3):
+        (source / f"f{n}.txt").write_text(f"word w{n}\n")
+    stream = lines.read_lines(spark, str(source), max_files=1, named=True)
+    jobs.finish(jobs.start_word_count(stream, out, checkpoint, interval=None), 120)
+    schema = StructType.fromDDL("source string, word string, n bigint")
+    rows = jobs.read_batches(spark, out, schema).collect()
+    assert sorted((r.source[-6:], r.word, r.n) for r in rows) == sorted((f"f{n}.txt", w, 1) for n in range(3) for w in ("word", f"w{n}"))
+    assert len({(r.batch_id, r.source) for r in rows}) == len({r.batch_id for r in rows}) == 3
