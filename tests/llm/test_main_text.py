@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import html
 import re
+import time
 
 import pytest
 
@@ -129,6 +130,68 @@ def test_lists_of_links_beside_the_path_are_left_out():
     assert main_text(page).split("\n") == ["Title", *[(LONG * 3).strip()] * 9, LONG.strip()]
 
 
+def test_given_pages_without_their_holders(spark, tiny):
+    """Density alone finds the same article."""
+    for row in extract(spark.read.parquet(f"{tiny}/pages.parquet")).collect():
+        assert main_text(re.sub(r"<(/?)(article|main)\b", r"<\1div", row.html)) == row.text != ""
+
+
+WHOLE = f"<h1>Title</h1><p>{LONG * 3}</p><p>{LONG * 2}</p>"
+WHOLE_TEXT = f"Title\n{(LONG * 3).strip()}\n{(LONG * 2).strip()}"
+
+
+@pytest.mark.parametrize("inner", [WHOLE, f"<article>{WHOLE}</article>", f"<div><div class=content>{WHOLE}</div></div>"])
+@pytest.mark.parametrize(
+    "around",
+    [
+        "<form id=aspnetForm><nav><a href=1>Home</a></nav>{}<input name=q></form>",
+        "<div class='layout with-sidebar'>{}<div class=sidebar>Short text beside it.</div></div>",
+        "<div class='page no-sidebar has-comments'>{}</div>",
+        "<div class='modal'><div class=widget>{}</div></div>",
+        "<div id=main class='post comments-open'>{}</div>",
+    ],
+)
+def test_no_name_or_form_around_the_page_loses_the_article(around, inner):
+    assert main_text(f"<body>{around.format(inner)}</body>") == WHOLE_TEXT
+
+
+@pytest.mark.parametrize("name", ["post no-sidebar", "post comments-open", "entry has-ads", "with_toolbar"])
+def test_states_of_an_article_leave_nothing_out(name):
+    assert main_text(f"<body><article class='{name}'>{WHOLE}</article></body>") == WHOLE_TEXT
+
+
+def test_titles_in_a_page_header_and_before_the_article():
+    assert main_text(f"<body><article><div class='page-header'><h1>Title</h1></div><p>{LONG}</p></article></body>") == f"Title\n{LONG.strip()}"
+    assert main_text(f"<body><nav>x</nav><h1>Title</h1><article><p>{LONG}</p></article></body>") == f"Title\n{LONG.strip()}"
+    assert main_text(f"<body><header><h1>Site</h1></header><article><p>{LONG}</p></article></body>") == LONG.strip()
+
+
+def test_comments_longer_than_the_article_are_left_out():
+    comments = f"<div id=comments>{f'<article class=comment><p>{LONG * 3}</p></article>' * 20}</div>"
+    for holder in ("article", "div"):
+        assert main_text(f"<body><{holder}>{WHOLE}</{holder}>{comments}</body>") == WHOLE_TEXT
+
+
+def test_unmarked_text_less_dense_than_the_page_stays_outside():
+    """The body's diluted density decides: a short greeting beside the dense node's subtree is no part of it."""
+    links = "".join(f"<li><a href=/{n}>Go {n}</a></li>" for n in range(20))
+    dense = f"<p>{LONG * 3}</p>" * 9
+    page = f"<body><ul class=menu>{links}</ul><div><span>Hi</span> <i>you</i> <b>there</b></div><div>{dense}</div></body>"
+    assert main_text(page) == "\n".join([(LONG * 3).strip()] * 9)
+
+
+@pytest.mark.parametrize("page", ["<b>x", "<b><table><i>x", "<div><h1>x"])
+def test_time_grows_with_the_length_of_a_page(page):
+    def seconds(n: int) -> float:
+        whole = page * n + "</i>" * n + "</b>" * n
+        start = time.perf_counter()
+        main_text(whole)
+        return time.perf_counter() - start
+
+    seconds(1000)
+    assert min(seconds(32_000) for _ in range(2)) < 9 * max(min(seconds(8_000) for _ in range(2)), 0.05)
+
+
 def test_very_long_and_very_deep_pages():
     paragraphs = "".join(f"<p>{LONG}{n}</p>" for n in range(20_000))
     assert main_text(f"<article>{paragraphs}</article>").count("\n") == 19_999
