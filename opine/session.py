@@ -108,3 +108,11 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
 def stage_at(df: DataFrame, folder: str) -> DataFrame:
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its scheme and authority, as the cluster's default file system completes it."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    uri = file_system.makeQualified(hadoop_path).toUri()
+    return f"{uri.getScheme()}://{uri.getAuthority() or ''}{uri.getPath()}"
