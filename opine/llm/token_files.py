@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from opine.llm.common import text_or_empty
-from opine.session import new_folder, stage
+from opine.session import new_folder, qualified, stage
 
 # Fixed values of the public seekable format.
 SKIPPABLE_MAGIC, SEEKABLE_MAGIC, WITH_CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
@@ -47,7 +47,6 @@ LEVEL = 3
 END_ID = 1
 # Encoded pieces, and lower-case words, that a task remembers, and the longest piece it does (about 200 bytes each).
 REMEMBERED, LONGEST_REMEMBERED = 800_000, 48
-UNSEEN_AT_ONCE = 20_000
 
 
 # --- the file format -------------------------------------------------------------------
@@ -146,6 +145,22 @@ def _byte_character(byte: int) -> str:
 _BYTE_LEVEL = {c: "".join(map(_byte_character, chr(c).encode())) for c in range(0xDF, 0x100)}
 
 
+class _Pieces(dict):
+    """Encoded pieces; one that is not there is taken from the older ones or encoded."""
+
+    def __init__(self, encoder: Encoder, older: dict[str, bytes]):
+        super().__init__()
+        self.encoder, self.older = encoder, older
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self.encoder.piece(piece)
+        if len(piece) <= LONGEST_REMEMBERED:
+            self[piece] = ids
+        return ids
+
+
 class Encoder:
     """Text to ids as bytes. Texts are cut at blanks and line ends, where the tokenizer cuts them too, and
     encoded pieces are remembered, because words come back. A plain word goes straight to the tokenizer's model
@@ -159,99 +174,106 @@ class Encoder:
         self.model = self.tokenizer.model
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.code = "H" if self.width == 2 else "I"
-        self.known: dict[str, bytes] = {}
+        self.known = _Pieces(self, {})
         self.lower: dict[str, bytes] = {}
-        whole = self._encoded([*PROBES, *map(str.upper, PROBES[:4])])
         self.signs: dict[str, bytes] = {}
-        self.has_plain_words = whole == [self._plain(p) for p in (*PROBES, *PROBES[:4])]
+        probes = [*PROBES, *map(str.upper, PROBES[:4])]
+        self.has_plain_words = [self._encoded(p) for p in probes] == [self._plain(p) for p in (*PROBES, *PROBES[:4])]
 
     def _bytes(self, ids: list[int]) -> bytes:
         if sys.byteorder == "little":
             return array(self.code, ids).tobytes()
         return np.array(ids, dtype=f"<u{self.width}").tobytes()
 
-    def _encoded(self, pieces: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [self._bytes(one.ids) for one in found]
+    def _encoded(self, piece: str) -> bytes:
+        return self._bytes(self.tokenizer.encode_batch_fast([piece], add_special_tokens=False)[0].ids)
 
     def _plain(self, lower: str) -> bytes:
         written = lower if lower.isascii() else lower.translate(_BYTE_LEVEL)
         return self._bytes([token.id for token in self.model.tokenize(written)])
 
-    def _learn(self, unseen: set[str]) -> dict[str, bytes]:
-        """Encode pieces; those too long to remember are returned."""
-        known, other = self.known, []
-        for piece in unseen:
-            match = PLAIN_WORD.fullmatch(piece) if self.has_plain_words and len(piece) <= LONGEST_REMEMBERED else None
-            if match is None:
-                other.append(piece)
-                continue
-            lower, signs = match[1].lower(), match[2]
-            ids = self.lower.get(lower)
-            if ids is None:
-                ids = self.lower[lower] = self._plain(lower)
-            if signs:
-                if signs not in self.signs:
-                    self.signs[signs] = self._encoded([signs])[0]
-                ids += self.signs[signs]
-            known[piece] = ids
-        long = {}
-        for at in range(0, len(other), UNSEEN_AT_ONCE):
-            part = other[at : at + UNSEEN_AT_ONCE]
-            for piece, ids in zip(part, self._encoded(part), strict=True):
-                (known if len(piece) <= LONGEST_REMEMBERED else long)[piece] = ids
-        return long
+    def piece(self, piece: str) -> bytes:
+        """The ids of one piece, by the shorter way where there is one."""
+        match = PLAIN_WORD.fullmatch(piece) if self.has_plain_words and len(piece) <= LONGEST_REMEMBERED else None
+        if match is None:
+            return self._encoded(piece)
+        lower, signs = match[1].lower(), match[2]
+        ids = self.lower.get(lower)
+        if ids is None:
+            ids = self.lower[lower] = self._plain(lower)
+        if signs:
+            if signs not in self.signs:
+                self.signs[signs] = self._encoded(signs)
+            ids += self.signs[signs]
+        return ids
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
-        cut = [text.replace("\n", " ").split(" ") for text in texts]
-        pieces = set().union(*cut)
-        unseen = pieces.difference(self.known)
-        if len(self.known) + len(unseen) > REMEMBERED:
-            self.known, unseen = {}, pieces
+        # What is not met again while so many others are is forgotten.
+        if len(self.known) > REMEMBERED // 2:
+            self.known.older = {}
+            self.known = _Pieces(self, self.known)
         if len(self.lower) + len(self.signs) > REMEMBERED:
             self.lower, self.signs = {}, {}
-        long = self._learn(unseen)
-        own = self.known
-        if long:
-            return [b"".join([own[p] if p in own else long[p] for p in listed]) for listed in cut]
-        return [b"".join(map(own.__getitem__, listed)) for listed in cut]
+        ids_of = self.known.__getitem__
+        return [b"".join(map(ids_of, text.replace("\n", " ").split(" "))) for text in texts]
+
+
+# One for each vocabulary in a worker process: the next task there knows the words of the last.
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder_of(vocabulary: str) -> Encoder:
+    if vocabulary not in _encoders:
+        _encoders[vocabulary] = Encoder(vocabulary)
+    return _encoders[vocabulary]
 
 
 # --- over documents --------------------------------------------------------------------
 
-MANIFEST = "shard int, path string, documents bigint, tokens bigint"
+MANIFEST = "shard int, part int, path string, documents bigint, tokens bigint"
 BATCH = 500
+# A file is closed once its documents' ids have so many bytes.
+FILE_BYTES = 256 * 1024 * 1024
 
 
-def write(documents: DataFrame, folder: str, vocabulary: str, end_id: int = END_ID) -> DataFrame:
+def write(documents: DataFrame, folder: str, vocabulary: str, end_id: int = END_ID, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Encode every document and write files in ascending doc_id order; returns their manifest.
 
-    shard, path, documents, tokens: one row for each file, in the order of doc_id by shard. Rows are dealt by
-    ranges of doc_id (nulls first, ties by the text's hash), each task writes one file under a name of its own
-    attempt, and only files that the manifest lists count; what a lost executor left behind is not listed.
-    `folder` is any address that pyarrow's file systems know and that all executors share.
+    shard, part, path, documents, tokens: one row for each file, in the order of doc_id by shard and part. Rows are
+    dealt by ranges of doc_id (nulls first, ties by the text's hash); each task writes files under names of its own
+    attempt, each of at most `file_bytes` of ids and one document more, and only files that the manifest lists count;
+    what a lost executor left behind is not listed. `folder` is any address, with its scheme, that pyarrow's file
+    systems know and that all executors share.
     """
 
     def written(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, writer, tokens = Encoder(vocabulary), None, 0
+        encoder, writer, part, size = encoder_of(vocabulary), None, 0, 0
         system, base = fs.FileSystem.from_uri(folder)
         end = np.array([end_id], dtype=f"<u{encoder.width}").tobytes()
         shard = TaskContext.get().partitionId()
-        path = f"{base}/{shard:06d}-{uuid.uuid4().hex}.ids.zst"
+        attempt = uuid.uuid4().hex
+
+        def closed() -> pd.DataFrame:
+            writer.finish()
+            writer.out.close()
+            row = {"shard": shard, "part": part, "path": path, "documents": len(writer.doc_ids), "tokens": size // encoder.width}
+            return pd.DataFrame([row])
+
         for batch in batches:
             for at in range(0, len(batch), BATCH):
-                part = batch.iloc[at : at + BATCH]
-                if writer is None:
-                    system.create_dir(base, recursive=True)
-                    writer = TokenFileWriter(system.open_output_stream(path, compression=None), encoder.width)
-                for doc_id, ids in zip(part["doc_id"], encoder.encode(part["text"].tolist()), strict=True):
+                some = batch.iloc[at : at + BATCH]
+                for doc_id, ids in zip(some["doc_id"], encoder.encode(some["text"].tolist()), strict=True):
+                    if writer is None:
+                        system.create_dir(base, recursive=True)
+                        path = f"{base}/{shard:06d}-{part:06d}-{attempt}.ids.zst"
+                        writer = TokenFileWriter(system.open_output_stream(path, compression=None), encoder.width)
                     writer.add(None if pd.isna(doc_id) else int(doc_id), ids + end)
-                    tokens += len(ids) // encoder.width + 1
+                    size += len(ids) + encoder.width
+                    if size >= file_bytes:
+                        yield closed()
+                        writer, part, size = None, part + 1, 0
         if writer is not None:
-            writer.finish()
-            writer.out.close()
-            row = {"shard": shard, "path": path, "documents": len(writer.doc_ids), "tokens": tokens}
-            yield pd.DataFrame([row])
+            yield closed()
 
     text = text_or_empty()
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"))
@@ -267,7 +289,7 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
     placed = manifest.withColumn(
         "base",
         # One row for each file, not for each document.
-        F.sum("tokens").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)),
+        F.sum("tokens").over(Window.orderBy("shard", "part").rowsBetween(Window.unboundedPreceding, -1)),
     ).select("path", F.coalesce("base", F.lit(0)).alias("base"))
 
     def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -299,5 +321,6 @@ def write_and_read(documents: DataFrame, vocabulary: str) -> DataFrame:
     A row for each row of `documents`. A null or empty text is its end id alone. Rows may repeat: each is
     written; those of one doc_id follow each other. Null ids come first. Other columns are not read.
     """
-    folder = new_folder(documents.sparkSession, "token-files")
+    spark = documents.sparkSession
+    folder = qualified(spark, new_folder(spark, "token-files"))
     return read(write(documents, folder, vocabulary), folder)

@@ -9,6 +9,7 @@ import zstandard
 
 from opine.llm import token_files as t
 from opine.llm.queries import vocabulary_path
+from opine.session import new_folder, qualified
 
 
 @pytest.fixture(scope="module")
@@ -108,3 +109,33 @@ def test_odd_rows(spark, tokenizer, odd):
 
 def test_no_rows(spark, nothing):
     assert t.write_and_read(nothing, vocabulary_path()).collect() == []
+
+
+def test_files_are_rolled_and_the_order_stays(spark, tokenizer, documents):
+    folder = qualified(spark, new_folder(spark, "rolled"))
+    manifest = t.write(documents, folder, vocabulary_path(), file_bytes=20_000)
+    files = manifest.orderBy("shard", "part").collect()
+    assert len(files) > spark.sparkContext.defaultParallelism and max(f.part for f in files) > 0
+    longest = max(r.n for r in documents.selectExpr("length(text) AS n").collect())
+    assert all(2 * f.tokens <= 20_000 + 2 * longest for f in files)
+    rows = sorted((r.doc_id, r.text) for r in documents.select("doc_id", "text").collect())
+    assert sorted(map(tuple, t.read(manifest, folder).collect())) == whole(tokenizer, rows)
+
+
+def test_folders_without_a_scheme_are_completed(spark):
+    """Else a worker would take them for its own disk, whatever the cluster's file system is."""
+    assert qualified(spark, "/some/folder") == "file:///some/folder"
+    assert qualified(spark, "file:/some/folder") == "file:///some/folder"
+
+
+def test_tasks_of_a_worker_share_what_they_learnt():
+    assert t.encoder_of(vocabulary_path()) is t.encoder_of(vocabulary_path())
+
+
+def test_forgotten_words_are_kept_once_more(monkeypatch):
+    monkeypatch.setattr(t, "REMEMBERED", 8)
+    encoder = t.Encoder(vocabulary_path())
+    for n in range(50):
+        encoder.encode([f"always word{n} other{n} third{n} fourth{n}"])
+        assert len(encoder.known) < 12 and len(encoder.known.older) < 12
+        assert not getattr(encoder.known.older, "older", None)
