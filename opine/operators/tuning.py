@@ -3,104 +3,85 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, NaiveBayes
-from pyspark.ml.feature import HashingTF
 from pyspark.ml.param import Param
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opine.operators import features, models
+from opine.operators import features
 from opine.operators.metrics import evaluator
 from opine.operators.splits import hash_fold
+from opine.session import stage
 
 FEATURE_COUNTS = (300, 400)
 STRENGTHS = (0.01, 0.1, 1.0)
 FOLDS = 3
 
 
-def text_pipeline(classifier: LogisticRegression | NaiveBayes, num_features: int = features.NUM_FEATURES) -> Pipeline:
-    """Cleaned review to words to bucket counts to TF-IDF to classifier."""
-    return Pipeline(stages=[features.tokenizer(), features.hashing_tf(num_features), features.idf(), classifier])
-
-
 def _strength(classifier: LogisticRegression | NaiveBayes) -> Param:
     return classifier.smoothing if isinstance(classifier, NaiveBayes) else classifier.regParam
 
 
-def grid(
-    pipeline: Pipeline, feature_counts: Sequence[int] = FEATURE_COUNTS, strengths: Sequence[float] = STRENGTHS
-) -> list[dict[Param, float]]:
-    """Bucket counts x regularisation (smoothing for naive Bayes)."""
-    stages = pipeline.getStages()
-    counts = next(s for s in stages if isinstance(s, HashingTF)).numFeatures
-    return ParamGridBuilder().addGrid(counts, list(feature_counts)).addGrid(_strength(stages[-1]), list(strengths)).build()
+class Tuned(NamedTuple):
+    """num_features, strength and mean metric of each grid point, and the pipeline of the best one, fitted on all rows."""
 
+    points: list[tuple[int, float, float]]
+    bestModel: PipelineModel
 
-def cross_validator(
-    classifier: LogisticRegression | NaiveBayes,
-    parallelism: int = len(FEATURE_COUNTS) * len(STRENGTHS),
-    feature_counts: Sequence[int] = FEATURE_COUNTS,
-    strengths: Sequence[float] = STRENGTHS,
-    folds: int = FOLDS,
-) -> CrossValidator:
-    pipeline = text_pipeline(classifier)
-    return CrossValidator(
-        estimator=pipeline,
-        estimatorParamMaps=grid(pipeline, feature_counts, strengths),
-        evaluator=evaluator(),
-        numFolds=folds,
-        foldCol="fold",
-        parallelism=parallelism,
-    )
+    def transform(self, rows: DataFrame) -> DataFrame:
+        return self.bestModel.transform(rows)
 
 
 def fit_cross_validated(
     train: DataFrame,
     classifier: LogisticRegression | NaiveBayes,
     key: str = "doc_id",
-    parallelism: int = len(FEATURE_COUNTS) * len(STRENGTHS),
+    parallelism: int = len(STRENGTHS),
     feature_counts: Sequence[int] = FEATURE_COUNTS,
     strengths: Sequence[float] = STRENGTHS,
     folds: int = FOLDS,
-) -> CrossValidatorModel:
+) -> Tuned:
     """Fit on cleaned reviews; folds come from the key, so they do not depend on partitioning.
 
-    The cleaned rows are kept while the fits last: no fit cleans the text again.
+    A text is cut into words and counted once for each bucket count, whatever the number of strengths and folds: the
+    sparse counts are written to the shared folder, and every fit reads them. IDF and classifier are fitted on the
+    rows outside the fold.
     """
-    rows = train.select("label", "review", hash_fold(F.col(key), folds).alias("fold")).persist()
-    try:
-        return cross_validator(classifier, parallelism, feature_counts, strengths, folds).fit(rows)
-    finally:
-        rows.unpersist()
-
-
-def grid_results(model: CrossValidatorModel) -> list[tuple[int, float, float]]:
-    """num_features, strength and mean metric of each grid point."""
-    points = []
-    for values, metric in zip(model.getEstimatorParamMaps(), model.avgMetrics, strict=True):
-        named = {param.name: value for param, value in values.items()}
-        strength = named.get("regParam", named.get("smoothing"))
-        points.append((int(named["numFeatures"]), float(strength), float(metric)))
-    return points
-
-
-def grid_results_frame(spark: SparkSession, model: CrossValidatorModel) -> DataFrame:
-    return spark.createDataFrame(grid_results(model), "num_features int, strength double, avg_metric double")
-
-
-def best_pipeline(model: CrossValidatorModel) -> PipelineModel:
-    return model.bestModel
+    rows = train.select("label", "review", hash_fold(F.col(key), folds).alias("fold"))
+    strength = _strength(classifier)
+    points, best, best_metric = [], None, None
+    for size in feature_counts:
+        counting = PipelineModel([features.tokenizer(), features.hashing_tf(size)])
+        counts = stage(counting.transform(rows).select("label", "fold", "rawFeatures"), "tuning-counts")
+        validator = CrossValidator(
+            estimator=Pipeline(stages=[features.idf(), classifier]),
+            estimatorParamMaps=ParamGridBuilder().addGrid(strength, list(strengths)).build(),
+            evaluator=evaluator(),
+            numFolds=folds,
+            foldCol="fold",
+            parallelism=parallelism,
+        )
+        fitted = validator.fit(counts)
+        points += [(size, float(s), float(m)) for s, m in zip(strengths, fitted.avgMetrics, strict=True)]
+        if best is None or max(fitted.avgMetrics) > best_metric:
+            best, best_metric = PipelineModel([*counting.stages, *fitted.bestModel.stages]), max(fitted.avgMetrics)
+    return Tuned(points, best)
+
+
+def grid_results_frame(spark: SparkSession, tuned: Tuned) -> DataFrame:
+    return spark.createDataFrame(tuned.points, "num_features int, strength double, avg_metric double")
 
 
 def fit_pipeline(train: DataFrame, classifier: LogisticRegression | NaiveBayes) -> PipelineModel:
-    """One pipeline fit on cleaned reviews, models.logistic_regression() or models.naive_bayes()."""
-    rows = train.select("label", "review").persist()
-    try:
-        return text_pipeline(classifier).fit(rows)
-    finally:
-        rows.unpersist()
-
+    """One pipeline fit on cleaned reviews, models.logistic_regression() or models.naive_bayes().
 
+    The text is cut and counted once; IDF and classifier are fitted on the counts, which are kept as a table.
+    """
+    counting = PipelineModel([features.tokenizer(), features.hashing_tf()])
+    counts = stage(counting.transform(train.select("label", "review")).select("label", "rawFeatures"), "pipeline-counts")
+    fitted = Pipeline(stages=[features.idf(), classifier]).fit(counts)
+    return PipelineModel([*counting.stages, *fitted.stages])

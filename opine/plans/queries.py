@@ -14,7 +14,7 @@ from opine.functions import text as tx
 from opine.functions.hashing import md5_bucket
 from opine.operators import abbreviations, bayes, bayes_tuning, clusters, embeddings, explore, features, forests, metrics, models, splits, tuning
 from opine.plans import derived, recipes
-from opine.session import dealt, new_folder, path_bytes, spread, stage
+from opine.session import new_folder, path_bytes, spread, stage
 from opine.sources import tables, tsv
 from opine.streaming import jobs, lines
 
@@ -24,7 +24,6 @@ REGISTRY: dict[str, Query] = {}
 
 TRAIN_PERCENT = 60
 SPLIT_SEED = 42
-TUNING_PARTITIONS = 32
 DIGITS = 6
 
 
@@ -548,11 +547,11 @@ def pipeline_nb(spark: SparkSession, folder: str) -> DataFrame:
     return _text_pipeline(spark, folder, "nb").transform(test).select("review", "label", "prediction")
 
 
-def _cross_validated(spark: SparkSession, folder: str, kind: str) -> tuning.CrossValidatorModel:
-    def make() -> tuning.CrossValidatorModel:
+def _cross_validated(spark: SparkSession, folder: str, kind: str) -> tuning.Tuned:
+    def make() -> tuning.Tuned:
         train, _ = _split_reviews(spark, folder, 60)
         classifier = models.logistic_regression() if kind == "lr" else models.naive_bayes()
-        return tuning.fit_cross_validated(dealt(train, "doc_id", TUNING_PARTITIONS), classifier)
+        return tuning.fit_cross_validated(train, classifier)
 
     return derived.once(spark, folder, f"cross_validated_{kind}", make)
 
