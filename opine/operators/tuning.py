@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
+from multiprocessing.pool import ThreadPool
 from typing import NamedTuple
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, NaiveBayes
 from pyspark.ml.param import Param
@@ -53,8 +56,8 @@ def fit_cross_validated(
     """
     rows = train.select("label", "review", hash_fold(F.col(key), folds).alias("fold"))
     strength = _strength(classifier)
-    points, best, best_metric = [], None, None
-    for size in feature_counts:
+
+    def validated(size: int) -> tuple[PipelineModel, list[float]]:
         counting = PipelineModel([features.tokenizer(), features.hashing_tf(size)])
         counts = stage(counting.transform(rows).select("label", "fold", "rawFeatures"), "tuning-counts")
         validator = CrossValidator(
@@ -66,9 +69,13 @@ def fit_cross_validated(
             parallelism=parallelism,
         )
         fitted = validator.fit(counts)
-        points += [(size, float(s), float(m)) for s, m in zip(strengths, fitted.avgMetrics, strict=True)]
-        if best is None or max(fitted.avgMetrics) > best_metric:
-            best, best_metric = PipelineModel([*counting.stages, *fitted.bestModel.stages]), max(fitted.avgMetrics)
+        return PipelineModel([*counting.stages, *fitted.bestModel.stages]), [float(m) for m in fitted.avgMetrics]
+
+    inherit = inheritable_thread_target(train.sparkSession)
+    with ThreadPool(len(feature_counts)) as pool:
+        runs = pool.map(lambda run: run(), [inherit(partial(validated, size)) for size in feature_counts])
+    points = [(size, float(s), m) for size, (_, found) in zip(feature_counts, runs, strict=True) for s, m in zip(strengths, found, strict=True)]
+    best, _ = max(runs, key=lambda run: max(run[1]))  # the first of equal ones
     return Tuned(points, best)
 
 

@@ -20,7 +20,7 @@ from opine.session import dealt, new_folder, path_exists, stage, stage_at
 from opine.sources import tables
 
 # Partitions that the registered queries train in, dealt by the keys' hash.
-WORD2VEC_PARTITIONS, KMEANS_PARTITIONS = 16, 64
+WORD2VEC_PARTITIONS, KMEANS_PARTITIONS = 16, 16
 
 _made: dict[tuple[str, str, str], Any] = {}
 
