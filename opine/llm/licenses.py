@@ -1,135 +1,140 @@
 """Licence scans with a positional index of rare words.
 
-The index lists, for each template, the rarest words of its key phrases by the corpus's own document frequencies,
-with their places in it. A file's words are looked up there; a word found at place p of the file and q of the
-template says that the template would start at p - q. Postings are intersected by that start: a notice needs two
-different words that agree, and its key phrases at their places. Where the key phrases stand, all their words are in
-place: whichever words are listed, every such place is found, and the frequencies change only how much is looked up.
-A base phrase is its own key phrase, so its rarest word alone leads to every place where the phrase stands.
+The index holds every word of every template with its places. In each file, and for each template whose mandatory words
+the file holds, the template's words of highest IDF among those that stand in the file are looked up. A word found at
+place p of the file and q of the template says that the template would start at p - q. The postings of different words
+are intersected by that start: a notice needs `AGREEING` of the words looked up to agree on one, and only then are its
+key phrases verified, at their places from that start or from one near it, as an inserted word moves what follows it. A
+base phrase needs all its words, so its rarest word leads to every place where it stands, and it is its own key phrase.
+
+The document frequencies are counted over the whole corpus. All else happens within a file's row: nothing is shuffled.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+import re
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opine.llm.common import digest, words
+from opine.llm.common import words
 from opine.llm.license_text import BASE, NOTICES, Template
-from opine.session import stage
 
-AGREEING = 2
+# Words looked up for a notice, how many of them must agree on a start, and how far apart the starts may lie that
+# inserted and missing words give to the parts of one notice.
+LOOKED_UP, AGREEING, NEAR = 5, 2, 4
+# A posting is one bigint: the start, and 12 bits for the place of the word it comes from.
+PLACE_BITS = 12
 
 
 def word_frequencies(documents: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
     """word, df: how many documents hold each word of a vocabulary."""
-    held = F.array_intersect(words("text"), F.lit(list(vocabulary)))
+    held = F.array_intersect(words("text"), F.expr(_fixed(vocabulary)))
     return documents.select(F.explode(held).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
 
 
-def _key_places(template: Template) -> list[tuple[int, str]]:
-    """Where each key phrase starts in a template (from 0)."""
+def _phrase_places(template: Template) -> list[tuple[int, list[str]]]:
+    """Where each key phrase starts in a template (from 0), and its words."""
     listed = f" {template.text} "
-    return [(listed[: listed.index(f" {phrase} ")].count(" "), phrase) for phrase in template.key_phrases]
+    return [(listed[: listed.index(f" {phrase} ")].count(" "), phrase.split(" ")) for phrase in template.key_phrases]
 
 
-def rare_word_index(spark: SparkSession, templates: Sequence[Template], frequencies: DataFrame) -> DataFrame:
-    """word, template, place: the highest-IDF key words of each template (one of a base phrase), ties by word.
+def _fixed(listed: Sequence[str]) -> str:
+    """Words as a constant array."""
+    if not all(re.fullmatch(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", word) for word in listed):
+        raise ValueError(f"templates hold words of a-z, 0-9 and non-ASCII characters only: {listed}")
+    return f"split('{' '.join(listed)}', ' ')"
 
-    As many rows as the templates have rare words; the frequencies are those of the templates' words only.
-    """
-    df = {row.word: row.df for row in frequencies.collect()}
-    rows = []
-    for number, template in enumerate(templates):
-        keyed = {place: word for at, phrase in _key_places(template) for place, word in enumerate(phrase.split(" "), at)}
-        rarest = sorted(set(keyed.values()), key=lambda w: (df.get(w, 0), w))[: 1 if template.base else AGREEING]
-        rows += [(word, number, place) for place, word in keyed.items() if word in rarest]
-    return spark.createDataFrame(rows, "word string, template int, place int")
-
-
-def _keys_hold(template: Template, file_words: Column, start: Column) -> Column:
-    """Each key phrase stands at its place, for a template that starts at `start` (from 0)."""
-    checks = []
-    for before, phrase in _key_places(template):
-        length = phrase.count(" ") + 1
-        found = F.slice(file_words, start + before + 1, F.lit(length))
-        checks.append(F.array_join(found, " ") == phrase)
-    return reduce(Column.__and__, checks)
-
-
-def _share_in_place(template: Template, file_words: Column, start: Column) -> Column:
-    """The share of a template's words that the file has at their places."""
+
+def _let(name: str, value: str, body: str) -> str:
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def _starts(template: Template, df: Mapping[str, int]) -> str:
+    """The starts that looked-up words propose, each with how many agree on it: array<struct<start, n>>, by start."""
+    listed = template.text.split(" ")
+    if len(listed) >= 1 << PLACE_BITS:
+        raise ValueError(f"template {template.name} has too many words")
+    rarest = sorted(set(listed), key=lambda w: (df.get(w, 0), w))
+    places: dict[str, list[int]] = {}
+    for place, word in enumerate(listed):
+        places.setdefault(word, []).append(place)
+    index = f"map({', '.join(f"'{word}', array({', '.join(map(str, at))})" for word, at in places.items())})"
+    looked_up = f"slice(filter({_fixed(rarest)}, w -> array_contains(held, w)), 1, {1 if template.base else LOOKED_UP})"
+    found = "filter(sequence(0, size(file_words) - 1), p -> array_contains(looked_up, file_words[p]))"
+    # The first place stands for the word.
+    postings = (
+        f"array_distinct(flatten(transform({found}, p -> transform(filter({index}[file_words[p]], q -> p >= q), "
+        f"q -> shiftleft(bigint(p - q), {PLACE_BITS}) | bigint({index}[file_words[p]][0])))))"
+    )
+    sorted_starts = f"array_sort(transform({postings}, x -> int(shiftright(x, {PLACE_BITS}))))"
+    ends = "filter(sequence(0, size(v) - 1), i -> i = size(v) - 1 OR v[i] <> v[i + 1])"
+    runs = "transform(ends, (e, k) -> named_struct('start', v[e], 'n', e - if(k = 0, -1, ends[k - 1])))"
+    counted = f"if(size(v) = 0, array(), {_let('ends', ends, runs)})"
+    return _let("looked_up", looked_up, _let("v", sorted_starts, counted))
+
+
+def _stands(phrase: Sequence[str], at: str) -> str:
+    return f"array_join(slice(file_words, {at} + 1, {len(phrase)}), ' ') = '{' '.join(phrase)}'"
+
+
+def found_at(template: Template, df: Mapping[str, int]) -> Column:
+    """array<struct<label, start, share>>: where a template stands in `file_words`, and how much of it; `held` has those
+    of the words that the file holds."""
     listed = template.text.split(" ")
-    here = F.slice(file_words, start + 1, F.lit(len(listed)))
-    same = F.zip_with(here, F.lit(listed), lambda a, b: F.when(a == b, 1).otherwise(0))
-    return F.aggregate(same, F.lit(0), lambda total, one: total + one) / float(len(listed))
+    phrases = _phrase_places(template)
+    mandatory = sorted({word for _, phrase in phrases for word in phrase})
+
+    def struct(share: str) -> str:
+        return f"named_struct('label', '{template.label}', 'start', g.start, 'share', {share})"
+
+    if template.base:
+        body = f"transform(filter(given, g -> {_stands(listed, 'g.start')}), g -> {struct('1D')})"
+    else:
+        near = f"transform(filter(given, o -> abs(o.start - g.start) <= {NEAR}), o -> o.start)"
+        verified = " AND ".join(f"exists(near, s -> {_stands(phrase, f's + {before}')})" for before, phrase in phrases)
+        in_place = f"filter(sequence(0, {len(listed) - 1}), i -> exists(near, s -> get(file_words, s + i) = {_fixed(listed)}[i]))"
+        share = _let("near", near, f"size({in_place}) / {len(listed)}D")
+        agreed = f"filter(given, g -> g.n >= {min(AGREEING, len(mandatory))} AND {_let('near', near, verified)})"
+        body = f"transform({agreed}, g -> {struct(share)})"
+    none = "CAST(array() AS array<struct<label: string, start: int, share: double>>)"
+    return F.expr(f"CASE WHEN size(array_except({_fixed(mandatory)}, held)) = 0 THEN {_let('given', _starts(template, df), body)} ELSE {none} END")
 
 
 def scan(documents: DataFrame, templates: Sequence[Template] = BASE + NOTICES) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score; a row for each of `documents`.
 
-    `score` is the largest share of a template's words that stand in their places, 1 where a base phrase
-    stands, 0 without any label. A null or empty text has no words and no labels. Rows may repeat and ids may
-    be null or repeat: results depend on the text alone. Other columns are not read.
+    `score` is the largest share of a template's words that stand in their places, from its start or one near it; 1
+    where a base phrase stands, 0 without any label. Which of a notice's words are looked up depends on how many
+    documents hold them; base phrases do not. A null or empty text has no words and no labels. Rows may repeat and ids
+    may be null or repeat. Other columns are not read.
     """
-    spark = documents.sparkSession
     vocabulary = sorted({word for template in templates for word in template.text.split(" ")})
-    index = rare_word_index(spark, templates, word_frequencies(documents, vocabulary))
-
-    rows = documents.select("doc_id", digest("text").alias("digest"), words("text").alias("file_words"))
-    # The empty word stands for the file itself, so that one pass gives both its row and its hits.
-    looked_up = rows.select(
-        "doc_id", "digest", "file_words", F.posexplode(F.concat(F.array(F.lit("")), F.col("file_words")))
-    ).join(F.broadcast(index), F.col("col") == F.col("word"), "left")
-    start = F.col("pos") - 1 - F.col("place")
-    key = F.lit(False)
-    share = F.lit(0.0)
-    for number, template in enumerate(templates):
-        is_this = F.col("template") == number
-        key = F.when(is_this, _keys_hold(template, F.col("file_words"), start)).otherwise(key)
-        share = F.when(is_this, _share_in_place(template, F.col("file_words"), start)).otherwise(share)
-    found = looked_up.where((F.col("pos") == 0) | F.when(start >= 0, key).otherwise(False)).select(
-        "doc_id",
-        "digest",
-        F.size("file_words").cast("bigint").alias("n_words"),
-        (F.col("pos") == 0).alias("is_file"),
-        "word",
-        "template",
-        start.cast("bigint").alias("start"),
-        F.when(F.col("pos") > 0, share).alias("share"),
-    )
-    found = stage(found, "licence-postings")
-
-    names = [(n, t.label, t.base, 1 if t.base else min(AGREEING, len(set(" ".join(t.key_phrases).split(" "))))) for n, t in enumerate(templates)]
-    named = F.broadcast(spark.createDataFrame(names, "template int, label string, base boolean, needed int"))
-    placed = (
-        found.where(~F.col("is_file"))
-        .groupBy("digest", "template", "start")
-        .agg(F.countDistinct("word").alias("agree"), F.max("share").alias("share"))
-        .join(named, "template")
-        .where(F.col("agree") >= F.col("needed"))
-    )
-    base_start, base_label = F.when(F.col("base"), F.col("start")), F.when(F.col("base"), F.col("label"))
-    labelled = placed.groupBy("digest").agg(
-        F.count(base_start).alias("n_base"),
-        F.min(base_start).alias("first_word"),
-        F.max(base_start).alias("last_word"),
-        F.array_join(F.sort_array(F.collect_set(base_label)), ",").alias("base_labels"),
-        F.array_join(F.sort_array(F.collect_set("label")), ",").alias("labels"),
-        F.max("share").alias("score"),
-    )
-    # Written by itself, so that the join with the rows of a text that is copied often can be split.
-    labelled = stage(labelled, "labelled-texts")
-    per_row = found.where("is_file").select("doc_id", "digest", "n_words")
-    return per_row.join(labelled, "digest", "left").select(
+    df = {row.word: row.df for row in word_frequencies(documents, vocabulary).collect()}  # as many as the templates' words
+    rows = documents.select("doc_id", words("text").alias("file_words"))
+    rows = rows.withColumn("held", F.array_intersect("file_words", F.expr(_fixed(vocabulary))))
+
+    def all_of(base: bool) -> Column:
+        chosen = [t for t in templates if t.base == base]
+        if not chosen:
+            return F.array().cast("array<struct<label: string, start: int, share: double>>")
+        return F.concat(*[found_at(t, df) for t in chosen])
+
+    found = rows.select("doc_id", F.size("file_words").cast("bigint").alias("n_words"), all_of(True).alias("base"), all_of(False).alias("notices"))
+
+    def labels(*columns: str) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(F.concat(*[F.transform(c, lambda x: x["label"]) for c in columns]))), ",")
+
+    base_starts = F.transform("base", lambda x: x["start"].cast("bigint"))
+    shares = F.transform(F.concat("base", "notices"), lambda x: x["share"])
+    return found.select(
         "doc_id",
         "n_words",
-        F.coalesce("n_base", F.lit(0)).cast("bigint").alias("n_base"),
-        "first_word",
-        "last_word",
-        F.coalesce("base_labels", F.lit("")).alias("base_labels"),
-        F.coalesce("labels", F.lit("")).alias("labels"),
-        F.coalesce("score", F.lit(0.0)).alias("score"),
+        F.size("base").cast("bigint").alias("n_base"),
+        F.array_min(base_starts).alias("first_word"),
+        F.array_max(base_starts).alias("last_word"),
+        labels("base").alias("base_labels"),
+        labels("base", "notices").alias("labels"),
+        F.coalesce(F.array_max(shares), F.lit(0.0)).alias("score"),
     )
