@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -108,3 +109,14 @@ def test_segments_cover_all_rows(documents, monkeypatch):
     whole = sorted(map(tuple, secrets.scan(documents).collect()))
     monkeypatch.setattr(secrets, "SEGMENT_BYTES", 1000)
     assert sorted(map(tuple, secrets.scan(documents).collect())) == whole
+
+
+def test_a_long_run_before_an_address_takes_no_longer_than_its_length():
+    def seconds(n):
+        text = "a" * n + " http://x and https://me:secret@host"
+        start = time.perf_counter()
+        spans = secrets.find_spans([text], RULES)
+        assert any(RULES[number].kind == "url_login" for _, number, _ in spans[0])
+        return time.perf_counter() - start
+
+    assert seconds(200_000) < 40 * max(seconds(10_000), 0.01)
