@@ -21,8 +21,9 @@ from opine.llm.common import text_or_empty
 ORDERS = (1, 2, 3)
 BUCKET_BITS = 15
 SMOOTHING = 0.5
-# A driver and an executor hold languages x buckets numbers of 8 bytes.
-MOST_LANGUAGES = 512
+# Languages that a task counts at once (8 bytes for each bucket); with more, it hands its counts on and starts anew. The
+# driver and an executor hold languages x buckets numbers of 8 and 4 bytes: 128 KiB a language in a task.
+TABLES = 512
 # A longer text is taken in pieces of so many characters; a pass of numpy gathers up to so many numbers.
 PIECE = 1 << 16
 GATHERED = 1 << 22
@@ -37,9 +38,9 @@ class Model(NamedTuple):
     log_prior: np.ndarray
 
 
-def _grams(text: str) -> np.ndarray:
-    """The buckets of a text's character n-grams: case folded, a blank at either end."""
-    codes = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+def _grams(window: str) -> np.ndarray:
+    """The buckets of the character n-grams that start at the first PIECE characters of a window."""
+    codes = np.frombuffer(window.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
     parts = []
     key = np.zeros(len(codes), dtype=np.uint64)
     for order in range(1, max(ORDERS) + 1):
@@ -48,20 +49,27 @@ def _grams(text: str) -> np.ndarray:
         # 21 bits hold a code point, so three of them are told apart before hashing.
         key = codes if order == 1 else (key[:-1] << np.uint64(21)) | codes[order - 1 :]
         if order in ORDERS:
-            mixed = (key + np.uint64(order)) * _MIX
+            mixed = (key[:PIECE] + np.uint64(order)) * _MIX
             parts.append((mixed >> np.uint64(64 - BUCKET_BITS)).astype(np.int32))
     return np.concatenate(parts)
 
 
-def _pieces(text: str) -> Iterator[str]:
-    """Each piece has blanks at its own ends: a cut every PIECE characters tells nothing apart."""
-    for at in range(0, max(len(text), 1), PIECE):
-        yield text[at : at + PIECE]
+def _pieces(text: str) -> Iterator[np.ndarray]:
+    """The buckets of a text's character n-grams, case folded and with a blank at either end, PIECE starts at a time.
+    Windows overlap, so that each n-gram counts once, also where it lies over a cut."""
+    padded = f" {text.lower()} "
+    for at in range(0, len(padded), PIECE):
+        yield _grams(padded[at : at + PIECE + max(ORDERS) - 1])
 
 
 def _count(pairs: DataFrame) -> DataFrame:
     """lang, bucket, n over rows of lang, text; lang null counts documents under bucket -1."""
 
+    def cells(tables: dict[str, np.ndarray]) -> Iterator[pd.DataFrame]:
+        for lang, table in tables.items():
+            used = np.flatnonzero(table)
+            yield pd.DataFrame({"lang": lang, "bucket": used.astype(np.int32), "n": table[used]})
+
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tables: dict[str, np.ndarray] = {}
         for batch in batches:
@@ -70,13 +78,12 @@ def _count(pairs: DataFrame) -> DataFrame:
                 if table is None:
                     table = tables[lang] = np.zeros((1 << BUCKET_BITS) + 1, dtype=np.int64)
                 table[-1] += 1
-                for piece in _pieces(text):
-                    table[:-1] += np.bincount(_grams(piece), minlength=1 << BUCKET_BITS)
-            if len(tables) > MOST_LANGUAGES:
-                raise ValueError(f"more than {MOST_LANGUAGES} languages to learn")
-        for lang, table in tables.items():
-            used = np.flatnonzero(table)
-            yield pd.DataFrame({"lang": lang, "bucket": used.astype(np.int32), "n": table[used]})
+                for grams in _pieces(text):
+                    table[:-1] += np.bincount(grams, minlength=1 << BUCKET_BITS)
+                if len(tables) >= TABLES:
+                    yield from cells(tables)
+                    tables = {}
+        yield from cells(tables)
 
     return (
         pairs.mapInPandas(counted, "lang string, bucket int, n bigint")
@@ -93,8 +100,6 @@ def fit(rows: DataFrame) -> Model:
     # One row for each language: its buckets and their counts.
     listed = _count(learnt).groupBy("lang").agg(F.collect_list("bucket").alias("buckets"), F.collect_list("n").alias("n"))
     found = listed.orderBy("lang").collect()
-    if len(found) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages to learn")
     size = 1 << BUCKET_BITS
     counts = np.zeros((size + 1, len(found)))
     for column, row in enumerate(found):
@@ -127,8 +132,7 @@ def _scores(texts: list[str], model: Model) -> np.ndarray:
         size = 0
 
     for owner, text in enumerate(texts):
-        for piece in _pieces(text):
-            grams = _grams(piece)
+        for grams in _pieces(text):
             pending.append(grams)
             owners.append(owner)
             size += len(grams)
