@@ -13,28 +13,49 @@ ACCEPTED_FROM = 0.5
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts."""
-    scored = quality.classified(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return scored.where(F.col("score") >= ACCEPTED_FROM).select(*docs.columns)
+    """Documents that the quality classifier accepts, each row judged by its own text.
+
+    A null text is judged as an empty one; equal texts are judged alike. All columns stay as they are, also one that is
+    called `score`. An empty table gives an empty one.
+    """
+    column = "__accepted"
+    scored = quality.classified(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), column)
+    return scored.where(F.col(column) >= ACCEPTED_FROM).select(*docs.columns)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal and nearly equal ones."""
+    """One document of each group of equal and nearly equal ones: that of the lowest id, a null id last.
+
+    Null and empty texts are equal texts, and one of them stays. Of rows that repeat in id and text one stays. Columns
+    stay as they are; an empty table gives an empty one.
+    """
     return near_duplicates.deduplicated(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without benchmark passages."""
+    """Documents without benchmark passages.
+
+    Null and empty texts have none and stay. Repeated rows stay or go together. Columns stay as they are; an empty table
+    gives an empty one.
+    """
     return decontaminate.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document at least once; those of scarce sources up to twice."""
+    """Every document at least once; those of scarce sources up to twice.
+
+    A null source is a source of its own. A text without words counts as one token, so that it is used too. Repeated rows
+    are used equally often. Columns stay as they are; an empty table gives an empty one.
+    """
     return mixing.mixture(docs)
 
 
 def to_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files, and for each document its place in them."""
+    """Token files in ascending doc_id order, null ids first, and for each row its place in them.
+
+    A null or empty text is its end id alone; repeated rows are written each. Other columns are not read; an empty table
+    gives no row.
+    """
     return token_files.write_and_read(docs, vocabulary_path())
 
 

@@ -163,7 +163,10 @@ def is_contaminated(n_hit: Column, n_words: Column) -> Column:
 
 
 def clean_documents(documents: DataFrame, benchmark: DataFrame, span: int = SPAN) -> DataFrame:
-    """The rows of `documents` that are not contaminated, with all their columns."""
+    """The rows of `documents` that are not contaminated, with all their columns.
+
+    Null and empty texts stay. Rows may repeat: equal texts stay or go together. Without items all rows stay.
+    """
     per_row, hits, _ = hit_windows(documents, benchmark, span)
     bad = (
         _hit_words(hits)
@@ -171,4 +174,6 @@ def clean_documents(documents: DataFrame, benchmark: DataFrame, span: int = SPAN
         .where(is_contaminated(F.col("n_hit"), F.col("n_words")))
         .select(F.col("digest").alias("__bad"))
     )
-    return documents.join(bad, digest("text") == F.col("__bad"), "left_anti")
+    # 16 bytes each: where they are few, no text crosses the network.
+    bad = stage(bad.distinct(), "contaminated-digests")
+    return documents.join(small_side(bad, bad.count(), BROADCAST_ROWS), digest("text") == F.col("__bad"), "left_anti")

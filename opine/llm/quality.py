@@ -88,7 +88,10 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def training_rows(documents: DataFrame, labels: DataFrame, label: str = "quality", rows: int = SAMPLE_ROWS) -> DataFrame:
-    """label and statistics of the sample; labels that are null, or neither 0 nor 1, teach nothing."""
+    """label and statistics of the sample; labels that are null, or neither 0 nor 1, teach nothing.
+
+    The bound is on labels: a label teaches with every row that has its id, so repeated ids give more rows.
+    """
     known = labels.where(~held_out() & F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("double").alias("label"))
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(rows)
     # At most `rows` ids and labels.
@@ -140,11 +143,11 @@ def fit(rows: DataFrame) -> Model:
     return Model(float(lasso.intercept), weighed)
 
 
-def score(documents: DataFrame, model: Model) -> DataFrame:
+def score(documents: DataFrame, model: Model, column: str = "score") -> DataFrame:
     """`documents` with a column `score`, from 0 to 1: the probability of label 1. Its other columns stay.
 
-    A null text counts as empty; empty texts are scored like any other. Rows may repeat. A column `score` of
-    `documents` is replaced.
+    A null text counts as empty; empty texts are scored like any other. Rows may repeat. A column of `documents` that
+    is called `column` is replaced.
     """
 
     def scored(measured: Column) -> Column:
@@ -156,9 +159,9 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
     # The statistics are named within the expression, so that they are measured once even where a filter on the
     # score is pushed down to the scan.
     measured = F.struct(*[s.alias(name) for name, s in statistics(F.col("text")).items()])
-    return documents.withColumn("score", let(measured, scored))
+    return documents.withColumn(column, let(measured, scored))
 
 
-def classified(documents: DataFrame, labels: DataFrame) -> DataFrame:
+def classified(documents: DataFrame, labels: DataFrame, column: str = "score") -> DataFrame:
     """`documents` with `score`, by a model of `labels` that has seen no held-out row."""
-    return score(documents, fit(training_rows(documents, labels)))
+    return score(documents, fit(training_rows(documents, labels)), column)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -80,4 +81,31 @@ def test_run_equals_the_stages(spark, steps, tiny, small):
 def test_everything_is_registered():
     names = set(__spark_entry__.queries())
     assert set(REGISTRY) | {"pipeline"} <= names
-    assert sorted(int(n[2:].split("_")[0]) for n in REGISTRY) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in REGISTRY) == list(range(1, 14))
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES[:-1])
+def test_stages_keep_columns_and_take_odd_rows(spark, odd, nothing, small, name, stage):
+    """Nulls, empty and very long texts, repeated rows, clashing names; every row that stays is one that came in."""
+    table = odd.selectExpr("*", "0.25D AS score", "7 AS __part")
+    found = stage(spark, table, small)
+    assert found.columns == table.columns
+    rows, given = Counter(map(str, found.collect())), Counter(map(str, table.collect()))
+    assert set(rows) <= set(given)
+    if name == "mixing":
+        assert set(rows) == set(given)
+    else:
+        assert not rows - given
+    empty = stage(spark, nothing, small)
+    assert empty.columns == nothing.columns and empty.collect() == []
+
+
+def test_odd_rows_through_the_last_stage(spark, odd, nothing, small):
+    assert corpus_pipeline.to_token_files(spark, odd, small).count() == odd.count()
+    assert corpus_pipeline.to_token_files(spark, nothing, small).collect() == []
+
+
+def test_few_contaminated_texts_are_broadcast(spark, small):
+    kept = corpus_pipeline.drop_contaminated(spark, spark.read.parquet(f"{small}/documents.parquet"), small)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan

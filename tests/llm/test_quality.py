@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+import math
+import re
 import zlib
 
 import pytest
+import regex
 
 from opine.llm import quality as q
 
@@ -73,3 +76,45 @@ def test_fewer_than_two_classes(spark, odd, taught, expected):
 def test_no_rows(spark, nothing, small):
     labels = spark.read.parquet(f"{small}/labels.parquet")
     assert q.classified(nothing, labels).collect() == []
+
+
+def plain_statistics(text):
+    """The statistics by plain Python."""
+    whole = text or ""
+    pieces = re.sub(r"[ \t\n\x0b\f\r]+", " ", whole).strip(" ").split(" ")
+    lines, n = whole.split("\n"), max(len(whole), 1)
+    repeats = len(re.findall(r"(?<![^ \t\n\x0b\f\r])([^ \t\n\x0b\f\r]++) \1(?![^ \t\n\x0b\f\r])", whole))
+    values = (
+        math.log1p(len(pieces) if whole.strip(" ") else 0),
+        len(whole) / len(pieces),
+        math.log1p(len(set(pieces))) / math.log1p(len(pieces)),
+        repeats / len(pieces),
+        len(set(lines)) / len(lines),
+        math.log1p(len(whole) / len(lines)),
+        len(regex.findall(r"\p{Lu}", whole)) / n,
+        len(re.findall(r"[!?]", whole)) / n,
+        len(re.findall(r"[|#$%&*~^<>{}\[\]\\@=+_/]", whole)) / n,
+        len(re.findall(r"[.,;:]", whole)) / n,
+        len(re.findall(r"[0-9]", whole)) / n,
+    )
+    return dict(zip(q.STATISTICS, values, strict=True))
+
+
+def test_scores_by_hand(spark, small, odd):
+    """The fitted rules over statistics counted in plain Python, on every given document and odd rows."""
+    documents, labels = (spark.read.parquet(f"{small}/{n}.parquet") for n in ("documents", "labels"))
+    model = q.fit(q.training_rows(documents, labels))
+    assert model.rules
+    rows = documents.select("doc_id", "text").unionByName(odd.select("doc_id", "text"))
+    # And a model that asks for every statistic, cut near its middle, so that each text fires other rules.
+    listed = [plain_statistics(r.text) for r in documents.collect()]
+    middles = {name: sorted(s[name] for s in listed)[len(listed) // 2] + 1.3e-5 for name in q.STATISTICS}
+    every = [((q.Condition(name, n % 2 == 0, middles[name]),), 0.1 * 2 ** (n / 2)) for n, name in enumerate(q.STATISTICS)]
+    for known in (model, q.Model(-1.0, every)):
+        for row in q.score(rows, known).collect():
+            found = plain_statistics(row.text)
+            total = known.intercept
+            for conditions, weight in known.rules:
+                if all((found[c.statistic] > c.threshold) == c.above for c in conditions):
+                    total += weight
+            assert row.score == pytest.approx(1 / (1 + math.exp(-total)), abs=1e-9), (row.doc_id, found)
