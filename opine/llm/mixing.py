@@ -120,31 +120,55 @@ def _place(at: Column | int) -> Column:
     return F.xxhash64(_row_hash(at), F.lit(1))
 
 
-def _ends(light: DataFrame, planned: DataFrame) -> DataFrame:
-    """source, cut_block, cut_place: the last pass takes blocks before the cut, and in it places up to the cut."""
-    blocks = light.groupBy("source", "block").agg(F.sum("tokens").alias("held"))
-    order = Window.partitionBy("source").orderBy("block")  # MOST_BLOCKS rows for each source
-    run = blocks.withColumn("until", F.sum("held").over(order)).join(planned.select("source", "rest"), "source")
-    cut = (
-        run.where(F.col("until") > F.col("rest"))
-        .groupBy("source")
-        .agg(F.min("block").alias("cut_block"), F.min_by(F.col("until") - F.col("held"), "block").alias("taken"))
-    )
-    inside = light.join(cut.withColumnRenamed("cut_block", "block"), ["source", "block"]).join(
-        planned.select("source", "rest"), "source"
-    )
-    by_place = Window.partitionBy("source").orderBy("place").rangeBetween(Window.unboundedPreceding, 0)
-    inside = inside.withColumn("until", F.col("taken") + F.sum("tokens").over(by_place))
-    last = inside.where(F.col("until") <= F.col("rest")).groupBy("source").agg(F.max("place").alias("cut_place"))
-    return cut.select("source", "cut_block").join(last, "source", "left")
+def _ends(light: DataFrame, planned: DataFrame, sources: int) -> DataFrame:
+    """source, cut_block, cut_place, cut_times: where the last pass ends.
+
+    It takes blocks before the cut, in it places before the cut, and at that place so many of its rows, which are equal
+    in id and text. The block is found first, then a slice of its places, then the place, so that the running sums go
+    over MOST_BLOCKS and 4096 rows for each source and over the places of one slice, however long the source is.
+    """
+    inside = light.withColumn("slice", F.shiftright("place", 52))
+    ends = planned.where(F.col("rest") > 0).select("source", F.col("rest").alias("left"))
+    for level in ("block", "slice", "place"):
+        sums = inside.groupBy("source", level).agg(F.sum("tokens").alias("held"), F.max("tokens").alias("each"))
+        until = F.sum("held").over(Window.partitionBy("source").orderBy(level))
+        run = sums.withColumn("until", until).join(ends.select("source", "left"), "source")
+        cut = (
+            run.where(F.col("until") > F.col("left"))
+            .groupBy("source")
+            .agg(
+                F.min(level).alias(f"cut_{level}"),
+                F.min_by(F.col("left") - F.col("until") + F.col("held"), level).alias("left"),
+                F.min_by("each", level).alias("each"),
+            )
+        )
+        ends = stage(ends.drop("left", "each").join(cut, "source"), "mixture-cut")
+        at = small_side(ends.select("source", F.col(f"cut_{level}").alias(level)), sources, BROADCAST_SOURCES)
+        inside = inside.join(at, ["source", level], "left_semi")
+    return ends.select("source", "cut_block", "cut_place", F.floor(F.col("left") / F.col("each")).alias("cut_times"))
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Equal rows with a __number from 1 for each __source; they are written first, so that the numbers stay.
+
+    Each written part is numbered by itself and starts from the total of the parts before it.
+    """
+    rows = stage(rows.withColumn("__at", F.monotonically_increasing_id()), "rows-at-the-cut")
+    rows = rows.withColumn("__part", F.shiftright("__at", 33))
+    parts = rows.groupBy("__source", "__part").agg(F.count(F.lit(1)).alias("__held"))
+    earlier = Window.partitionBy("__source").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("__source", "__part", F.coalesce(F.sum("__held").over(earlier), F.lit(0)).alias("__before"))
+    in_part = F.row_number().over(Window.partitionBy("__source", "__part").orderBy("__at"))
+    numbered = rows.withColumn("__number", in_part).join(parts, ["__source", "__part"])
+    return numbered.withColumn("__number", F.col("__number") + F.col("__before")).drop("__at", "__part", "__before")
 
 
 def mixed(documents: DataFrame, goal: Goal = DEFAULT_GOAL) -> DataFrame:
     """`documents`, each as often as the mixture uses it, with __tokens, __weight, __pass, __block and __slot.
 
     __slot, from 0 to 1, orders the mixture: at any point of that order each source has given its share. A null
-    source is the source "". Every row counts, repeated rows too. A source whose budget ends between two
-    documents stays below it by less than one document.
+    source is the source "". Every row counts, repeated rows too, and of rows that repeat at the end of a budget as
+    many are used as fit in. A source whose budget ends between two documents stays below it by less than one document.
     """
     light = documents.select(
         _source().alias("source"), tokens().alias("tokens"), F.col("doc_id"), F.xxhash64(text_or_empty()).alias("text_hash")
@@ -158,23 +182,33 @@ def mixed(documents: DataFrame, goal: Goal = DEFAULT_GOAL) -> DataFrame:
     keyed = keyed.select(
         "source", "tokens", F.pmod(last, F.col("blocks")).alias("block"), F.xxhash64(last, F.lit(1)).alias("place")
     )
-    planned = stage(planned.join(_ends(keyed, planned), "source", "left"), "mixture-ends")
+    planned = stage(planned.join(_ends(keyed, planned, sources), "source", "left"), "mixture-ends")
+    some_repeat = not planned.where(F.col("cut_times") > 0).isEmpty()
     planned = planned.select(*[F.col(c).alias(f"__{c}") for c in planned.columns])
 
     rows = documents.withColumn("__tokens", tokens()).join(
         small_side(planned, sources, BROADCAST_SOURCES), _source() == F.col("__source")
     )
     block, place = _block(F.col("__blocks"), F.col("__passes")), _place(F.col("__passes"))
-    in_last = (F.col("__rest") > 0) & (
-        (block < F.col("__cut_block")) | ((block == F.col("__cut_block")) & (place <= F.col("__cut_place")))
+    in_cut = block == F.col("__cut_block")
+    before_cut = F.coalesce((block < F.col("__cut_block")) | (in_cut & (place < F.col("__cut_place"))), F.lit(False))
+    rows = rows.select(
+        *[documents[c] for c in documents.columns],
+        *["__tokens", "__source", "__weight", "__wanted", "__size", "__blocks", "__cut_times"],
+        (F.col("__passes") + F.when(before_cut, 1).otherwise(0)).alias("__times"),
+        F.coalesce(in_cut & (place == F.col("__cut_place")) & (F.col("__cut_times") > 0), F.lit(False)).alias("__at_cut"),
     )
-    times = F.col("__passes") + F.when(F.coalesce(in_last, F.lit(False)), 1).otherwise(0)
-    passes = F.when(times > 0, F.sequence(F.lit(0).cast("bigint"), times - 1)).otherwise(F.array().cast("array<bigint>"))
+    if some_repeat:
+        numbered = _numbered(rows.where("__at_cut"))
+        used = F.col("__times") + F.when(F.col("__number") <= F.col("__cut_times"), 1).otherwise(0)
+        rows = rows.where("NOT __at_cut").unionByName(numbered.withColumn("__times", used).drop("__number"))
+    none = F.array().cast("array<bigint>")
+    passes = F.when(F.col("__times") > 0, F.sequence(F.lit(0).cast("bigint"), F.col("__times") - 1)).otherwise(none)
     rows = rows.withColumn("__pass", F.explode(passes))
     rows = rows.withColumn("__block", _block(F.col("__blocks"), F.col("__pass")))
     used = F.col("__wanted") / F.col("__size")
     return rows.select(
-        *[documents[c] for c in documents.columns],
+        *[F.col(f"`{c}`") for c in documents.columns],
         "__tokens",
         "__weight",
         "__pass",

@@ -102,6 +102,17 @@ def test_odd_rows(spark, odd):
     assert set(counts) == {str(r.doc_id) for r in odd.collect()}
 
 
+def test_repeated_rows_keep_their_share(spark):
+    """2,000 equal rows of three tokens beside another source: as many are used as the budget holds."""
+    rows = spark.range(0, 2000, 1, 7).selectExpr("1L AS doc_id", "'one two three' AS text", "'same' AS source")
+    rows = rows.union(spark.range(300).selectExpr("id + 10", "concat('other text number ', id)", "'b'"))
+    for budget in (3_000, 20_000):
+        used = m.mixed(rows, m.Goal(entropy=0.9, budget=budget)).groupBy("source", "__weight").sum("__tokens").collect()
+        for source, weight, held in used:
+            assert weight * budget - 5 < held <= weight * budget + 1, (source, budget)
+        assert {r.source for r in used} == {"same", "b"}
+
+
 def test_one_source_and_no_rows(spark, nothing, odd):
     assert m.mixture(nothing).collect() == []
     one = odd.selectExpr("doc_id", "text", "'only' AS source")
