@@ -22,7 +22,8 @@ from opine.llm.common import small_side, text_or_empty
 from opine.session import stage
 
 BLOCK_TOKENS, MOST_BLOCKS = 100_000, 4096
-BISECTIONS = 30
+# Halvings of the range of exponents, and how many of them one pass over the sources' sizes serves.
+BISECTIONS, A_PASS = 30, 5
 # Sources up to which the plan is sent to every executor (about 100 bytes each).
 BROADCAST_SOURCES = 500_000
 
@@ -55,35 +56,40 @@ def _row_hash(seed: Column | int) -> Column:
 def exponent(shares: DataFrame, goal: Goal, total: int) -> float:
     """The exponent for a table with `log_share`. Only sums and extremes over the sources come to the driver."""
 
-    def sums(a: float) -> tuple[float, float, float, float, int]:
-        raised = F.exp(F.col("log_share") * a)
-        row = shares.agg(
-            F.sum(raised), F.sum(F.col("log_share") * raised), F.min("log_share"), F.max("log_share"), F.count(F.lit(1))
-        ).first()
-        return tuple(row)
+    low_share, high_share, count = shares.agg(F.min("log_share"), F.max("log_share"), F.count(F.lit(1))).first()
 
-    def too_even(a: float) -> bool:
-        z, _, low, high, _ = sums(a)
-        most = math.exp((a - 1) * (low - high)) if goal.budget is None else goal.budget / total * math.exp((a - 1) * low) / z
-        return most > goal.repetition
+    def sums(exponents: list[float]) -> list[tuple[float, float]]:
+        """For each exponent the sum of the raised shares, and that weighed with their logarithms, in one pass."""
+        raised = [F.exp(F.col("log_share") * a) for a in exponents]
+        row = shares.agg(*[F.sum(r) for r in raised], *[F.sum(F.col("log_share") * r) for r in raised]).first()
+        return list(zip(row[: len(raised)], row[len(raised) :], strict=True))
 
-    def even_enough(a: float) -> bool:
-        z, weighed, _, _, count = sums(a)
+    def too_even(a: float, z: float, weighed: float) -> bool:
+        if goal.budget is None:
+            return math.exp((a - 1) * (low_share - high_share)) > goal.repetition
+        return goal.budget / total * math.exp((a - 1) * low_share) / z > goal.repetition
+
+    def even_enough(a: float, z: float, weighed: float) -> bool:
         return math.log(z) - a * weighed / z >= goal.entropy * math.log(count)
 
-    def bisected(below) -> float:
-        """The number from which on `below` no longer holds."""
-        low, high = 0.0, 1.0
-        for _ in range(BISECTIONS):
-            middle = (low + high) / 2
-            low, high = (middle, high) if below(middle) else (low, middle)
-        return round(high, 6)
-
-    found = 1.0
-    if goal.entropy is not None:
-        found = 1.0 if even_enough(1.0) else bisected(even_enough)
-    if goal.repetition is not None and too_even(found):
-        found = 1.0 if too_even(1.0) else bisected(too_even)
+    def at_most_one(below) -> float:
+        """The number from which on `below` no longer holds, 1 if it always does. A pass serves several bisections."""
+        if below(1.0, *sums([1.0])[0]):
+            return 1.0
+        low, width = 0.0, 1.0
+        for _ in range(BISECTIONS // A_PASS):
+            points = [low + width * k / 2**A_PASS for k in range(2**A_PASS)]
+            values = sums(points)
+            first, last = 0, 2**A_PASS
+            while last - first > 1:
+                middle = (first + last) // 2
+                first, last = (middle, last) if below(points[middle], *values[middle]) else (first, middle)
+            low, width = points[first], width / 2**A_PASS
+        return round(low + width, 6)
+
+    found = 1.0 if goal.entropy is None else at_most_one(even_enough)
+    if goal.repetition is not None and too_even(found, *sums([found])[0]):
+        found = at_most_one(too_even)
     return found
 
 
