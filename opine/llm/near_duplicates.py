@@ -4,12 +4,13 @@ A text is the sequence of its five-word shingles, each labelled by how often it
 every labelled shingle gets a hash. The few smallest of all and the few largest of those that come for the first time
 are kept in the order in which they stand in the text, so two texts agree on a sketch only if they share those shingles
 in that order. (With the smallest alone, texts that share nothing but a line they repeat often would agree on its
-labels.) Texts that agree on a sketch share a bucket.
+labels.) Texts that agree on a sketch share a bucket. Texts with few shingles, of which sketches could miss one in a
+hundred, also share buckets by their whole sets, and by these without one shingle.
 
 In a bucket nobody is compared with everybody. First each text is compared with the bucket's two representatives:
 the smallest of its texts by digest, and the one that meets most texts in all its buckets, which is what copies were
 made from if it is there. Links are contracted to groups. Pairs of one bucket that are still in
-different groups are then compared too, but for those that bounds rule out: one minus the Jaccard similarity is a
+different groups are then compared too (the strays of a bucket with all others), but for those that bounds rule out: one minus the Jaccard similarity is a
 metric, so two texts whose distances to a third one differ by more than 0.2 are no near duplicates; and texts whose
 outlines differ too much are none (see `_may_be_alike`). Both bounds are exact and no other limit is set, so no link
 between texts that share a bucket is lost.
@@ -36,6 +37,12 @@ SIMILARITY = 0.8
 SKETCHES, KEPT, FIRSTS = 20, 2, 2
 # Classes of shingles, as a power of two, in the outlines that tell unlike texts apart.
 OUTLINE_BITS = 11
+# Columns of an alignment that are worked on at a time.
+BLOCK_BITS = 16_384
+# Sets of shingles up to this size are looked up by themselves and without each of their shingles too.
+SMALL_SET = 12
+# Texts of an open bucket that one task compares with the strays of the bucket.
+SALT_ROWS = 1000
 # Texts in question up to which their digests are sent to every executor (16 bytes each).
 BROADCAST_ROWS = 1_000_000
 
@@ -90,6 +97,25 @@ def sketch(word_hashes: np.ndarray) -> np.ndarray:
     return buckets.view(np.int64)
 
 
+def small_set_keys(word_hashes: np.ndarray) -> np.ndarray:
+    """Buckets that texts with few different shingles share if their sets are equal or differ in one shingle on a side.
+
+    Sets of n and m shingles that are alike differ in (n + m) / 9 at most, so up to nine each none is missed.
+    """
+    listed = np.unique(shingles(word_hashes))
+    if not 0 < len(listed) <= SMALL_SET:
+        return np.empty(0, dtype=np.int64)
+    spread_out = _mixed(listed * _MULTIPLIERS[0] + _MULTIPLIERS[1])
+    whole = spread_out.sum(dtype=np.uint64)
+    # Below five shingles, sets that differ are not alike.
+    keys = np.r_[whole, whole - spread_out] if len(listed) >= SHINGLE else np.array([whole], dtype=np.uint64)
+    return _mixed(keys).view(np.int64)
+
+
+def buckets_of(word_hashes: np.ndarray) -> np.ndarray:
+    return np.unique(np.r_[sketch(word_hashes), small_set_keys(word_hashes)])
+
+
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     """Of the shingle sets; two texts without words are not alike."""
     a, b = np.unique(shingles(a)), np.unique(shingles(b))
@@ -101,8 +127,9 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
 def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> bool:
     """Whether an alignment matches at least `similarity` of the words of both: matched * 2 / (len + len).
 
-    Follows the furthest reach on each diagonal for 0, 1, 2, ... insertions and deletions, within the band of
-    diagonals that so many can reach, and stops beyond those allowed.
+    The longest common subsequence, row by row with the columns as bits of whole numbers: a bit that is off is a column at
+    which it grows. Only the band of diagonals that the allowed insertions and deletions can reach is filled, in blocks
+    of columns that hand a carry for each row on to the next, so that memory is in proportion to the texts.
     """
     total = len(a) + len(b)
     allowed = int(total * (1 - similarity) + 1e-9)
@@ -113,32 +140,30 @@ def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> boo
     short = min(len(a), len(b))
     differing = np.flatnonzero(a[len(a) - short :][::-1] != b[len(b) - short :][::-1])
     last = int(differing[0]) if len(differing) else short
-    x, y = a[: len(a) - last].tolist(), b[: len(b) - last].tolist()
-    n, m = len(x), len(y)
-    if abs(n - m) > allowed:
+    columns, rows = a[: len(a) - last].tolist(), b[: len(b) - last].tolist()
+    if abs(len(columns) - len(rows)) > allowed:
         return False
-    reach = {1: 0}
-    for edits in range(allowed + 1):
-        for k in range(-edits, edits + 1, 2):
-            if k < -m or k > n:
-                continue
-            down = reach.get(k + 1, -1)
-            right = reach.get(k - 1, -2) + 1
-            at = max(down, right)
-            if at < 0:
-                continue
-            to = at - k
-            while at < n and to < m and x[at] == y[to]:
-                at += 1
-                to += 1
-            reach[k] = at
-            if at >= n and to >= m:
-                return True
-    return False
+    carries = bytearray(len(rows))
+    common = 0
+    for start in range(0, len(columns), BLOCK_BITS):
+        block = columns[start : start + BLOCK_BITS]
+        places: dict[int, int] = {}
+        for at, word in enumerate(block):
+            places[word] = places.get(word, 0) | 1 << at
+        width = len(block)
+        full = (1 << width) - 1
+        state = full
+        for row in range(max(0, start - allowed), min(len(rows), start + width + allowed)):
+            held = state & places.get(rows[row], 0)
+            grown = state + held + carries[row]
+            carries[row] = grown >> width
+            state = (grown & full) | (state ^ held)
+        common += width - state.bit_count()
+    return len(columns) + len(rows) - 2 * common <= allowed
 
 
 def _sketches(batch: pd.Series) -> pd.Series:
-    return batch.map(sketch)
+    return batch.map(buckets_of)
 
 
 def _compared(a: pd.Series, b: pd.Series) -> pd.DataFrame:
@@ -232,11 +257,31 @@ def components(edges: DataFrame) -> DataFrame:
     return stage(nodes, "components")
 
 
+def _open_pairs(rest: DataFrame) -> DataFrame:
+    """a, b: pairs of one bucket and two components that the bounds do not rule out.
+
+    Of such a pair one at least is a stray, that is not of the component that holds most of its bucket, so only strays
+    are compared with the others. A large bucket is dealt to salts, and its strays go to each of them.
+    """
+    held = rest.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("held"))
+    buckets = held.groupBy("bucket").agg(
+        F.max_by("component", F.struct("held", "component")).alias("main"),
+        F.ceil(F.sum("held") / SALT_ROWS).alias("salts"),
+    )
+    rest = rest.join(buckets, "bucket").withColumn("stray", F.col("component") != F.col("main"))
+    strays = rest.where("stray").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("salts") - 1)))
+    x, y = strays.alias("x"), rest.withColumn("salt", F.pmod(F.xxhash64("node"), F.col("salts"))).alias("y")
+    together = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.salt") == F.col("y.salt"))
+    is_open = (F.col("x.component") != F.col("y.component")) & (~F.col("y.stray") | (F.col("x.node") < F.col("y.node")))
+    pairs = x.join(y, together & is_open & _may_be_alike("x", "y"))
+    return pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+
+
 def groups(documents: DataFrame) -> DataFrame:
     """node, component: the digests of texts that are near duplicates of another text, by their group."""
     sketched = documents.select(digest("text").alias("node"), _hashed_words().alias("words")).where(F.size("words") > 0)
-    buckets_of = F.pandas_udf(_sketches, ArrayType(LongType()))
-    sketched = sketched.select("node", buckets_of("words").alias("buckets")).groupBy("node").agg(F.first("buckets").alias("buckets"))
+    sketches = F.pandas_udf(_sketches, ArrayType(LongType()))
+    sketched = sketched.select("node", sketches("words").alias("buckets")).groupBy("node").agg(F.first("buckets").alias("buckets"))
     members = stage(sketched.select("node", F.explode("buckets").alias("bucket")), "sketches")
     sizes = members.groupBy("bucket").agg(F.min("node").alias("low"), F.count(F.lit(1)).alias("size"))
     members = stage(members.join(sizes.where(F.col("size") > 1), "bucket"), "buckets")
@@ -269,12 +314,8 @@ def groups(documents: DataFrame) -> DataFrame:
     rest = stage(rest.select("bucket", "node", "component", "far_low", "far_central"), "open-buckets")
     outlined = F.pandas_udf(_outlines, _OUTLINE)
     outlines = texts.join(rest.select("node").distinct(), "node").select("node", outlined("words").alias("outline"))
-    rest = rest.join(stage(outlines.select("node", "outline.*"), "outlines"), "node")
-    x, y = rest.alias("x"), rest.alias("y")
-    is_open = (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component"))
-    same_bucket = F.col("x.bucket") == F.col("y.bucket")
-    open_pairs = x.join(y, same_bucket & is_open & _may_be_alike("x", "y"))
-    open_pairs = open_pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    rest = rest.join(outlines.select("node", "outline.*"), "node")
+    open_pairs = _open_pairs(stage(rest, "outlined"))
     more = _verified(open_pairs.join(far, ["a", "b"], "left_anti"), texts)
     if more.where("linked").isEmpty():
         return found

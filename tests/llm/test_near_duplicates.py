@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -148,6 +149,51 @@ def test_alignment_equals_the_full_table():
             assert nd.aligned(np.array(a, int), np.array(b, int)) == (matched >= 0.8 - 1e-12), (a, b)
 
 
+@pytest.mark.parametrize("block", [1, 3, 64])
+def test_alignment_in_blocks_of_columns(block, monkeypatch):
+    monkeypatch.setattr(nd, "BLOCK_BITS", block)
+    test_alignment_equals_the_full_table()
+
+
+def test_alignment_of_very_long_texts():
+    pick = np.random.default_rng(3)
+    a = pick.integers(0, 20_000, 60_000)
+    began = time.monotonic()
+    assert not nd.aligned(a, np.r_[a[30_000:], a[:30_000]])
+    edited = a.copy()
+    edited[::8] = -1
+    assert nd.aligned(a, edited)
+    edited[1::8] = -1
+    assert not nd.aligned(a, edited)
+    assert time.monotonic() - began < 20
+
+
+def test_no_link_of_short_texts_is_missed(spark):
+    """All ways to differ in one word of texts of 5 to 13 words whose shingle sets are alike."""
+    pick = random.Random(11)
+    rows = []
+    for n in range(1200):
+        base = [f"t{n}w{k}" for k in range(5 + n % 9)]
+        other = base[:-1] if n % 3 == 0 else base + ["more"] if n % 3 == 1 else base[:-1] + ["else"]
+        rows += [(2 * n, " ".join(base)), (2 * n + 1, " ".join(other))]
+    rows += [(10_000 + n, " ".join(["la"] * n)) for n in range(5, 40)]
+    pick.shuffle(rows)
+    documents = spark.createDataFrame(rows, "doc_id bigint, text string")
+    classes = by_id(documents)
+    # Equal sets of shingles whose words cannot be aligned are no links.
+    expected = {g for g in classes if min(g) < 10_000}
+    assert sum(len(g) > 1 for g in expected) > 400
+    assert {g for g in found_classes(documents) if min(g) < 10_000} == expected
+
+
+def test_strays_of_a_bucket_meet_all_others(spark, monkeypatch):
+    monkeypatch.setattr(nd, "SALT_ROWS", 3)
+    rows = [(b, n, 0 if n < 8 else n, 0.0, 0.0, 10, [0] * 32) for b in (1, 2) for n in range(12)]
+    schema = "bucket int, node int, component int, far_low double, far_central double, n_shingles bigint, odd array<bigint>"
+    pairs = {(r.a, r.b) for r in nd._open_pairs(spark.createDataFrame(rows, schema)).collect()}
+    assert pairs == {(a, b) for a in range(12) for b in range(max(8, a + 1), 12)}
+
+
 def test_moved_blocks_are_told_from_edits():
     a = np.arange(300)
     moved = np.r_[a[150:], a[:150]]
