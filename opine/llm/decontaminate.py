@@ -6,11 +6,14 @@ so no shared passage of that length is missed, and only one k-gram in about (w +
 Hits are then extended to whole windows of words and compared as text, so hash collisions do no harm.
 
 Documents are read once. What leaves the scan is one row per document and the words around each
-fingerprint that a benchmark item has too.
+fingerprint that a benchmark item has too. With a benchmark too big to broadcast they are read three times, and
+what leaves the scan is fingerprints, then the texts that share one.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,6 +60,35 @@ def benchmark_windows(benchmark: DataFrame, span: int = SPAN) -> DataFrame:
     )
 
 
+def _surroundings() -> dict[str, Column]:
+    """Of a `key` in `doc_words`: its window's length, and the words of all windows that hold its k-gram."""
+    length = F.shiftright("key", POSITION_BITS).bitwiseAND((1 << LENGTH_BITS) - 1).cast("int")
+    at = F.col("key").bitwiseAND((1 << POSITION_BITS) - 1).cast("int")
+    reach = length - F.greatest(F.lit(1), F.floor(length / 2).cast("int"))  # w - 1
+    first = F.greatest(at - reach, F.lit(0))
+    return {"length": length, "first": first, "around": F.slice("doc_words", first + 1, at + length - first)}
+
+
+def _looked_up_apart(
+    documents: DataFrame, wanted: DataFrame, all_fingerprints: Callable[[str], Column]
+) -> tuple[DataFrame, DataFrame]:
+    """Rows and hits where the benchmark's prints are too many to be sent to every executor.
+
+    Only prints cross the network with their texts' digests. Words are cut again, of each different text with a hit once.
+    """
+    rows = documents.select("doc_id", digest("text").alias("digest"), words("text").alias("doc_words"))
+    per_row = stage(rows.select("doc_id", "digest", F.size("doc_words").cast("bigint").alias("n_words")), "rows")
+    keys = rows.select("digest", F.explode(all_fingerprints("doc_words")).alias("key"))
+    held = keys.join(wanted, F.shiftright("key", POSITION_BITS) == F.col("print"))
+    # A text's own prints, however many copies it has.
+    held = stage(held.groupBy("digest").agg(F.collect_set("key").alias("keys")), "held-prints")
+    asked = small_side(held.select("digest"), held.count(), BROADCAST_ROWS)
+    texts = documents.select(digest("text").alias("digest"), "text").join(asked, "digest", "left_semi")
+    texts = texts.groupBy("digest").agg(F.first("text").alias("text")).join(held, "digest")
+    near = texts.select("digest", words("text").alias("doc_words"), F.explode("keys").alias("key"))
+    return per_row, stage(near.select("digest", *[c.alias(name) for name, c in _surroundings().items()]), "winnowed")
+
+
 def hit_windows(documents: DataFrame, benchmark: DataFrame, span: int = SPAN) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Per row: id, digest, n_words. Per distinct text: digest, start, length, window. And window, item."""
     if not 1 <= span < 1 << LENGTH_BITS:
@@ -77,8 +109,27 @@ def hit_windows(documents: DataFrame, benchmark: DataFrame, span: int = SPAN) ->
         of_items = F.when(F.col("length") == length, fingerprints("window_words", length)).otherwise(of_items)
     wanted = listed.select(F.explode(of_items).alias("key")).select(F.shiftright("key", POSITION_BITS).alias("print"))
     wanted = stage(wanted.distinct(), "benchmark-prints")
-    n_wanted, n_windows = wanted.count(), windows.count()
+    n_wanted = wanted.count()
+    n_windows, window_bytes = windows.agg(F.count(F.lit(1)), F.sum(F.octet_length("window"))).first()
+    n_windows = max(n_windows, (window_bytes or 0) // 100)  # a word can be long
+
+    def extended(near: DataFrame) -> DataFrame:
+        """Every window of words that holds the k-gram, compared as text."""
+        offsets = F.sequence(F.lit(0), F.size("around") - F.col("length"))
+        near = (
+            near.where(F.size("around") >= F.col("length"))
+            .select("digest", "length", "first", "around", F.explode(offsets).alias("offset"))
+            .select(
+                "digest",
+                (F.col("first") + F.col("offset")).alias("start"),
+                F.array_join(F.slice("around", F.col("offset") + 1, F.col("length")), " ").alias("window"),
+            )
+        )
+        return near.join(small_side(windows, n_windows, BROADCAST_ROWS), "window").distinct()
 
+    if n_wanted > BROADCAST_ROWS:
+        per_row, near = _looked_up_apart(documents, wanted, all_fingerprints)
+        return per_row, extended(near), window_items.select("window", "item")
     rows = documents.select("doc_id", digest("text").alias("digest"), words("text").alias("doc_words"))
     # The null stands for the document itself, so that one pass gives both its row and its hits.
     keys = F.concat(F.array(F.lit(None).cast("bigint")), all_fingerprints("doc_words"))
@@ -86,34 +137,16 @@ def hit_windows(documents: DataFrame, benchmark: DataFrame, span: int = SPAN) ->
         small_side(wanted, n_wanted, BROADCAST_ROWS), F.shiftright("key", POSITION_BITS) == F.col("print"), "left"
     )
     found = looked_up.where(F.col("key").isNull() | F.col("print").isNotNull())
-    length = F.shiftright("key", POSITION_BITS).bitwiseAND((1 << LENGTH_BITS) - 1).cast("int")
-    at = F.col("key").bitwiseAND((1 << POSITION_BITS) - 1).cast("int")
-    reach = length - F.greatest(F.lit(1), F.floor(length / 2).cast("int"))  # w - 1
-    first = F.greatest(at - reach, F.lit(0))
     found = found.select(
         "doc_id",
         "digest",
         F.size("doc_words").cast("bigint").alias("n_words"),
         F.col("print").isNotNull().alias("is_hit"),
-        length.alias("length"),
-        first.alias("first"),
-        F.when(F.col("print").isNotNull(), F.slice("doc_words", first + 1, at + length - first)).alias("around"),
+        *[F.when(F.col("print").isNotNull(), c).alias(name) for name, c in _surroundings().items()],
     )
     found = stage(found, "winnowed")
     per_row = found.where(~F.col("is_hit")).select("doc_id", "digest", "n_words")
-    # Extend: every window of words that holds the k-gram, compared as text.
-    offsets = F.sequence(F.lit(0), F.size("around") - F.col("length"))
-    near = (
-        found.where(F.col("is_hit") & (F.size("around") >= F.col("length")))
-        .select("digest", "length", "first", "around", F.explode(offsets).alias("offset"))
-        .select(
-            "digest",
-            (F.col("first") + F.col("offset")).alias("start"),
-            F.array_join(F.slice("around", F.col("offset") + 1, F.col("length")), " ").alias("window"),
-        )
-    )
-    hits = near.join(small_side(windows, n_windows, BROADCAST_ROWS), "window").distinct()
-    return per_row, hits, window_items.select("window", "item")
+    return per_row, extended(found.where("is_hit")), window_items.select("window", "item")
 
 
 def _hit_words(hits: DataFrame) -> DataFrame:

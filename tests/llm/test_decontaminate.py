@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from collections import Counter
 
 import pytest
@@ -43,7 +44,7 @@ def test_given_tables(spark, documents, tiny):
     assert any(row[5] for row in found)
 
 
-def test_odd_rows_and_short_items(spark, odd):
+def test_odd_rows_and_short_items(spark, odd, monkeypatch):
     texts = {r.doc_id: r.text for r in odd.collect()}
     long = texts[9].split()
     items = [
@@ -60,6 +61,8 @@ def test_odd_rows_and_short_items(spark, odd):
     ]
     compared(spark, odd, items)
     compared(spark, odd, items, span=5)
+    monkeypatch.setattr(d, "BROADCAST_ROWS", 0)
+    compared(spark, odd, items)
 
 
 def test_every_alignment_of_a_passage_is_found(spark):
@@ -90,6 +93,21 @@ def test_large_benchmarks_are_joined_without_broadcast(spark, documents, tiny, m
     compared(spark, documents, items)
 
 
+def test_only_prints_are_shuffled_for_large_benchmarks(spark, documents, tiny, monkeypatch):
+    monkeypatch.setattr(d, "BROADCAST_ROWS", 0)
+    plans, stage = {}, d.stage
+
+    def recorded(df, purpose):
+        plans[purpose] = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+        return stage(df, purpose)
+
+    monkeypatch.setattr(d, "stage", recorded)
+    d.contamination(documents, spark.read.parquet(f"{tiny}/benchmark.parquet"))
+    moved = re.findall(r"Exchange\nInput \[\d+\]: \[(.*)\]", plans["held-prints"])
+    assert moved and not any("words" in columns or "text" in columns for columns in moved)
+    assert "Exchange" not in plans["rows"]
+
+
 def test_no_python_on_the_main_path(spark, documents, tiny):
     plan = d.contamination(documents, spark.read.parquet(f"{tiny}/benchmark.parquet"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan
