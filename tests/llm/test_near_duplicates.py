@@ -206,3 +206,21 @@ def test_sketches_keep_the_order_of_the_text():
     turned = (nd.sketch(a) == nd.sketch(np.r_[a[200:], a[:200]])).mean()
     assert same == 1.0 and turned < 0.5
     assert len(nd.sketch(np.empty(0, int))) == 0 and len(nd.sketch(np.array([1, 2]))) == nd.SKETCHES
+
+
+@pytest.mark.parametrize("length, edits", [(50, 1), (100, 2), (300, 6)])
+def test_sketches_agree_as_independent_ones_would(length, edits):
+    """Texts too long for their whole sets to be looked up, with edits far apart, at a similarity just above 0.8."""
+    pick = np.random.default_rng(length)
+    agreed = []
+    for _ in range(600):
+        a = pick.integers(-(2**31), 2**31, length)
+        b = a.copy()
+        for k in range(edits):
+            b[(2 * k + 1) * length // (2 * edits)] += 1
+        assert 0.8 <= nd.jaccard(a, b) < 0.82 and nd.aligned(a, b)
+        agreed.append(int((nd.sketch(a) == nd.sketch(b)).sum()))
+    chance = np.mean(agreed) / nd.SKETCHES
+    assert 0.38 < chance < 0.47 and min(agreed) > 0
+    # Were sketches alike in what they choose, their sum would vary more.
+    assert np.var(agreed) < 1.3 * nd.SKETCHES * chance * (1 - chance)
