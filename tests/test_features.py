@@ -132,6 +132,38 @@ def test_averages_by_join_equal_the_model(spark):
         assert made[key] == pytest.approx(value, abs=1e-6)
 
 
+def test_averages_of_frequent_and_other_words_by_hand(spark):
+    rows = [(i % 7 if i != 5 else None, ["often"] * 9 + [f"w{i}", "x", "w3"][: i % 4]) for i in range(20)]
+    given = {"often": [1.0, 2.0], "w3": [3.0, -1.0], **{f"w{i}": [float(i), 0.5] for i in range(4, 20)}}
+    documents = spark.createDataFrame([(n, *r) for n, r in enumerate(rows)], "n int, doc_id int, words array<string>")
+    vectors = spark.createDataFrame(list(given.items()), "word string, vector array<double>")
+    words = documents.select(F.explode("words").alias("word"))
+    assert [r.word for r in embeddings.frequent_words(words, 3).collect()] == ["often"]
+    sums = {}
+    for key, listed in rows:  # rows of one key share their sums, as in a join by key; a missing key meets none
+        for word in listed:
+            total = sums.setdefault(key, [0.0, 0.0])
+            sums[key] = [a + b for a, b in zip(total, given.get(word, (0.0, 0.0)), strict=True)]
+    sums[None] = [0.0, 0.0]
+    for size in (None, 2):
+        made = {r.n: r.features for r in embeddings.average_vectors(documents, vectors, size=size).collect()}
+        assert len(made) == len(rows)
+        for n, (key, listed) in enumerate(rows):
+            assert made[n] == pytest.approx([x / len(listed) for x in sums[key]])
+
+
+def test_frequent_words_are_added_up_before_they_travel(spark):
+    documents = spark.createDataFrame([(i, ["a", "b", "c"] * 50) for i in range(64)], "doc_id int, words array<string>").persist()
+    vectors = spark.createDataFrame([(w, [1.0, 2.0]) for w in "abc"], "word string, vector array<double>")
+    averaged = embeddings.average_vectors(documents, vectors, size=2)
+    plan = averaged._jdf.queryExecution().executedPlan().toString()
+    documents.unpersist()
+    # no state by key and word, and none that is serialized by key
+    assert "hashpartitioning(doc_id#" in plan and "ObjectHashAggregate" not in plan
+    assert not any(line.count("hashpartitioning(doc_id#") and "word#" in line for line in plan.splitlines())
+    assert "LeftAnti" in plan and "BroadcastHashJoin" in plan
+
+
 def test_label_index_and_its_inverse(spark):
     rows = spark.createDataFrame([(1.0,), (1.0,), (0.0,)], "label double")
     indexer = features.label_indexer().fit(rows)
