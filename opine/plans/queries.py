@@ -689,12 +689,14 @@ CONVERSATIONS_A_FILE = 100
 
 @query
 def stream_word_count_per_batch(spark: SparkSession, folder: str) -> DataFrame:
-    """One file is one batch; counts are named by the file, whatever the order in which files are taken."""
+    """What arrives together is one file, and each file is counted by itself; counts are named by the file, whatever the
+    order in which files are taken. A trigger takes files up to a fixed number of bytes, so triggers grow with bytes, not
+    with files."""
     path = new_folder(spark, "stream-pieces")
     turns = tables.read_table(spark, folder, "conversations")
     pieces = turns.select("text", F.floor(F.col("conv_id") / CONVERSATIONS_A_FILE).alias("piece"))
     lines.write_lines(pieces, path, by="piece")
-    counts = _batched_word_counts(lines.read_lines(spark, path, max_files=1, named=True), "source string, word string, n bigint")
+    counts = _batched_word_counts(lines.read_lines(spark, path, named=True), "source string, word string, n bigint")
     piece = F.regexp_extract("source", r"piece=(-?[0-9]+)", 1).cast("bigint")
     return counts.select(piece.alias("piece"), "word", "n")
 

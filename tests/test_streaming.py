@@ -207,3 +207,23 @@ def test_each_file_is_one_named_batch(spark, folders):
     rows = jobs.read_batches(spark, out, schema).collect()
     assert sorted((r.source[-6:], r.word, r.n) for r in rows) == sorted((f"f{n}.txt", w, 1) for n in range(3) for w in ("word", f"w{n}"))
     assert len({(r.batch_id, r.source) for r in rows}) == len({r.batch_id for r in rows}) == 3
+
+
+def test_files_of_one_trigger_are_counted_one_by_one(spark, tmp_path, monkeypatch):
+    rows = [(i, None if i == 250 else f"word w{i // 100}") for i in range(0, 2000, 50)]
+    spark.createDataFrame(rows, "conv_id bigint, text string").coalesce(1).write.parquet(str(tmp_path / "conversations.parquet"))
+    started, start = [], jobs.start_word_count
+
+    def kept(*args, **named):
+        started.append(start(*args, **named))
+        return started[-1]
+
+    monkeypatch.setattr(jobs, "start_word_count", kept)
+    made = {(r.piece, r.word): r.n for r in queries.REGISTRY["stream_word_count_per_batch"](spark, str(tmp_path)).collect()}
+    expected = {}
+    for i, text in rows:
+        for word in (text or "").split(" "):
+            expected[i // 100, word] = expected.get((i // 100, word), 0) + 1
+    assert made == expected
+    # twenty files, far below a trigger's bytes
+    assert len([p for p in started[0].recentProgress if p.numInputRows]) == 1
