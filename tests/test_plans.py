@@ -5,7 +5,9 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from opine import session
 from opine.operators import bayes, embeddings, explore, features, metrics
 from opine.plans import derived, queries
 from opine.sources import tables
@@ -112,3 +114,36 @@ def test_no_vocabulary_in_a_broadcast_of_text_scoring(spark, tiny):
         assert "BroadcastHashJoin" not in plan(averaged)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+class PassesThrough:
+    def transform(self, df):
+        return df.withColumn("features", F.lit(0.0))
+
+
+@pytest.fixture
+def one_row_group(spark, tmp_path, monkeypatch):
+    """Documents in a single row group, of a size that `spread` leaves alone."""
+    documents = spark.range(60).select(F.col("id").alias("doc_id"), F.format_string("First %d. Then more.", "id").alias("text"))
+    documents.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    labels = spark.range(0, 60, 2).select(F.col("id").alias("doc_id"), (F.col("id") % 4).alias("quality"))
+    labels.coalesce(1).write.parquet(f"{tmp_path}/labels.parquet")
+    monkeypatch.setattr(session, "SPREAD_LIMIT_BYTES", 0)
+    monkeypatch.setattr(derived, "once", lambda spark, folder, name, make: make())
+    monkeypatch.setattr(derived, "table_once", lambda spark, folder, name, make: make())
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield str(tmp_path)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def tasks_with_rows(df) -> int:
+    return df.select(F.spark_partition_id()).distinct().count()
+
+
+def test_words_of_a_large_row_group_are_made_by_many_tasks(spark, one_row_group, monkeypatch):
+    staged = []
+    monkeypatch.setattr(derived, "stage", lambda df, purpose: staged.append(df))
+    monkeypatch.setattr(embeddings, "fit_word2vec", lambda corpus, partitions: PassesThrough())
+    vectors = derived.document_vectors(spark, one_row_group)
+    assert staged[0].count() == 60 and vectors.count() == 30
+    assert tasks_with_rows(staged[0]) > 1 and tasks_with_rows(vectors) > 1

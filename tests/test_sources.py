@@ -148,6 +148,14 @@ def test_only_small_tables_are_spread(spark):
     assert session.dealt(df, "id", 5).rdd.getNumPartitions() == 5
 
 
+def test_larger_tables_are_shared_out_where_asked(spark):
+    df = spark.range(0, 100, 1, 1)
+    assert session.shared_out(df, session.SPREAD_LIMIT_BYTES, "id") is df
+    dealt = session.shared_out(df, session.SPREAD_LIMIT_BYTES + 1, "id")
+    assert "hashpartitioning(id#" in dealt._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.id for r in dealt.collect()) == list(range(100))
+
+
 def test_staged_tables_are_made_again_after_clean_up(spark, tiny):
     first = derived.cleaned_reviews(spark, tiny)
     assert derived.cleaned_reviews(spark, tiny) is first
