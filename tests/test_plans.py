@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from opine import session
@@ -147,3 +148,13 @@ def test_words_of_a_large_row_group_are_made_by_many_tasks(spark, one_row_group,
     vectors = derived.document_vectors(spark, one_row_group)
     assert staged[0].count() == 60 and vectors.count() == 30
     assert tasks_with_rows(staged[0]) > 1 and tasks_with_rows(vectors) > 1
+
+
+def test_streamed_documents_of_a_large_row_group_are_scored_by_many_tasks(spark, one_row_group, monkeypatch):
+    model = PipelineModel([])
+    monkeypatch.setattr(derived, "lr_on_vectors", lambda spark, folder: model)
+    tasks = F.spark_partition_id().alias("prediction")
+    monkeypatch.setattr(model, "transform", lambda df: df.withColumn("prediction", tasks))
+    scored = queries.stream_score_lr(spark, one_row_group).collect()
+    assert sorted(r.doc_id for r in scored) == list(range(60))
+    assert len({r.prediction for r in scored}) > 1
