@@ -64,6 +64,22 @@ def fit_word2vec(
     ).fit(dealt.select("words"))
 
 
+def known_words(corpus: DataFrame, min_count: int) -> DataFrame:
+    """word: those a fit on the corpus gives a vector, once each."""
+    words = corpus.select(F.explode("words").alias("word"))
+    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_count).select("word")
+
+
+def vectors_of(model: Word2VecModel, words: DataFrame) -> DataFrame:
+    """word, vector (array<double>), made by the executors: the average of one word's vector is that vector.
+
+    `getVectors` makes all vectors a local table in the plan, on the driver's heap beside the model.
+    """
+    dealt = words.repartition(words.sparkSession.sparkContext.defaultParallelism)
+    listed = dealt.select("word", F.array("word").alias(model.getInputCol()))
+    return model.transform(listed).select("word", vector_to_array(model.getOutputCol()).alias("vector"))
+
+
 # A word that makes up at least one in so many of all words is frequent. There are at most so many of them, whatever the corpus.
 FREQUENT_SHARE = 10_000
 

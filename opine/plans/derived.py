@@ -71,16 +71,37 @@ def dealt_out(documents: DataFrame, folder: str) -> DataFrame:
     return shared_out(documents, size, "doc_id", "text")
 
 
+def training_sentences(spark: SparkSession, folder: str) -> DataFrame:
+    """The sentences of the unlabelled reviews as word lists."""
+    return embeddings.sentence_corpus(dealt_out(tables.unlabelled_reviews(spark, folder), folder))
+
+
+def staged_sentences(spark: SparkSession, folder: str) -> DataFrame:
+    return once(spark, folder, "sentences", lambda: stage(training_sentences(spark, folder), "sentence-corpus"))
+
+
 def word2vec(spark: SparkSession, folder: str) -> Word2VecModel:
     """Fitted on the sentences of the unlabelled reviews."""
 
     def make() -> Word2VecModel:
-        sentences = embeddings.sentence_corpus(dealt_out(tables.unlabelled_reviews(spark, folder), folder))
-        return embeddings.fit_word2vec(stage(sentences, "sentence-corpus"), WORD2VEC_PARTITIONS)
+        return embeddings.fit_word2vec(staged_sentences(spark, folder), WORD2VEC_PARTITIONS)
 
     return once(spark, folder, "word2vec", make)
 
 
+def word_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """word, vector: all words of the model."""
+    model = word2vec(spark, folder)
+
+    def make() -> DataFrame:
+        sentences = staged_sentences(spark, folder)
+        if not all(path_exists(spark, file) for file in sentences.inputFiles()[:1]):  # cleaned up since the fit
+            sentences = training_sentences(spark, folder)
+        return embeddings.known_words(sentences, model.getMinCount())
+
+    return embeddings.vectors_of(model, table_once(spark, folder, "known_words", make))
+
+
 def document_vectors(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, label, features: the averaged word vectors of the labelled reviews."""
 

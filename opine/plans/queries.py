@@ -250,7 +250,7 @@ def tfidf_ml(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def word2vec_vectors(spark: SparkSession, folder: str) -> DataFrame:
-    return derived.word2vec(spark, folder).getVectors().select("word", vector_to_array("vector").alias("vector"))
+    return derived.word_vectors(spark, folder)
 
 
 @query

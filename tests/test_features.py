@@ -121,6 +121,17 @@ def test_word_vectors_depend_on_rows_and_settings_only(spark):
     assert set(made[0]) == {w for w, n in counts.items() if n >= 5}  # min_count is what was asked for
 
 
+def test_vectors_of_all_words_are_made_by_the_executors(spark):
+    rows = [(i, 0, [f"w{j}" for j in range(40) if (i + j) % 3] + [f"rare{i}"]) for i in range(30)]
+    corpus = spark.createDataFrame(rows, "doc_id int, sent_pos int, words array<string>")
+    model = embeddings.fit_word2vec(corpus, vector_size=4, min_count=5)
+    made = embeddings.vectors_of(model, embeddings.known_words(corpus, model.getMinCount()))
+    expected = model.getVectors().select("word", vector_to_array("vector").alias("vector"))
+    assert made.dtypes == expected.dtypes
+    assert sorted(map(tuple, made.collect())) == sorted(map(tuple, expected.collect()))
+    assert made.select(F.spark_partition_id()).distinct().count() > 1
+
+
 def test_averages_by_join_equal_the_model(spark):
     corpus = spark.createDataFrame([(i, 0, ["a", "b", "c"][: i % 3 + 1]) for i in range(30)], "doc_id int, sent_pos int, words array<string>")
     model = embeddings.fit_word2vec(corpus, partitions=1, vector_size=4, min_count=5)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import shutil
+import uuid
 
 import pytest
 from pyspark.ml import PipelineModel
@@ -150,6 +152,25 @@ def test_words_of_a_large_row_group_are_made_by_many_tasks(spark, one_row_group,
     assert tasks_with_rows(staged[0]) > 1 and tasks_with_rows(vectors) > 1
 
 
+def test_word_vectors_are_no_local_table_of_the_plan(spark, tiny):
+    made = queries.REGISTRY["word2vec_vectors"](spark, tiny)
+    text = plan(made)
+    assert "LocalTableScan" not in text and "Scan parquet" in text
+    model = derived.word2vec(spark, tiny)
+    assert {r.word for r in made.collect()} == {r.word for r in model.getVectors().select("word").collect()}
+
+
+def test_word_vectors_are_whole_after_staged_tables_are_gone(spark, tiny, tmp_path, monkeypatch):
+    monkeypatch.setattr(derived, "_made", {})
+    monkeypatch.setattr(derived, "new_folder", lambda spark, purpose: f"{tmp_path}/{purpose}-{uuid.uuid4().hex}")
+    monkeypatch.setattr(derived, "stage", lambda df, purpose: session.stage_at(df, derived.new_folder(spark, purpose)))
+    before = {r.word: r.vector for r in queries.REGISTRY["word2vec_vectors"](spark, tiny).collect()}
+    for path in tmp_path.iterdir():
+        shutil.rmtree(path)
+    after = {r.word: r.vector for r in queries.REGISTRY["word2vec_vectors"](spark, tiny).collect()}
+    assert before and before == after
+
+
 def test_streamed_documents_of_a_large_row_group_are_scored_by_many_tasks(spark, one_row_group, monkeypatch):
     model = PipelineModel([])
     monkeypatch.setattr(derived, "lr_on_vectors", lambda spark, folder: model)
